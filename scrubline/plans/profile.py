@@ -1,0 +1,151 @@
+"""The profiling job: what is in a CSV directory, and is it fit for cleansing?"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from scrubline.functions.parsing import is_numeric_text
+from scrubline.operators import dedup
+from scrubline.operators.profiling import CastTarget, any_null_rows, as_rows, distinct_with_null
+from scrubline.sinks import write_csv
+from scrubline.sources import (
+    CsvDialect,
+    file_inventory,
+    header_consistency,
+    read_csv_by_name,
+    read_csv_inferred,
+)
+
+_N = "__copies"
+
+
+@dataclass(frozen=True)
+class ProfileConfig:
+    """Columns by the names in the files; the defaults are those of the sales record."""
+
+    dialect: CsvDialect = CsvDialect()
+    expected_header: tuple[str, ...] | None = None
+    key_column: str = "Order ID"
+    date_column: str = "Order Date"
+    cast_targets: tuple[CastTarget, ...] = (
+        CastTarget("Product", "string"),
+        CastTarget("Quantity Ordered", "numeric"),
+        CastTarget("Price Each", "float"),
+        CastTarget("Order Date", "timestamp", ("MM/dd/yy HH:mm", "M/d/yy H:mm")),
+    )
+
+
+def _item(section: str, item: str, value: Column) -> dict[str, Column]:
+    return {
+        "section": F.lit(section),
+        "item": F.lit(item),
+        "value": value.cast("string"),
+    }
+
+
+def rows_where(condition: Column) -> Column:
+    """Rows, copies included, in the groups that meet a condition."""
+    return F.coalesce(F.sum(F.when(condition, F.col(_N))), F.lit(0))
+
+
+def table_report(df: DataFrame, config: ProfileConfig = ProfileConfig()) -> DataFrame:
+    """``section, item, value`` about the rows of a frame, in one pass and one job.
+
+    The distinct rows with their copies are worked out once; every figure then
+    follows from these groups: sums of copies give row counts, plain counts give
+    figures on deduplicated rows.
+    """
+    groups = dedup.copies(df, name=_N)
+    nulls = {c: F.col(f"`{c}`").isNull() for c in df.columns}
+    numeric_key = F.coalesce(is_numeric_text(F.col(config.key_column)), F.lit(False))
+
+    figures = {
+        ("shape", "rows"): F.coalesce(F.sum(_N), F.lit(0)),
+        ("nulls", "rows_with_any"): rows_where(reduce(or_, nulls.values())),
+        ("duplicates", "beyond_first"): F.coalesce(F.sum(F.col(_N) - 1), F.lit(0)),
+        ("duplicates", "members"): rows_where(F.col(_N) > 1),
+        ("distinct", config.key_column): distinct_with_null(config.key_column),
+        ("distinct", config.date_column): F.count_distinct(config.date_column),
+    }
+    figures |= {("nulls", c): rows_where(is_null) for c, is_null in nulls.items()}
+    figures |= {("bad_values", t.column): F.count_if(numeric_key & t.bad()) for t in config.cast_targets}
+
+    found = {key: F.col(f"f{i}") for i, key in enumerate(figures)}
+    one_row = groups.agg(*[value.alias(f"f{i}") for i, value in enumerate(figures.values())])
+    rows = [_item(section, item, value) for (section, item), value in found.items()]
+    rows.append(_item("shape", "columns", F.lit(len(df.columns))))
+    repeats = found["shape", "rows"] - found["distinct", config.key_column]
+    rows.append(_item("duplicates", f"potential_by_{config.key_column}", repeats))
+    for t in config.cast_targets:
+        rows.append(_item("castable", t.column, found["bad_values", t.column] == 0))
+    return as_rows(one_row, rows)
+
+
+def types_report(spark: SparkSession, source: str, config: ProfileConfig = ProfileConfig()) -> DataFrame:
+    """``section, item, value``: column types as inferred from the first file by name."""
+    inventory = file_inventory(spark, source, config.dialect.pattern)
+    sample = inventory.orderBy("file_name").first()
+    if sample is None:
+        raise ValueError(f"no {config.dialect.pattern} files in {source}")
+    inferred = read_csv_inferred(spark, sample.file_path, config.dialect)
+    rows = [("types", name, kind) for name, kind in inferred.dtypes]
+    return spark.createDataFrame(rows, "section string, item string, value string")
+
+
+def files_report(spark: SparkSession, source: str, config: ProfileConfig = ProfileConfig()) -> DataFrame:
+    """``section, item, value`` about the files: how many, how large, same header?"""
+    inventory = file_inventory(spark, source, config.dialect.pattern)
+    sizes = inventory.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"),
+    )
+    headers = header_consistency(spark, source, config.expected_header, config.dialect)
+    differing = headers.agg(F.count_if(~F.col("consistent")).alias("differing"))
+    return as_rows(
+        sizes,
+        [
+            _item("files", "count", F.col("files")),
+            _item("files", "total_kb", F.round(F.col("bytes") / 1024, 1)),
+            _item("files", "present", F.col("files") > 0),
+        ],
+    ).unionByName(
+        as_rows(
+            differing,
+            [
+                _item("headers", "differing_files", F.col("differing")),
+                _item("headers", "consistent", F.col("differing") == 0),
+            ],
+        )
+    )
+
+
+def profile(
+    spark: SparkSession,
+    source: str,
+    config: ProfileConfig = ProfileConfig(),
+    export_to: str | None = None,
+) -> DataFrame:
+    """Full report on a directory; optionally exports rows with NULLs and duplicates as CSV."""
+    df = read_csv_by_name(spark, source, config.dialect)
+    if export_to:
+        write_csv(any_null_rows(df), f"{export_to}/null_rows")
+        write_csv(dedup.duplicate_members(df), f"{export_to}/duplicate_rows")
+    return (
+        files_report(spark, source, config)
+        .unionByName(types_report(spark, source, config))
+        .unionByName(table_report(df, config))
+    )
+
+
+def ready(report: DataFrame) -> bool:
+    """Input present and headers alike: the yes/no items of the file sections all hold."""
+    failed = report.filter(
+        (F.concat_ws(".", "section", "item").isin("files.present", "headers.consistent"))
+        & (F.col("value") != "true")
+    )
+    return failed.isEmpty()
