@@ -36,7 +36,7 @@ from scrubline.sources import (
     read_csv_inferred,
     rows_per_file,
 )
-from scrubline.sources.csv import file_headers
+
 
 SALES = CleanseConfig()
 HEADERS = dict(zip(RAW_COLUMNS, SALES_SCHEMA.names))

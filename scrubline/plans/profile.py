@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from scrubline.functions.parsing import is_numeric_text
 from scrubline.operators import dedup
 from scrubline.operators.profiling import CastTarget, any_null_rows, as_rows, distinct_with_null
 from scrubline.sinks import write_csv
-from scrubline.sources import (
-    CsvDialect,
-    file_inventory,
-    header_consistency,
-    read_csv_by_name,
-    read_csv_inferred,
-)
+from scrubline.sources import CsvDialect, file_inventory, read_csv_by_name, read_csv_inferred
+from scrubline.sources.csv import file_headers, layouts
 
 _N = "__copies"
 
@@ -97,30 +93,32 @@ def types_report(spark: SparkSession, source: str, config: ProfileConfig = Profi
     return spark.createDataFrame(rows, "section string, item string, value string")
 
 
-def files_report(spark: SparkSession, source: str, config: ProfileConfig = ProfileConfig()) -> DataFrame:
-    """``section, item, value`` about the files: how many, how large, same header?"""
+def files_report(
+    spark: SparkSession,
+    source: str,
+    found: Sequence[Row],
+    config: ProfileConfig = ProfileConfig(),
+) -> DataFrame:
+    """``section, item, value`` about the files: how many, how large, same header?
+
+    ``found`` are the layouts; headers are compared with the expected one, or else
+    with that of the first file by name.
+    """
+    expected = list(config.expected_header or (found[0].header if found else None) or [])
+    differing = sum(layout.files for layout in found if layout.header != expected)
     inventory = file_inventory(spark, source, config.dialect.pattern)
     sizes = inventory.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"),
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes")
     )
-    headers = header_consistency(spark, source, config.expected_header, config.dialect)
-    differing = headers.agg(F.count_if(~F.col("consistent")).alias("differing"))
     return as_rows(
         sizes,
         [
             _item("files", "count", F.col("files")),
             _item("files", "total_kb", F.round(F.col("bytes") / 1024, 1)),
             _item("files", "present", F.col("files") > 0),
+            _item("headers", "differing_files", F.lit(differing)),
+            _item("headers", "consistent", F.lit(differing == 0)),
         ],
-    ).unionByName(
-        as_rows(
-            differing,
-            [
-                _item("headers", "differing_files", F.col("differing")),
-                _item("headers", "consistent", F.col("differing") == 0),
-            ],
-        )
     )
 
 
@@ -131,12 +129,13 @@ def profile(
     export_to: str | None = None,
 ) -> DataFrame:
     """Full report on a directory; optionally exports rows with NULLs and duplicates as CSV."""
-    df = read_csv_by_name(spark, source, config.dialect)
+    found = layouts(file_headers(spark, source, config.dialect))
+    df = read_csv_by_name(spark, source, config.dialect, found=found)
     if export_to:
         write_csv(any_null_rows(df), f"{export_to}/null_rows")
         write_csv(dedup.duplicate_members(df), f"{export_to}/duplicate_rows")
     return (
-        files_report(spark, source, config)
+        files_report(spark, source, found, config)
         .unionByName(types_report(spark, source, config))
         .unionByName(table_report(df, config))
     )

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,33 +112,33 @@ def file_headers(spark: SparkSession, path: str, dialect: CsvDialect = CsvDialec
     """``file_name, file_path, header``: the first line of each file, split in columns.
 
     Reads lines as text; only the first block of each file is kept, and one line
-    per file goes into the shuffle. Files without any text have a NULL header.
+    per file and task goes into the shuffle. Files without any text have a NULL header.
     """
     lines = spark.read.option("pathGlobFilter", dialect.pattern).text(path)
     first = (
         lines.select(
             "value",
-            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.monotonically_increasing_id().alias("line"),
         )
         .filter(F.col("block_start") == 0)
-        .groupBy("path")
-        .agg(F.min_by("value", "line").alias("line_text"))
+        .groupBy("file_path")
+        .agg(F.min_by("value", "line").alias("first_line"))
     )
-    header = F.transform(
-        F.split("line_text", FIELD_SEPARATOR),
-        lambda name: F.when(
-            name.startswith('"') & name.endswith('"') & (F.length(name) > 1),
-            F.replace(name.substr(F.lit(2), F.length(name) - 2), F.lit('""'), F.lit('"')),
-        ).otherwise(name),
-    )
-    inventory = file_inventory(spark, path, dialect.pattern)
-    return inventory.join(
-        first.select(F.col("path").alias("file_path"), header.alias("header")),
+    header = F.transform(F.split("first_line", FIELD_SEPARATOR), _unquoted)
+    files = file_inventory(spark, path, dialect.pattern).select("file_path")
+    return files.join(first, "file_path", "left").select(
+        F.substring_index("file_path", "/", -1).alias("file_name"),
         "file_path",
-        "left",
-    ).select("file_name", "file_path", "header")
+        header.alias("header"),
+    )
+
+
+def _unquoted(name: Column) -> Column:
+    quoted = name.startswith('"') & name.endswith('"') & (F.length(name) > 1)
+    inner = name.substr(F.lit(2), F.length(name) - 2)
+    return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(name)
 
 
 def header_consistency(
@@ -154,54 +153,110 @@ def header_consistency(
     """
     headers = file_headers(spark, path, dialect)
     if expected is None:
-        reference = headers.agg(F.min_by("header", "file_name")).scalar()
+        wanted = headers.agg(F.min_by("header", "file_path")).scalar()
     else:
-        reference = F.array(*[F.lit(c) for c in expected])
-    same = F.coalesce(F.col("header") == reference, F.lit(False))
+        wanted = _names(expected)
+    same = F.coalesce(F.col("header") == wanted, F.lit(False))
     return headers.select("file_name", "header", same.alias("consistent"))
 
 
+def _names(header: Sequence[str]) -> Column:
+    return F.array(*[F.lit(c) for c in header])
+
+
+def layouts(headers: DataFrame) -> list[Row]:
+    """The distinct headers with their ``files``, in order of the first file by name."""
+    groups = headers.groupBy("header").agg(
+        F.count(F.lit(1)).alias("files"), F.min("file_name").alias("first_file")
+    )
+    return groups.orderBy("first_file").collect()
+
+
 def read_csv_by_name(
     spark: SparkSession,
     path: str,
     dialect: CsvDialect = CsvDialect(),
     schema: T.StructType | None = None,
+    found: Sequence[Row] | None = None,
 ) -> DataFrame:
     """All files, columns lined up by header name; missing ones are NULL.
 
     Columns come in order of first appearance over the files by name, as text, or
-    as ``schema`` declares them (other columns are then left out). Where all
-    headers agree this is one scan of the directory; otherwise it is one scan per
-    distinct header, and the driver handles file names, as it does in any listing.
+    as ``schema`` declares them (other columns are then left out).
+
+    However many layouts there are, the data are scanned once. Only the distinct
+    headers come to the driver. Where they differ, each row finds its layout by
+    its file, in a join with the files that do not have the most usual header.
+    ``found`` hands in the ``layouts`` where the caller has them already.
     """
-    groups = (
-        file_headers(spark, path, dialect)
-        .filter(F.col("header").isNotNull())
-        .groupBy("header")
-        .agg(F.min("file_name").alias("first_file"), F.collect_list("file_path").alias("paths"))
-        .orderBy("first_file")
-        .collect()
-    )
-    if not groups:
+    headers = file_headers(spark, path, dialect)
+    found = [row for row in found or layouts(headers) if row.header is not None]
+    if not found:
         _require_files(spark, path, dialect)
         return spark.createDataFrame([], schema or T.StructType([]))
-    types = {f.name: f.dataType for f in schema.fields} if schema else {}
     reader = _reader(spark, dialect, _multiline(spark, path, dialect))
-    frames = []
-    for group in groups:
-        fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in group.header]
-        source = path if len(groups) == 1 else group.paths
-        frames.append(reader.schema(T.StructType(fields)).csv(source))
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    if schema:
-        known = set(union.columns)
-        union = union.select(
-            *[
-                F.col(f"`{f.name}`") if f.name in known else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in schema.fields
-            ]
-        )
-    return _tokens_to_null(union, dialect.null_tokens)
+    if len(found) == 1:
+        df = _one_layout(reader, path, found[0].header, schema)
+    else:
+        df = _many_layouts(reader, path, headers, found, schema)
+    return _tokens_to_null(df, dialect.null_tokens)
+
+
+def _one_layout(
+    reader: DataFrameReader, path: str, header: Sequence[str], schema: T.StructType | None
+) -> DataFrame:
+    types = {f.name: f.dataType for f in schema.fields} if schema else {}
+    fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in header]
+    rows = reader.schema(T.StructType(fields)).csv(path)
+    if schema is None:
+        return rows
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in header}
+    return rows.withColumns(absent).select(*[F.col(f"`{c}`") for c in schema.names])
+
+
+def _many_layouts(
+    reader: DataFrameReader,
+    path: str,
+    headers: DataFrame,
+    found: Sequence[Row],
+    schema: T.StructType | None,
+) -> DataFrame:
+    usual = max(found, key=lambda layout: layout.files).header
+    others = [layout.header for layout in found if layout.header != usual]
+    slots = [f"__{i}" for i in range(max(len(layout.header) for layout in found))]
+    rows = reader.schema(T.StructType([T.StructField(s, T.StringType(), True) for s in slots])).csv(path)
+    rows = rows.select(*slots, F.col("_metadata.file_path").alias("file_path"))
+
+    layout = F.lit(None).cast("int")
+    for i, header in enumerate(others):
+        layout = F.when(F.col("header") == _names(header), F.lit(i)).otherwise(layout)
+    unusual = headers.filter(F.col("header") != _names(usual))
+    unusual = unusual.select("file_path", layout.alias("layout"))
+    joined = rows.join(unusual, "file_path", "left")
+
+    def value(name: str) -> Column:
+        text = F.lit(None).cast("string")
+        for i, header in enumerate(others):
+            if name in header:
+                slot = F.col(slots[header.index(name)])
+                text = F.when(F.col("layout") == i, slot).otherwise(text)
+        if name in usual:
+            text = F.when(F.col("layout").isNull(), F.col(slots[usual.index(name)])).otherwise(text)
+        return text
+
+    if schema is None:
+        names = dict.fromkeys(c for layout in found for c in layout.header)
+        return joined.select(*[value(c).alias(c) for c in names])
+    return joined.select(*[_as_type(value(f.name), f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _as_type(text: Column, kind: T.DataType) -> Column:
+    """Text to a declared type by the CSV reader's rule: no blanks around whole numbers."""
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, T.IntegralType):
+        text = F.when(text.rlike(r"^[+-]?\d+$"), text)
+    return text.try_cast(kind)
 
 
 def rows_per_file(
