@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 _COPIES = "__copies"
 _CHUNK = "__chunk"
 _RANK = "__rank"
+_SIZE = "__size"
 
 
 def keep_latest(
@@ -61,27 +62,31 @@ def exact_duplicate_count(df: DataFrame) -> DataFrame:
     return copies(df).agg(extra.alias("duplicates"))
 
 
-def duplicate_members(df: DataFrame, chunk_rows: int = 65_536) -> DataFrame:
+def duplicate_members(df: DataFrame, chunk_rows: int = 1_000) -> DataFrame:
     """Every row that has at least one equal row, all copies included.
 
     Copies are equal, so they are counted (with map-side aggregation) and put out
     again from the count, instead of being brought together. A group of more
-    than ``chunk_rows`` copies is first cut into counted chunks which are spread
-    over the cluster; only then are the rows put out.
+    than ``chunk_rows`` copies is first cut into counted chunks, which are dealt
+    over all shuffle partitions; only then are the rows put out.
     """
     columns = df.columns
     groups = copies(df).filter(F.col(_COPIES) > 1)
     modest = groups.filter(F.col(_COPIES) <= chunk_rows)
-    chunk_start = F.col(_CHUNK) * F.lit(chunk_rows)
+    # At most 100,000 chunks per group, so that their list stays small as well.
+    size = F.greatest(F.lit(chunk_rows), F.ceil(F.col(_COPIES) / 100_000))
+    last = F.floor((F.col(_COPIES) - 1) / F.col(_SIZE))
+    taken = F.col(_CHUNK) * F.col(_SIZE)
+    # A given number of partitions: adaptive execution would merge the chunks
+    # again, as it only sees the few bytes they take before the rows are put out.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     huge = (
         groups.filter(F.col(_COPIES) > chunk_rows)
-        .withColumn(
-            _CHUNK,
-            F.explode(F.sequence(F.lit(0), F.floor((F.col(_COPIES) - 1) / chunk_rows))),
-        )
-        .withColumn(_COPIES, F.least(F.lit(chunk_rows), F.col(_COPIES) - chunk_start))
-        .repartition(*columns, _CHUNK)
-        .drop(_CHUNK)
+        .withColumn(_SIZE, size)
+        .withColumn(_CHUNK, F.explode(F.sequence(F.lit(0), last)))
+        .withColumn(_COPIES, F.least(F.col(_SIZE), F.col(_COPIES) - taken))
+        .repartition(partitions, *columns, _CHUNK)
+        .drop(_SIZE, _CHUNK)
     )
     counted = modest.unionByName(huge)
     repeat = F.array_repeat(F.lit(True), F.col(_COPIES).cast("int"))

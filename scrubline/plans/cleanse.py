@@ -177,16 +177,16 @@ def cleanse(
     raw = read_csv_dir(spark, source, config.schema, config.dialect, config.on_header_mismatch)
     records = with_parsed_date(snake_columns(raw), config)
     if config.metrics == "staged":
-        counts = _run_staged(spark, records, target, config)
+        counts, schema = _run_staged(spark, records, target, config)
     elif config.metrics == "observed":
-        counts = _run_observed(records, target, config)
+        counts, schema = _run_observed(records, target, config)
     else:
         raise ValueError(f"unknown metrics mode {config.metrics!r}")
 
-    stats, checks = _output_statistics(spark, target, config)
+    stats, checks = _output_statistics(spark, target, schema, config)
     partitions = []
     if config.output == "partitioned":
-        listing = partition_listing(spark, target, config.partition_columns)
+        listing = partition_listing(spark, target, config.partition_columns, schema)
         partitions = sorted("/".join(map(str, r[:-1])) for r in listing.collect())
     metrics = report.metrics_frame(
         spark, config, input_files, counts, stats, checks, partitions, target
@@ -196,39 +196,49 @@ def cleanse(
     return CleanseResult(target, metrics, report.checks_frame(spark, checks), report.render(row))
 
 
-def _write(df: DataFrame, target: str, config: CleanseConfig) -> None:
+def _write_latest(accepted: DataFrame, target: str, config: CleanseConfig) -> T.StructType:
+    """Dedup and write accepted records; returns the schema of the output."""
+    df = final_columns(latest(typed(accepted, config), config), config)
     if config.output == "partitioned":
         write_partitioned_parquet(df, target, config.partition_columns)
     else:
         write_single_parquet(df, target)
+    return df.schema
 
 
-def _run_staged(spark: SparkSession, records: DataFrame, target: str, config: CleanseConfig) -> dict:
+def _accepted(classified: DataFrame) -> DataFrame:
+    return classified.filter(F.col(rules.REASON).isNull()).drop(rules.REASON)
+
+
+def _run_staged(
+    spark: SparkSession, records: DataFrame, target: str, config: CleanseConfig
+) -> tuple[dict, T.StructType]:
     """Classified rows go to a working table, where counting reads a single column."""
     row_rules = record_rules(config)
     staging = scratch_path(spark, "classified")
     try:
-        rules.classify(records, row_rules).write.parquet(staging)
-        classified = spark.read.parquet(staging)
-        accepted = classified.filter(F.col(rules.REASON).isNull()).drop(rules.REASON)
-        _write(final_columns(latest(typed(accepted, config), config), config), target, config)
-        return classified.agg(*rules.reason_counts(row_rules)).first().asDict()
+        staged = rules.classify(records, row_rules)
+        staged.write.parquet(staging)
+        classified = spark.read.schema(staged.schema).parquet(staging)
+        schema = _write_latest(_accepted(classified), target, config)
+        return classified.agg(*rules.reason_counts(row_rules)).first().asDict(), schema
     finally:
         drop_scratch(spark, staging)
 
 
-def _run_observed(records: DataFrame, target: str, config: CleanseConfig) -> dict:
+def _run_observed(
+    records: DataFrame, target: str, config: CleanseConfig
+) -> tuple[dict, T.StructType]:
     """Counts ride along with the write."""
     row_rules = record_rules(config)
     seen = Observation("classified")
     classified = rules.classify(records, row_rules).observe(seen, *rules.reason_counts(row_rules))
-    accepted = classified.filter(F.col(rules.REASON).isNull()).drop(rules.REASON)
-    _write(final_columns(latest(typed(accepted, config), config), config), target, config)
-    return seen.get
+    schema = _write_latest(_accepted(classified), target, config)
+    return seen.get, schema
 
 
 def _output_statistics(
-    spark: SparkSession, target: str, config: CleanseConfig
+    spark: SparkSession, target: str, schema: T.StructType, config: CleanseConfig
 ) -> tuple[dict, Sequence]:
     """One aggregate over the written rows gives statistics and check values alike."""
     aggregates = {"output_rows": F.count(F.lit(1))}
@@ -242,7 +252,8 @@ def _output_statistics(
     names = [f"check_{i}" for i in range(len(config.checks))]
     aggregates |= {name: check.observed() for name, check in zip(names, config.checks)}
     row = (
-        spark.read.parquet(target)
+        spark.read.schema(schema)
+        .parquet(target)
         .agg(*[value.alias(name) for name, value in aggregates.items()])
     )
     values = row.first().asDict()

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _WHOLE = "__whole"
 
@@ -55,7 +56,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
-def partition_listing(spark: SparkSession, path: str, partition_by: Sequence[str]) -> DataFrame:
-    """The partitions of a Parquet output and their rows, from footers only."""
-    rows = spark.read.parquet(path)
-    return rows.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n"))
+def partition_listing(
+    spark: SparkSession, path: str, partition_by: Sequence[str], schema: StructType | None = None
+) -> DataFrame:
+    """The partitions of a Parquet output and their rows, from footers only.
+
+    An output without any rows has no files to take a schema from; give it then.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path).groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n"))

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
     """``file_path, file_name, size_bytes`` of the files in a directory, not below it.
 
-    Only listing columns are selected, so no file is opened. Files
-    without data rows are listed as well.
+    Only listing columns are selected, so no file is opened. Files without data
+    rows are listed as well; files of zero bytes are not, as Spark skips those.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     return files.select(
