@@ -25,13 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrubline import catalogue
-from scrubline.catalogue.fixture import raw
-from scrubline.catalogue.registry import with_file_headers
+from scrubline.catalogue.fixture import csv_folder
 from scrubline.functions import snake_columns
 from scrubline.operators import dedup, rules
 from scrubline.plans import CleanseConfig, cleanse, profile
-from scrubline.plans.cleanse import SALES_SCHEMA, final_columns, record_rules, typed, with_parsed_date
-from scrubline.sinks import write_csv
+from scrubline.plans.cleansing import SALES_SCHEMA, final_columns, record_rules, typed, with_parsed_date
 from scrubline.sources import file_inventory, read_csv_dir
 
 QUERIES = [
@@ -130,8 +128,7 @@ def main() -> None:
     spark = session(os.environ.get("BENCH_CPUS", "8"), scratch)
     try:
         queries = catalogue.queries()
-        source = f"{scratch}/csv"
-        write_csv(with_file_headers(raw(spark, sf_dir)), source)
+        source = csv_folder(spark, sf_dir)
         meter = Meter(spark, runs)
         times = {
             name: meter.measure(name, lambda: run_all(queries[name](spark, sf_dir))) for name in QUERIES

@@ -7,11 +7,16 @@ beyond 32 bits, zero quantities, negative prices, and dates that do not parse.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scrubline.plans.scratch import scratch_path
+from scrubline.plans.cleansing import SALES_SCHEMA
+from scrubline.plans.scratch import drop_scratch, scratch_path
+from scrubline.sinks import write_csv
 
-_WRITTEN: dict[tuple[str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 RAW_COLUMNS = (
     "order_id",
@@ -54,6 +59,7 @@ JOIN customer ON o_custkey = c_custkey
 
 
 # A label that parts all records into feeds, as if they came from several senders.
+FEEDS = ("blank", "coded", "header", "plain")
 FEED_SQL = """CASE WHEN order_id IS NULL THEN 'blank'
        WHEN order_id = 'Order ID' THEN 'header'
        WHEN order_id LIKE 'X%' THEN 'coded'
@@ -64,17 +70,70 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(
+    spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]
+) -> str:
+    """Path of a table that is written once per session and directory."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, label)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete what this session wrote."""
+    for key in [k for k in _WRITTEN if k[0] == spark.sparkContext.applicationId]:
+        drop_scratch(spark, _WRITTEN.pop(key))
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All records, read back from a table written once per session and directory.
+    """All records, read back from a table.
 
     The records stand for files that were delivered: queries over them scan a
     table instead of repeating the joins that make it.
     """
-    made = (spark.sparkContext.applicationId, sf_dir)
-    if made not in _WRITTEN:
+
+    def write(path: str) -> None:
         for name in ("lineitem", "orders", "part", "customer"):
             table(spark, sf_dir, name).createOrReplaceTempView(name)
-        path = scratch_path(spark, "raw-records")
         spark.sql(RAW_SQL).hint("rebalance").write.parquet(path)
-        _WRITTEN[made] = path
-    return spark.read.parquet(_WRITTEN[made])
+
+    return spark.read.parquet(written(spark, sf_dir, "raw-records", write))
+
+
+def with_file_headers(df: DataFrame) -> DataFrame:
+    """The raw columns under the names they have in files."""
+    return df.withColumnsRenamed(dict(zip(RAW_COLUMNS, SALES_SCHEMA.names)))
+
+
+def csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """All records as a directory of CSV files."""
+    return written(
+        spark, sf_dir, "csv", lambda path: write_csv(with_file_headers(raw(spark, sf_dir)), path)
+    )
+
+
+def csv_layouts(spark: SparkSession, sf_dir: str) -> str:
+    """All records in one directory of two layouts: the full one, and one without
+    the address in another column order."""
+    fewer = ["product", "order_id", "order_date", "price_each", "quantity_ordered"]
+
+    def write(path: str) -> None:
+        records, plain = raw(spark, sf_dir), F.expr(FEED_SQL) == "plain"
+        write_csv(with_file_headers(records.filter(plain)), path)
+        write_csv(with_file_headers(records.filter(~plain).select(*fewer)), path, mode="append")
+
+    return written(spark, sf_dir, "layouts", write)
+
+
+def csv_feeds(spark: SparkSession, sf_dir: str) -> str:
+    """All records as one CSV directory per feed."""
+
+    def write(path: str) -> None:
+        labelled = raw(spark, sf_dir).withColumn("feed", F.expr(FEED_SQL))
+        rows = with_file_headers(labelled).write.option("header", True).option("escape", '"')
+        rows.partitionBy("feed").csv(path)
+
+    return written(spark, sf_dir, "feeds", write)

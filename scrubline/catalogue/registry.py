@@ -3,16 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.catalogue.fixture import FEED_SQL, RAW_COLUMNS, raw, table
+from scrubline.catalogue.fixture import (
+    FEED_SQL,
+    FEEDS,
+    RAW_COLUMNS,
+    csv_feeds,
+    csv_folder,
+    csv_layouts,
+    raw,
+    table,
+    with_file_headers,
+)
 from scrubline.functions import snake_columns
 from scrubline.operators import dedup, profiling, quality, rules
 from scrubline.operators.profiling import CastTarget
 from scrubline.plans import CleanseConfig, cleanse, profile
-from scrubline.plans.cleanse import (
+from scrubline.plans.cleansing import (
     SALES_SCHEMA,
     clean,
     final_columns,
@@ -31,7 +42,6 @@ from scrubline.sources import (
     file_inventory,
     header_consistency,
     preflight,
-    read_csv_by_name,
     read_csv_dir,
     read_csv_inferred,
     rows_per_file,
@@ -39,7 +49,6 @@ from scrubline.sources import (
 
 
 SALES = CleanseConfig()
-HEADERS = dict(zip(RAW_COLUMNS, SALES_SCHEMA.names))
 MONTHS = ["order_year", "order_month"]
 SALES_CASTS = [
     CastTarget("product", "string"),
@@ -56,30 +65,6 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 
 
-def with_file_headers(df: DataFrame) -> DataFrame:
-    """The raw columns under the names they have in files."""
-    return df.withColumnsRenamed(HEADERS)
-
-
-def staged_csv(spark: SparkSession, sf_dir: str, label: str) -> str:
-    """All raw records as a directory of CSV files."""
-    path = scratch_path(spark, label)
-    write_csv(with_file_headers(raw(spark, sf_dir)), path)
-    return path
-
-
-def two_layouts(spark: SparkSession, sf_dir: str) -> str:
-    """All raw records in one directory: a full layout and one without the address,
-    in another column order."""
-    path = scratch_path(spark, "layouts")
-    records = raw(spark, sf_dir)
-    plain = F.expr(FEED_SQL) == "plain"
-    write_csv(with_file_headers(records.filter(plain)), path)
-    fewer = ["product", "order_id", "order_date", "price_each", "quantity_ordered"]
-    write_csv(with_file_headers(records.filter(~plain).select(*fewer)), path, mode="append")
-    return path
-
-
 # -- cleansing -----------------------------------------------------------------
 
 
@@ -223,53 +208,38 @@ def union_positional(spark, sf_dir):
 
 
 def csv_round_trip(spark, sf_dir):
-    path = staged_csv(spark, sf_dir, "round-trip")
-    return snake_columns(read_csv_dir(spark, path, SALES_SCHEMA))
+    return snake_columns(read_csv_dir(spark, csv_folder(spark, sf_dir), SALES_SCHEMA))
 
 
 def csv_union_by_name(spark, sf_dir):
-    path = two_layouts(spark, sf_dir)
-    return snake_columns(
-        read_csv_dir(spark, path, SALES_SCHEMA, on_header_mismatch="by_name")
-    )
+    path = csv_layouts(spark, sf_dir)
+    return snake_columns(read_csv_dir(spark, path, SALES_SCHEMA, on_header_mismatch="by_name"))
 
 
 def csv_inferred(spark, sf_dir):
-    return snake_columns(read_csv_inferred(spark, staged_csv(spark, sf_dir, "inferred")))
-
-
-def feeds(spark: SparkSession, sf_dir: str) -> tuple[list[str], str]:
-    """All raw records as one CSV directory per feed."""
-    base = scratch_path(spark, "feeds")
-    labelled = with_file_headers(raw(spark, sf_dir)).withColumn("feed", F.expr(
-        FEED_SQL.replace("order_id", "`Order ID`")
-    ))
-    labelled.write.partitionBy("feed").option("header", True).option("escape", '"').csv(base)
-    return ["blank", "coded", "header", "plain"], base
+    return snake_columns(read_csv_inferred(spark, csv_folder(spark, sf_dir)))
 
 
 def rows_per_feed(spark, sf_dir):
-    names, base = feeds(spark, sf_dir)
-    counts = None
-    for name in names:
-        one = rows_per_file(spark, f"{base}/feed={name}", SALES_SCHEMA)
-        one = one.agg(F.sum("n").alias("n")).select(F.lit(name).alias("feed"), "n")
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+    base = csv_feeds(spark, sf_dir)
+    per_feed = []
+    for feed in FEEDS:
+        files = rows_per_file(spark, f"{base}/feed={feed}", SALES_SCHEMA)
+        per_feed.append(files.agg(F.sum("n").alias("n")).select(F.lit(feed).alias("feed"), "n"))
+    return reduce(DataFrame.unionByName, per_feed)
 
 
 def headers_by_layout(spark, sf_dir):
-    path = two_layouts(spark, sf_dir)
-    checked = header_consistency(spark, path, SALES_SCHEMA.names)
+    checked = header_consistency(spark, csv_layouts(spark, sf_dir), SALES_SCHEMA.names)
     return checked.select(F.array_join("header", "|").alias("header"), "consistent").distinct()
 
 
 def inventory(spark, sf_dir):
-    return file_inventory(spark, staged_csv(spark, sf_dir, "inventory"))
+    return file_inventory(spark, csv_folder(spark, sf_dir))
 
 
 def input_preflight(spark, sf_dir):
-    return preflight(spark, staged_csv(spark, sf_dir, "preflight"))
+    return preflight(spark, csv_folder(spark, sf_dir))
 
 
 def partitioned_round_trip(spark, sf_dir):
@@ -297,20 +267,20 @@ LAYOUT_FIGURES = ["input_files", "partitions", "location", "quality_issues", "ou
 
 
 def cleanse_metrics(spark, sf_dir):
-    source = staged_csv(spark, sf_dir, "sales")
+    source = csv_folder(spark, sf_dir)
     result = cleanse(spark, source, scratch_path(spark, "cleansed"))
     return comparable(result.metrics.drop(*LAYOUT_FIGURES))
 
 
 def cleanse_output(spark, sf_dir):
-    source = staged_csv(spark, sf_dir, "sales")
+    source = csv_folder(spark, sf_dir)
     config = CleanseConfig(output="single", metrics="observed")
     result = cleanse(spark, source, scratch_path(spark, "cleansed"), config)
     return comparable(spark.read.parquet(result.location))
 
 
 def profile_report(spark, sf_dir):
-    report = profile(spark, staged_csv(spark, sf_dir, "profile"))
+    report = profile(spark, csv_folder(spark, sf_dir))
     return report.filter(~F.col("section").isin("files", "types"))
 
 

@@ -15,8 +15,11 @@ from scrubline.functions.parsing import is_numeric_text, parse_timestamp
 
 def as_rows(one_row: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
     """Turn a one-row aggregate into several rows, one per entry of ``rows``."""
-    structs = [F.struct(*[v.alias(k) for k, v in row.items()]) for row in rows]
-    return one_row.select(F.inline(F.array(*structs)))
+    return one_row.select(F.inline(row_array(rows)))
+
+
+def row_array(rows: Sequence[Mapping[str, Column]]) -> Column:
+    return F.array(*[F.struct(*[v.alias(k) for k, v in row.items()]) for row in rows])
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -47,26 +47,23 @@ class Check:
         return observed >= 1
 
 
-def checks_from(one_row: DataFrame, checks: Sequence[Check], names: Sequence[str]) -> DataFrame:
-    """Check rows from an aggregate that already holds the observed values."""
-    return as_rows(
-        one_row,
-        [
-            {
-                "check_name": F.lit(check.name),
-                "observed": F.col(name).cast("double"),
-                "passed": F.coalesce(check.passes(F.col(name)), F.lit(False)),
-            }
-            for check, name in zip(checks, names)
-        ],
-    )
+def check_rows(checks: Sequence[Check], observed: Sequence[str]) -> list[dict[str, Column]]:
+    """The fields of each check row, from the columns that hold the observed values."""
+    return [
+        {
+            "check_name": F.lit(check.name),
+            "observed": F.col(name).cast("double"),
+            "passed": F.coalesce(check.passes(F.col(name)), F.lit(False)),
+        }
+        for check, name in zip(checks, observed)
+    ]
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """``check_name, observed, passed``. On no rows the minima are NULL and fail."""
     names = [f"c{i}" for i in range(len(checks))]
     observed = df.agg(*[check.observed().alias(n) for check, n in zip(checks, names)])
-    return checks_from(observed, checks, names)
+    return as_rows(observed, check_rows(checks, names))
 
 
 def enforce(failed: Sequence[str], on_fail: str = "warn") -> None:

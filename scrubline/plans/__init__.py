@@ -1,4 +1,4 @@
-from scrubline.plans.cleanse import CleanseConfig, CleanseResult, cleanse
-from scrubline.plans.profile import ProfileConfig, profile, ready
+from scrubline.plans.cleansing import CleanseConfig, CleanseResult, cleanse
+from scrubline.plans.profiling import ProfileConfig, profile, ready
 
 __all__ = ["CleanseConfig", "CleanseResult", "ProfileConfig", "cleanse", "profile", "ready"]

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from scrubline.functions import parse_int, parse_timestamp, snake_case, snake_columns
 from scrubline.operators import dedup, quality, rules
-from scrubline.operators.profiling import distinct_with_null
+from scrubline.operators.profiling import distinct_with_null, row_array
 from scrubline.operators.quality import Check
 from scrubline.operators.rules import Rule
 from scrubline.plans import report
@@ -188,12 +188,15 @@ def cleanse(
     if config.output == "partitioned":
         listing = partition_listing(spark, target, config.partition_columns, schema)
         partitions = sorted("/".join(map(str, r[:-1])) for r in listing.collect())
-    metrics = report.metrics_frame(
-        spark, config, input_files, counts, stats, checks, partitions, target
+    values = report.metrics_values(input_files, counts, stats, checks, partitions, target)
+    metrics = report.metrics_frame(spark, config, values, counts)
+    quality.enforce(values["quality_issues"], config.on_fail)
+    return CleanseResult(
+        target,
+        metrics,
+        report.checks_frame(spark, checks),
+        report.render({name: values[name] for name in metrics.columns}),
     )
-    row = metrics.first()
-    quality.enforce(row.quality_issues, config.on_fail)
-    return CleanseResult(target, metrics, report.checks_frame(spark, checks), report.render(row))
 
 
 def _write_latest(accepted: DataFrame, target: str, config: CleanseConfig) -> T.StructType:
@@ -250,13 +253,12 @@ def _output_statistics(
         aggregates[f"distinct_{c}"] = distinct_with_null(c)
     aggregates["min_date"], aggregates["max_date"] = F.min(config.date_column), F.max(config.date_column)
     names = [f"check_{i}" for i in range(len(config.checks))]
-    aggregates |= {name: check.observed() for name, check in zip(names, config.checks)}
-    row = (
+    observed = {name: check.observed() for name, check in zip(names, config.checks)}
+    one_row = (
         spark.read.schema(schema)
         .parquet(target)
-        .agg(*[value.alias(name) for name, value in aggregates.items()])
+        .agg(*[value.alias(name) for name, value in (aggregates | observed).items()])
     )
-    values = row.first().asDict()
-    one_row = spark.createDataFrame([values], row.schema)
-    checks = quality.checks_from(one_row, config.checks, names).collect()
-    return values, checks
+    checks = row_array(quality.check_rows(config.checks, names)).alias("checks")
+    values = one_row.select(*aggregates, checks).first().asDict()
+    return values, values.pop("checks")

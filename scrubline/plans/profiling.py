@@ -16,6 +16,7 @@ from scrubline.operators.profiling import CastTarget, any_null_rows, as_rows, di
 from scrubline.sinks import write_csv
 from scrubline.sources import CsvDialect, file_inventory, read_csv_by_name, read_csv_inferred
 from scrubline.sources.csv import file_headers, layouts
+from scrubline.sources.files import literal_path
 
 _N = "__copies"
 
@@ -88,7 +89,7 @@ def types_report(spark: SparkSession, source: str, config: ProfileConfig = Profi
     sample = inventory.orderBy("file_name").first()
     if sample is None:
         raise ValueError(f"no {config.dialect.pattern} files in {source}")
-    inferred = read_csv_inferred(spark, sample.file_path, config.dialect)
+    inferred = read_csv_inferred(spark, literal_path(sample.file_path), config.dialect)
     rows = [("types", name, kind) for name, kind in inferred.dtypes]
     return spark.createDataFrame(rows, "section string, item string, value string")
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from scrubline.operators.rules import ACCEPTED
 
 if TYPE_CHECKING:
-    from scrubline.plans.cleanse import CleanseConfig
+    from scrubline.plans.cleansing import CleanseConfig
 
 CHECKS_SCHEMA = "check_name string, observed double, passed boolean"
 
@@ -39,21 +39,19 @@ def metrics_schema(config: CleanseConfig, reasons: Sequence[str]) -> T.StructTyp
     return schema
 
 
-def metrics_frame(
-    spark: SparkSession,
-    config: CleanseConfig,
+def metrics_values(
     input_files: int,
     counts: Mapping[str, int],
     stats: Mapping[str, object],
     checks: Sequence[Row],
     partitions: Sequence[str],
     location: str,
-) -> DataFrame:
-    """Every figure of a run in one typed row."""
+) -> dict[str, object]:
+    """Every figure of a run by name."""
     reasons = [reason for reason in counts if reason != ACCEPTED]
     rejected = sum(counts[reason] for reason in reasons)
     issues = [c.check_name for c in checks if not c.passed]
-    values = {
+    return {
         **stats,
         "input_files": input_files,
         "initial_rows": counts[ACCEPTED] + rejected,
@@ -69,7 +67,16 @@ def metrics_frame(
         "partitions": list(partitions),
         "location": location,
     }
-    schema = metrics_schema(config, reasons)
+
+
+def metrics_frame(
+    spark: SparkSession,
+    config: CleanseConfig,
+    values: Mapping[str, object],
+    counts: Mapping[str, int],
+) -> DataFrame:
+    """The figures of a run in one typed row."""
+    schema = metrics_schema(config, [reason for reason in counts if reason != ACCEPTED])
     return spark.createDataFrame([tuple(values[name] for name in schema.names)], schema)
 
 
@@ -77,10 +84,10 @@ def checks_frame(spark: SparkSession, checks: Sequence[Row]) -> DataFrame:
     return spark.createDataFrame([tuple(c) for c in checks], CHECKS_SCHEMA)
 
 
-def render(metrics: Row) -> str:
+def render(metrics: Mapping[str, object]) -> str:
     """The figures as aligned text, one per line."""
     lines = []
-    for name, value in metrics.asDict().items():
+    for name, value in metrics.items():
         if isinstance(value, bool):
             value = "yes" if value else "no"
         elif isinstance(value, int):
@@ -97,7 +104,7 @@ def render(metrics: Row) -> str:
 
 def write_report(spark: SparkSession, metrics: DataFrame, folder: str) -> None:
     """Store the metrics as JSON and the summary as text, each a single small row."""
-    text = render(metrics.first())
+    text = render(metrics.first().asDict())
     metrics.write.mode("overwrite").json(f"{folder}/metrics")
     summary = spark.createDataFrame([(text,)], "value string")
     summary.write.mode("overwrite").text(f"{folder}/summary")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,11 @@ def file_inventory(spark: SparkSession, path: str, pattern: str = "*.csv") -> Da
     )
 
 
+def literal_path(file_path: str) -> str:
+    """A listed path in the form that readers take: decoded, wildcards escaped."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", unquote(file_path))
+
+
 def preflight(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
     """``check_name, observed, passed, first_files``: is there any input at all?
 

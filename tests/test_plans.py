@@ -97,7 +97,7 @@ def test_report_is_stored(spark, source, tmp_path):
     write_report(spark, result.metrics, str(tmp_path / "report"))
     assert spark.read.json(str(tmp_path / "report/metrics")).first().output_rows == 4
     stored = spark.read.text(str(tmp_path / "report/summary"), wholetext=True).first().value
-    assert stored.strip() == result.text.strip() == render(result.metrics.first()).strip()
+    assert stored.strip() == result.text.strip() == render(result.metrics.first().asDict()).strip()
 
 
 def test_partition_listing(spark, source, tmp_path):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scrubline.functions import parse_timestamp
-from scrubline.plans.cleanse import SALES_SCHEMA
+from scrubline.plans.cleansing import SALES_SCHEMA
 from scrubline.sources import (
     CsvDialect,
     file_inventory,
@@ -21,6 +21,7 @@ from scrubline.sources import (
     rows_per_file,
 )
 from scrubline.sources.csv import has_multiline_records
+from scrubline.sources.files import literal_path
 
 HEADER = "Order ID,Product,Quantity Ordered,Price Each,Order Date,Purchase Address"
 
@@ -218,6 +219,20 @@ def test_inferred_types(spark, folder):
     assert read_csv_inferred(spark, path).dtypes == [("i", "int"), ("d", "double"), ("s", "string")]
 
 
+def test_awkward_file_names(spark, tmp_path):
+    names = ["a b.csv", "a [1] 50%.csv", "a{x}+y.csv"]
+    for i, name in enumerate(names):
+        (tmp_path / name).write_text(f"i,s\n{i},x\n" if i else "s,i\nx,0\n")
+    path = str(tmp_path)
+    # Spark cannot infer from names with wildcard characters in multi-line mode.
+    for row in file_inventory(spark, path).collect():
+        assert read_csv_inferred(spark, literal_path(row.file_path), CsvDialect(multiline=False)).count() == 1
+    rows = rows_per_file(spark, path, T.StructType([T.StructField("i", T.StringType())]))
+    assert [r.n for r in rows.collect()] == [1, 1, 1]
+    named = read_csv_by_name(spark, path)
+    assert sorted((r.i, r.s) for r in named.collect()) == [("0", "x"), ("1", "x"), ("2", "x")]
+
+
 def test_dates(spark):
     texts = [
         "04/07/19 22:30", "4/7/19 22:30", "13/45/19 22:30", "04/07/19 22:30:15", "02/29/19 00:00",
