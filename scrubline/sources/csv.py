@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scrubline.sources.files import file_inventory
+from scrubline.sources.records import csv_records, text_lines
 
 # Fixed value: a text line made up of whole CSV fields only. A line that does not
 # match may be part of a record that runs over several lines.
 COMPLETE_LINE = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)(?:,|$))*+$'
+# A path and a number for this many files stay within some megabytes.
+BROADCAST_FILES = 20_000
 # Fixed value: a comma outside quotes.
 FIELD_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -23,15 +26,18 @@ class CsvDialect:
     """How the text is written.
 
     ``multiline``: True lets quoted fields hold line breaks, which makes each file
-    a single task; False splits files but takes each line as a record; "auto"
-    looks through the lines first (a splittable text scan) and only gives up
-    splitting where some line is not a complete record.
+    a single task; False splits files but takes each line as a record. "records"
+    does both at the cost of shuffling the text (see ``csv_records``). "auto" reads
+    like True while no file has more than ``whole_file_bytes``. With larger files
+    it looks through the lines first, in a splittable text scan, and reads like
+    False if every line is a complete record, or else like "records".
 
     ``null_tokens``: further texts to be read as NULL in string columns.
     """
 
     pattern: str = "*.csv"
-    multiline: bool | str = True
+    multiline: bool | str = "auto"
+    whole_file_bytes: int = 1 << 30
     quote: str = '"'
     escape: str = '"'
     encoding: str = "UTF-8"
@@ -44,21 +50,64 @@ def has_multiline_records(spark: SparkSession, path: str, dialect: CsvDialect =
     return not lines.filter(~F.col("value").rlike(COMPLETE_LINE)).isEmpty()
 
 
+def _multiline(spark: SparkSession, path: str, dialect: CsvDialect) -> bool | str:
+    if dialect.multiline not in (True, False, "records", "auto"):
+        raise ValueError(f"unknown multiline {dialect.multiline!r}")
+    if dialect.multiline != "auto":
+        return dialect.multiline
+    files = file_inventory(spark, path, dialect.pattern)
+    if files.filter(F.col("size_bytes") > dialect.whole_file_bytes).isEmpty():
+        return True
+    return "records" if has_multiline_records(spark, path, dialect) else False
+
+
+def _options(dialect: CsvDialect) -> dict[str, str]:
+    return {"quote": dialect.quote, "escape": dialect.escape}
+
+
 def _reader(spark: SparkSession, dialect: CsvDialect, multiline: bool) -> DataFrameReader:
     return (
         spark.read.option("header", True)
         .option("pathGlobFilter", dialect.pattern)
         .option("multiLine", multiline)
-        .option("quote", dialect.quote)
-        .option("escape", dialect.escape)
         .option("encoding", dialect.encoding)
+        .options(**_options(dialect))
     )
 
 
-def _multiline(spark: SparkSession, path: str, dialect: CsvDialect) -> bool:
-    if dialect.multiline == "auto":
-        return has_multiline_records(spark, path, dialect)
-    return bool(dialect.multiline)
+def _scan(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    dialect: CsvDialect,
+    check_headers: bool = False,
+    file_column: str | None = None,
+) -> DataFrame:
+    """Rows by position, without the header lines; ``file_column`` adds the file they are from."""
+    multiline = _multiline(spark, path, dialect)
+    if multiline == "records":
+        if check_headers:
+            _require_headers(spark, path, schema, dialect)
+        records = csv_records(spark, path, dialect.pattern, dialect.quote)
+        kinds = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(schema.fields))
+        fields = F.from_csv("record", kinds, _options(dialect)).alias("fields")
+        rows, file = records.select(fields, "file_path"), F.col("file_path")
+        columns = [F.col("fields")[f"c{i}"].alias(name) for i, name in enumerate(schema.names)]
+    else:
+        reader = _reader(spark, dialect, multiline).option("enforceSchema", not check_headers)
+        rows, file = reader.schema(schema).csv(path), F.col("_metadata.file_path")
+        columns = ["*"]
+    return rows.select(*columns, *([file.alias(file_column)] if file_column else []))
+
+
+def _require_headers(
+    spark: SparkSession, path: str, schema: T.StructType, dialect: CsvDialect
+) -> None:
+    expected = [name.lower() for name in schema.names]
+    found = F.transform("header", F.lower)
+    wrong = file_headers(spark, path, dialect).filter(found != _names(expected)).first()
+    if wrong:
+        raise ValueError(f"header of {wrong.file_name} does not conform to the schema: {wrong.header}")
 
 
 def _tokens_to_null(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
@@ -97,14 +146,13 @@ def read_csv_dir(
         return read_csv_by_name(spark, path, dialect, schema)
     if on_header_mismatch not in ("raise", "ignore"):
         raise ValueError(f"unknown on_header_mismatch {on_header_mismatch!r}")
-    reader = _reader(spark, dialect, _multiline(spark, path, dialect))
-    reader = reader.option("enforceSchema", on_header_mismatch == "ignore")
-    return _tokens_to_null(reader.schema(schema).csv(path), dialect.null_tokens)
+    rows = _scan(spark, path, schema, dialect, check_headers=on_header_mismatch == "raise")
+    return _tokens_to_null(rows, dialect.null_tokens)
 
 
 def read_csv_inferred(spark: SparkSession, path: str, dialect: CsvDialect = CsvDialect()) -> DataFrame:
     """File or directory with column types inferred, at the cost of one more pass."""
-    reader = _reader(spark, dialect, _multiline(spark, path, dialect))
+    reader = _reader(spark, dialect, bool(_multiline(spark, path, dialect)))
     return reader.option("inferSchema", True).csv(path)
 
 
@@ -114,14 +162,8 @@ def file_headers(spark: SparkSession, path: str, dialect: CsvDialect = CsvDialec
     Reads lines as text; only the first block of each file is kept, and one line
     per file and task goes into the shuffle. Files without any text have a NULL header.
     """
-    lines = spark.read.option("pathGlobFilter", dialect.pattern).text(path)
     first = (
-        lines.select(
-            "value",
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("line"),
-        )
+        text_lines(spark, path, dialect.pattern)
         .filter(F.col("block_start") == 0)
         .groupBy("file_path")
         .agg(F.min_by("value", "line").alias("first_line"))
@@ -194,20 +236,23 @@ def read_csv_by_name(
     if not found:
         _require_files(spark, path, dialect)
         return spark.createDataFrame([], schema or T.StructType([]))
-    reader = _reader(spark, dialect, _multiline(spark, path, dialect))
     if len(found) == 1:
-        df = _one_layout(reader, path, found[0].header, schema)
+        df = _one_layout(spark, path, dialect, found[0].header, schema)
     else:
-        df = _many_layouts(reader, path, headers, found, schema)
+        df = _many_layouts(spark, path, dialect, headers, found, schema)
     return _tokens_to_null(df, dialect.null_tokens)
 
 
 def _one_layout(
-    reader: DataFrameReader, path: str, header: Sequence[str], schema: T.StructType | None
+    spark: SparkSession,
+    path: str,
+    dialect: CsvDialect,
+    header: Sequence[str],
+    schema: T.StructType | None,
 ) -> DataFrame:
     types = {f.name: f.dataType for f in schema.fields} if schema else {}
     fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in header]
-    rows = reader.schema(T.StructType(fields)).csv(path)
+    rows = _scan(spark, path, T.StructType(fields), dialect)
     if schema is None:
         return rows
     absent = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in header}
@@ -215,8 +260,9 @@ def _one_layout(
 
 
 def _many_layouts(
-    reader: DataFrameReader,
+    spark: SparkSession,
     path: str,
+    dialect: CsvDialect,
     headers: DataFrame,
     found: Sequence[Row],
     schema: T.StructType | None,
@@ -224,14 +270,16 @@ def _many_layouts(
     usual = max(found, key=lambda layout: layout.files).header
     others = [layout.header for layout in found if layout.header != usual]
     slots = [f"__{i}" for i in range(max(len(layout.header) for layout in found))]
-    rows = reader.schema(T.StructType([T.StructField(s, T.StringType(), True) for s in slots])).csv(path)
-    rows = rows.select(*slots, F.col("_metadata.file_path").alias("file_path"))
+    texts = T.StructType([T.StructField(slot, T.StringType(), True) for slot in slots])
+    rows = _scan(spark, path, texts, dialect, file_column="file_path")
 
     layout = F.lit(None).cast("int")
     for i, header in enumerate(others):
         layout = F.when(F.col("header") == _names(header), F.lit(i)).otherwise(layout)
     unusual = headers.filter(F.col("header") != _names(usual))
     unusual = unusual.select("file_path", layout.alias("layout"))
+    if sum(row.files for row in found if row.header != usual) <= BROADCAST_FILES:
+        unusual = F.broadcast(unusual)
     joined = rows.join(unusual, "file_path", "left")
 
     def value(name: str) -> Column:
@@ -263,11 +311,9 @@ def rows_per_file(
     spark: SparkSession, path: str, schema: T.StructType, dialect: CsvDialect = CsvDialect()
 ) -> DataFrame:
     """``file_name, n`` for every file of the directory, 0 for those without rows."""
-    rows = read_csv_dir(spark, path, schema, dialect, on_header_mismatch="ignore")
-    counts = (
-        rows.groupBy(F.col("_metadata.file_path").alias("file_path"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    _require_files(spark, path, dialect)
+    rows = _scan(spark, path, schema, dialect, file_column="file_path")
+    counts = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
     inventory = file_inventory(spark, path, dialect.pattern)
     return inventory.join(counts, "file_path", "left").select(
         "file_name", F.coalesce("n", F.lit(0)).alias("n")

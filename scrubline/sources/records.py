@@ -1,0 +1,77 @@
+"""CSV records that run over several lines, put together without reading a file as a whole.
+
+Spark's CSV reader gives a file with such records to a single task. That is fine for
+ordinary files and not for one that holds a large part of all data. Here the
+text is scanned in blocks, like any text. Whether a line starts inside quotes
+depends on all quotes before it, so each block is numbered both ways, the state
+at its start follows from the blocks before, and lines of a record are then grouped.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+BLOCK = ["file_path", "block_start"]
+
+
+def text_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """``value, file_path, block_start, line``; ``line`` grows along each block."""
+    lines = spark.read.option("pathGlobFilter", pattern).text(path)
+    return lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+
+
+def csv_records(spark: SparkSession, path: str, pattern: str = "*.csv", quote: str = '"') -> DataFrame:
+    """``file_path, record``: the text of every record but the header of each file.
+
+    Quotes inside quoted fields must be doubled. Lines are shuffled by block, so
+    that no task gets more than a block, and once more by record.
+    """
+    lines = text_lines(spark, path, pattern)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    in_block = Window.partitionBy(*BLOCK).orderBy("line")
+    earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    # "flipped": is the quoting here the opposite of that at the start of the block?
+    # "if_closed", "if_open": records begun up to here if the block starts outside
+    # quotes, or inside.
+    numbered = (
+        lines.withColumn("odd", (quotes / len(quote)).cast("int") % 2)
+        .withColumn("flipped", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
+        .withColumn("if_closed", F.sum(1 - F.col("flipped")).over(so_far))
+        .withColumn("if_open", F.sum("flipped").over(so_far))
+    )
+    blocks = numbered.groupBy(*BLOCK).agg(
+        (F.sum("odd") % 2).alias("flips"),
+        F.max("if_closed").alias("if_closed"),
+        F.max("if_open").alias("if_open"),
+    )
+    blocks_before = (
+        Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    begun = F.when(F.col("open"), F.col("if_open")).otherwise(F.col("if_closed"))
+    last_record = F.when(begun > 0, F.struct("block_start", begun.alias("number")))
+    states = (
+        blocks.withColumn("open", F.coalesce(F.sum("flips").over(blocks_before), F.lit(0)) % 2 == 1)
+        .withColumn("carried", F.last(last_record, ignorenulls=True).over(blocks_before))
+        .select(*BLOCK, "open", "carried")
+    )
+    own = F.struct("block_start", begun.alias("number"))
+    owned = numbered.join(states, BLOCK).select(
+        "file_path",
+        F.when(begun > 0, own).otherwise(F.col("carried")).alias("owner"),
+        F.struct("block_start", "line", "value").alias("part"),
+    )
+    header = (F.col("owner.block_start") == 0) & (F.col("owner.number") == 1)
+    parts = F.transform(F.array_sort(F.collect_list("part")), lambda part: part["value"])
+    records = (
+        owned.filter(~header)
+        .groupBy("file_path", "owner")
+        .agg(F.array_join(parts, "\n").alias("record"))
+    )
+    return records.filter(F.col("record") != "").select("file_path", "record")

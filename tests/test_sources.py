@@ -3,6 +3,7 @@
 import datetime
 import math
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,8 +112,10 @@ def test_swapped_header(spark, folder):
     assert sorted((r["Order ID"], r["Product"]) for r in named.collect()) == [("1", "A"), ("2", "B")]
 
 
-@pytest.mark.parametrize("multiline", [True, False, "auto"])
-def test_by_name_lines_up_columns(spark, folder, multiline):
+@pytest.mark.parametrize("broadcast", [0, 20_000])
+@pytest.mark.parametrize("multiline", [True, False, "records"])
+def test_by_name_lines_up_columns(spark, folder, monkeypatch, multiline, broadcast):
+    monkeypatch.setattr("scrubline.sources.csv.BROADCAST_FILES", broadcast)
     path = folder(
         a_1="x,y\n1,2\n3,4\n",
         b="y,z\n5,6\n",
@@ -208,12 +211,62 @@ def test_complete_lines(spark, folder, line, multiline):
 
 def test_auto_multiline_reads_the_same(spark, folder):
     flat = folder(a="k,v\n" + "".join(f'{i},"x, {i}"\n' for i in range(50)))
-    auto = CsvDialect(multiline="auto")
+    auto = CsvDialect(multiline="auto", whole_file_bytes=10)
     assert sorted(read_csv_by_name(spark, flat, auto).collect()) == sorted(read_csv_by_name(spark, flat).collect())
     broken = folder(b='k,v\n1,"two\nlines"\n')
     assert read_csv_by_name(spark, broken, auto).count() == 51
 
 
+@pytest.fixture
+def tiny_blocks(spark):
+    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = {key: spark.conf.get(key) for key in keys}
+    spark.conf.set(keys[0], "48b")
+    spark.conf.set(keys[1], "0")
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def written_field(value, rng):
+    if value and (rng.random() < 0.3 or any(c in value for c in ',"\n')):
+        return '"' + value.replace('"', '""') + '"'
+    return value
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_records_over_several_lines(spark, folder, tiny_blocks, seed):
+    rng = random.Random(seed)
+    pieces = ["a", "bc", "\n", '"', ",", " ", "\n\n", "long text in here"]
+    files = {}
+    for name in ("one", "two"):
+        rows = [
+            [str(i), "".join(rng.choices(pieces, k=rng.randint(0, 12))), rng.choice(["1.5", "x", "", "7"])]
+            for i in range(60)
+        ]
+        lines = ["k,v,n"] + [",".join(written_field(v, rng) for v in row) for row in rows]
+        lines.insert(20, "")
+        files[name] = "\n".join(lines) + rng.choice(["", "\n"])
+    path = folder(**files)
+    schema = T.StructType(
+        [T.StructField("k", T.StringType()), T.StructField("v", T.StringType()), T.StructField("n", T.DoubleType())]
+    )
+    whole = read_csv_dir(spark, path, schema, CsvDialect(multiline=True))
+    spread = read_csv_dir(spark, path, schema, CsvDialect(multiline="records"))
+    assert spread.schema == whole.schema and whole.count() == 120
+    assert sorted(map(str, spread.collect())) == sorted(map(str, whole.collect()))
+    auto = CsvDialect(whole_file_bytes=100)
+    assert {r.n for r in rows_per_file(spark, path, schema, auto).collect()} == {60}
+    assert "from_csv" in read_csv_dir(spark, path, schema, auto)._jdf.queryExecution().toString()
+    with pytest.raises(ValueError, match="header"):
+        read_csv_dir(spark, path, SALES_SCHEMA, auto)
+
+
+def test_unknown_multiline(spark, folder):
+    with pytest.raises(ValueError, match="multiline"):
+        read_csv_dir(spark, folder(a="x\n"), SALES_SCHEMA, CsvDialect(multiline="maybe"))
+
+
 def test_inferred_types(spark, folder):
     path = folder(a="i,d,s\n1,1.5,a\n2,2,b\n")
     assert read_csv_inferred(spark, path).dtypes == [("i", "int"), ("d", "double"), ("s", "string")]
