@@ -77,16 +77,34 @@ def _checks() -> str:
     )
 
 
-def _castability(source: str) -> str:
+def _bad_number(column: str) -> str:
+    return f"count(*) FILTER (NOT regexp_matches(CAST({column} AS VARCHAR), '{NUMBER_PATTERN}'))"
+
+
+# Values that are there but do not convert, per column.
+BAD_VALUES = {
+    "product": "count(*) FILTER (product IS NOT NULL AND TRY_CAST(product AS VARCHAR) IS NULL)",
+    "quantity_ordered": _bad_number("quantity_ordered"),
+    "price_each": _bad_number("price_each"),
+    "order_date": f"count(*) FILTER (order_date IS NOT NULL AND ({LENIENT_DATE}) IS NULL)",
+    "order_id": "count(*) FILTER (order_id IS NOT NULL AND TRY_CAST(order_id AS INTEGER) IS NULL)",
+}
+CAST_KINDS = {
+    "product": "string",
+    "quantity_ordered": "numeric",
+    "price_each": "float",
+    "order_date": "timestamp",
+    "order_id": "int",
+}
+NUMERIC_ROWS = f"(SELECT DISTINCT * FROM raw WHERE {NUMERIC_ID})"
+
+
+def _castability() -> str:
     return _long(
         [
-            f"SELECT 'product' AS column_name, 'string' AS target, CAST(0 AS BIGINT) AS bad_values, TRUE AS passed",
-            f"SELECT 'quantity_ordered', 'numeric', CAST(0 AS BIGINT), TRUE",
-            f"SELECT 'price_each', 'float', CAST(0 AS BIGINT), TRUE",
-            "SELECT 'order_date', 'timestamp', count(*) FILTER (order_date IS NOT NULL AND lenient IS NULL), "
-            f"count(*) FILTER (order_date IS NOT NULL AND lenient IS NULL) = 0 FROM {source}",
-            "SELECT 'order_id', 'int', count(*) FILTER (TRY_CAST(order_id AS INTEGER) IS NULL), "
-            f"count(*) FILTER (TRY_CAST(order_id AS INTEGER) IS NULL) = 0 FROM {source}",
+            f"SELECT '{c}' AS column_name, '{kind}' AS target, {BAD_VALUES[c]} AS bad_values, "
+            f"{BAD_VALUES[c]} = 0 AS passed FROM {NUMERIC_ROWS}"
+            for c, kind in CAST_KINDS.items()
         ]
     )
 
@@ -124,10 +142,6 @@ def _profile() -> str:
         "order_date": "Order Date",
         "purchase_address": "Purchase Address",
     }
-    bad_dates = (
-        "(SELECT count(*) FROM (SELECT DISTINCT * FROM raw) "
-        f"WHERE {NUMERIC_ID} AND order_date IS NOT NULL AND ({LENIENT_DATE}) IS NULL)"
-    )
     text = "CAST({} AS VARCHAR)"
     items = [
         ("shape", "rows", "(SELECT count(*) FROM raw)"),
@@ -142,17 +156,12 @@ def _profile() -> str:
             "potential_by_Order ID",
             "((SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT order_id FROM raw)))",
         ),
-        ("bad_values", "Product", "0"),
-        ("bad_values", "Quantity Ordered", "0"),
-        ("bad_values", "Price Each", "0"),
-        ("bad_values", "Order Date", bad_dates),
-        ("castable", "Product", "TRUE"),
-        ("castable", "Quantity Ordered", "TRUE"),
-        ("castable", "Price Each", "TRUE"),
-        ("castable", "Order Date", f"({bad_dates} = 0)"),
         ("headers", "differing_files", "0"),
         ("headers", "consistent", "TRUE"),
     ]
+    for c in ("product", "quantity_ordered", "price_each", "order_date"):
+        bad = f"(SELECT {BAD_VALUES[c]} FROM {NUMERIC_ROWS})"
+        items += [("bad_values", names[c], bad), ("castable", names[c], f"({bad} = 0)")]
     items += [
         ("nulls", header, f"(SELECT count(*) FROM raw WHERE {c} IS NULL)")
         for c, header in names.items()
@@ -219,10 +228,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(*) AS total, (SELECT count(*) FROM (SELECT DISTINCT order_id FROM raw)) AS distinct_keys, "
             "count(*) - (SELECT count(*) FROM (SELECT DISTINCT order_id FROM raw)) AS potential_duplicates FROM raw"
         ),
-        "castability": over(
-            f", numeric_rows AS (SELECT *, {LENIENT_DATE} AS lenient FROM (SELECT DISTINCT * FROM raw) "
-            f"WHERE {NUMERIC_ID}) " + _castability("numeric_rows")
-        ),
+        "castability": over(_castability()),
         "schema_table": over(_long(schema_rows)),
         "shape": over("SELECT count(*) AS row_count, CAST(6 AS INTEGER) AS column_count FROM raw"),
         "sample_values": over(

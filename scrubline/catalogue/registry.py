@@ -26,8 +26,8 @@ from scrubline.plans import CleanseConfig, cleanse, profile
 from scrubline.plans.cleansing import (
     SALES_SCHEMA,
     clean,
-    final_columns,
     latest,
+    latest_records,
     record_rules,
     with_parsed_date,
 )
@@ -69,7 +69,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def cleanse_keep_latest(spark, sf_dir):
-    return comparable(final_columns(latest(clean(raw(spark, sf_dir)))))
+    return comparable(latest_records(clean(raw(spark, sf_dir))))
 
 
 def clean_rows(spark, sf_dir):
@@ -244,13 +244,13 @@ def input_preflight(spark, sf_dir):
 
 def partitioned_round_trip(spark, sf_dir):
     path = scratch_path(spark, "partitioned")
-    write_partitioned_parquet(final_columns(latest(clean(raw(spark, sf_dir)))), path, MONTHS)
+    write_partitioned_parquet(latest_records(clean(raw(spark, sf_dir))), path, MONTHS)
     return partition_listing(spark, path, MONTHS)
 
 
 def single_parquet_round_trip(spark, sf_dir):
     path = scratch_path(spark, "single")
-    write_single_parquet(final_columns(latest(clean(raw(spark, sf_dir)))), path)
+    write_single_parquet(latest_records(clean(raw(spark, sf_dir))), path)
     return comparable(spark.read.parquet(path))
 
 

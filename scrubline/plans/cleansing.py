@@ -115,39 +115,43 @@ def with_parsed_date(df: DataFrame, config: CleanseConfig) -> DataFrame:
 
 
 def typed(accepted: DataFrame, config: CleanseConfig) -> DataFrame:
-    """Accepted rows with the integer ID and the year and month of their date."""
-    return accepted.withColumns(
-        {
-            config.id_column: parse_int(F.col(config.id_column)),
-            config.year_column: F.year(config.parsed_column),
-            config.month_column: F.month(config.parsed_column),
-        }
-    )
+    """Accepted rows with their ID as an integer."""
+    return accepted.withColumn(config.id_column, parse_int(F.col(config.id_column)))
+
+
+def with_year_month(df: DataFrame, config: CleanseConfig) -> DataFrame:
+    date = F.col(config.parsed_column)
+    return df.withColumns({config.year_column: F.year(date), config.month_column: F.month(date)})
 
 
 def clean(df: DataFrame, config: CleanseConfig = CleanseConfig()) -> DataFrame:
     """Rows that pass the rules, typed; the text date is kept beside the parsed one."""
-    return typed(rules.accept(with_parsed_date(df, config), record_rules(config)), config)
+    accepted = rules.accept(with_parsed_date(df, config), record_rules(config))
+    return with_year_month(typed(accepted, config), config)
 
 
 def latest(cleaned: DataFrame, config: CleanseConfig = CleanseConfig()) -> DataFrame:
     """The latest row per key."""
     breakers = config.tie_breakers
     if breakers is None:
-        # Year, month and the date text follow from the key or the parsed date.
-        derived = {config.date_column, config.parsed_column, *config.partition_columns}
-        breakers = [c for c in config.columns if c not in derived and c not in config.keys]
-        breakers.append(config.date_column)
+        # Year and month follow from the date and settle nothing.
+        used = {*config.keys, config.parsed_column, *config.partition_columns}
+        breakers = [c for c in cleaned.columns if c not in used]
     return dedup.keep_latest(cleaned, config.keys, [config.parsed_column], breakers)
 
 
-def final_columns(df: DataFrame, config: CleanseConfig = CleanseConfig()) -> DataFrame:
-    """The output record: the parsed date takes the place of its text."""
+def latest_records(cleaned: DataFrame, config: CleanseConfig = CleanseConfig()) -> DataFrame:
+    """The latest row per key as the output record, the parsed date in place of its text.
+
+    What the record does not hold, or what follows from it, is not shuffled.
+    """
+    needed = cleaned.drop(config.date_column, *config.partition_columns)
+    dated = with_year_month(latest(needed, config), config)
     record = [
         F.col(config.parsed_column).alias(c) if c == config.date_column else F.col(c)
         for c in config.columns
     ]
-    return df.select(*record, *config.partition_columns)
+    return dated.select(*record, *config.partition_columns)
 
 
 @dataclass(frozen=True)
@@ -201,7 +205,7 @@ def cleanse(
 
 def _write_latest(accepted: DataFrame, target: str, config: CleanseConfig) -> T.StructType:
     """Dedup and write accepted records; returns the schema of the output."""
-    df = final_columns(latest(typed(accepted, config), config), config)
+    df = latest_records(typed(accepted, config), config)
     if config.output == "partitioned":
         write_partitioned_parquet(df, target, config.partition_columns)
     else:
@@ -220,7 +224,7 @@ def _run_staged(
     row_rules = record_rules(config)
     staging = scratch_path(spark, "classified")
     try:
-        staged = rules.classify(records, row_rules)
+        staged = rules.classify(records, row_rules).drop(config.date_column)
         staged.write.parquet(staging)
         classified = spark.read.schema(staged.schema).parquet(staging)
         schema = _write_latest(_accepted(classified), target, config)
