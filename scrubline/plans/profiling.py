@@ -84,9 +84,11 @@ def table_report(df: DataFrame, config: ProfileConfig = ProfileConfig()) -> Data
 
 
 def types_report(spark: SparkSession, source: str, config: ProfileConfig = ProfileConfig()) -> DataFrame:
-    """``section, item, value``: column types as inferred from the first file by name."""
+    """``section, item, value``: column types as inferred from the first file by name,
+    very large ones coming last."""
     inventory = file_inventory(spark, source, config.dialect.pattern)
-    sample = inventory.orderBy("file_name").first()
+    large = F.col("size_bytes") > config.dialect.whole_file_bytes
+    sample = inventory.orderBy(large, "file_name").first()
     if sample is None:
         raise ValueError(f"no {config.dialect.pattern} files in {source}")
     inferred = read_csv_inferred(spark, literal_path(sample.file_path), config.dialect)

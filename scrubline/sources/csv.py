@@ -151,7 +151,10 @@ def read_csv_dir(
 
 
 def read_csv_inferred(spark: SparkSession, path: str, dialect: CsvDialect = CsvDialect()) -> DataFrame:
-    """File or directory with column types inferred, at the cost of one more pass."""
+    """File or directory with column types inferred, at the cost of one more pass.
+
+    Files are read as a whole where records may run over several lines.
+    """
     reader = _reader(spark, dialect, bool(_multiline(spark, path, dialect)))
     return reader.option("inferSchema", True).csv(path)
 
