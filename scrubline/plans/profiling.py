@@ -51,36 +51,44 @@ def rows_where(condition: Column) -> Column:
 
 
 def table_report(df: DataFrame, config: ProfileConfig = ProfileConfig()) -> DataFrame:
-    """``section, item, value`` about the rows of a frame, in one pass and one job.
+    """``section, item, value`` about the rows of a frame, from one pass over it.
 
     The distinct rows with their copies are worked out once; every figure then
     follows from these groups: sums of copies give row counts, plain counts give
-    figures on deduplicated rows.
+    figures on deduplicated rows. Distinct counts are kept apart from the other
+    figures, which would otherwise be carried along with every distinct value; both
+    read the same shuffle.
     """
     groups = dedup.copies(df, name=_N)
     nulls = {c: F.col(f"`{c}`").isNull() for c in df.columns}
     numeric_key = F.coalesce(is_numeric_text(F.col(config.key_column)), F.lit(False))
+    bad = {t.column: F.count_if(numeric_key & t.bad()) for t in config.cast_targets}
 
-    figures = {
-        ("shape", "rows"): F.coalesce(F.sum(_N), F.lit(0)),
+    counts = {
         ("nulls", "rows_with_any"): rows_where(reduce(or_, nulls.values())),
+        **{("nulls", c): rows_where(is_null) for c, is_null in nulls.items()},
         ("duplicates", "beyond_first"): F.coalesce(F.sum(F.col(_N) - 1), F.lit(0)),
         ("duplicates", "members"): rows_where(F.col(_N) > 1),
-        ("distinct", config.key_column): distinct_with_null(config.key_column),
-        ("distinct", config.date_column): F.count_distinct(config.date_column),
+        **{("bad_values", c): count for c, count in bad.items()},
     }
-    figures |= {("nulls", c): rows_where(is_null) for c, is_null in nulls.items()}
-    figures |= {("bad_values", t.column): F.count_if(numeric_key & t.bad()) for t in config.cast_targets}
-
-    found = {key: F.col(f"f{i}") for i, key in enumerate(figures)}
-    one_row = groups.agg(*[value.alias(f"f{i}") for i, value in enumerate(figures.values())])
+    found = {key: F.col(f"f{i}") for i, key in enumerate(counts)}
+    counted = groups.agg(*[value.alias(f"f{i}") for i, value in enumerate(counts.values())])
     rows = [_item(section, item, value) for (section, item), value in found.items()]
-    rows.append(_item("shape", "columns", F.lit(len(df.columns))))
-    repeats = found["shape", "rows"] - found["distinct", config.key_column]
-    rows.append(_item("duplicates", f"potential_by_{config.key_column}", repeats))
-    for t in config.cast_targets:
-        rows.append(_item("castable", t.column, found["bad_values", t.column] == 0))
-    return as_rows(one_row, rows)
+    rows += [_item("castable", c, found["bad_values", c] == 0) for c in bad]
+
+    distinct = groups.agg(
+        F.coalesce(F.sum(_N), F.lit(0)).alias("rows"),
+        distinct_with_null(config.key_column).alias("keys"),
+        F.count_distinct(config.date_column).alias("dates"),
+    )
+    key_rows = [
+        _item("shape", "rows", F.col("rows")),
+        _item("shape", "columns", F.lit(len(df.columns))),
+        _item("distinct", config.key_column, F.col("keys")),
+        _item("distinct", config.date_column, F.col("dates")),
+        _item("duplicates", f"potential_by_{config.key_column}", F.col("rows") - F.col("keys")),
+    ]
+    return as_rows(counted, rows).unionByName(as_rows(distinct, key_rows))
 
 
 def types_report(spark: SparkSession, source: str, config: ProfileConfig = ProfileConfig()) -> DataFrame:

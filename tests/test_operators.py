@@ -98,6 +98,26 @@ def test_hot_copies_are_put_out_by_many_tasks(spark):
     assert len(blanks) == 8 and max(blanks) < 40_000
 
 
+def test_hot_key_members_are_split(spark, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    spark.range(0, 60_000, 1, 8).select(key.alias("k"), "id").write.parquet(f"{tmp_path}/t")
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        members = dedup.key_members(spark.read.parquet(f"{tmp_path}/t"), ["k"])
+        assert len(members.collect()) == 20_000
+        assert "SortMergeJoin(skew=true)" in plan_of(members)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_exact_duplicates_share_one_shuffle(spark, tmp_path):
     spark.range(1000).select((F.col("id") % 7).alias("a")).write.parquet(f"{tmp_path}/t")
     df = spark.read.parquet(f"{tmp_path}/t")
