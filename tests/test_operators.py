@@ -103,9 +103,12 @@ def test_hot_key_members_are_split(spark, tmp_path):
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        # Spark splits what exceeds five times the median partition.
+        "spark.sql.shuffle.partitions": "32",
     }
     key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
-    spark.range(0, 60_000, 1, 8).select(key.alias("k"), "id").write.parquet(f"{tmp_path}/t")
+    body = F.sha2(F.col("id").cast("string"), 256).alias("body")
+    spark.range(0, 60_000, 1, 8).select(key.alias("k"), "id", body).write.parquet(f"{tmp_path}/t")
     before = {name: spark.conf.get(name) for name in settings}
     try:
         for name, value in settings.items():
