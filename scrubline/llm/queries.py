@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scrubline.llm import chat, mixing, packing, token_files
+from scrubline.llm import ann, chat, embedding_dedup, language_id, mixing, packing, token_files, toxicity
 from scrubline.llm.common import table
 from scrubline.plans.scratch import scratch_path
 
@@ -15,6 +16,16 @@ PLANTED_CONVERSATION = -7
 PLANTED_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    texts, toxic = toxicity.training_sample(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, toxicity.fit(texts, toxic))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,6 +46,16 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(planted)))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    samples = language_id.training_sample(docs, per_language=200)
+    return language_id.identify(docs, language_id.fit(samples, public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -42,9 +63,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_toxicity,
+        op4_embedding_dedup,
         op5_token_files,
         op6_mix_sources,
         op7_chat_format,
+        op8_language_id,
+        op9_nearest,
         op10_best_fit_packing,
     )
 }
