@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.llm import ann, chat, embedding_dedup, language_id, mixing, packing, token_files, toxicity
+from scrubline.llm import ann, chat, embedding_dedup, jaccard_join, language_id, mixing, packing, token_files, toxicity
 from scrubline.llm.common import table
 from scrubline.plans.scratch import scratch_path
 
@@ -22,6 +22,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(texts, toxic))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity,
+        op3_jaccard_join,
         op4_embedding_dedup,
         op5_token_files,
         op6_mix_sources,
