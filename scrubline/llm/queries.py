@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.llm import ann, chat, embedding_dedup, jaccard_join, language_id, mixing, packing, token_files, toxicity
+from scrubline.llm import ann, chat, embedding_dedup, jaccard_join, language_id, mixing, packing, suffix_dedup, token_files, toxicity
 from scrubline.llm.common import table
 from scrubline.plans.scratch import scratch_path
 
@@ -22,6 +22,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(texts, toxic))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).drop("text")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_texts(table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity,
+        op2_suffix_dedup,
         op3_jaccard_join,
         op4_embedding_dedup,
         op5_token_files,

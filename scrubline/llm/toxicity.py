@@ -252,44 +252,52 @@ def training_sample(
     return [r[1] for r in rows], [toxic[r[0]] for r in rows]
 
 
+class _Scorer:
+    """Scores texts in a task; keeps what each distinct word brings."""
+
+    def __init__(self, net: Network):
+        self.net = net
+        self.empty = word_inputs(net, np.array([PAD]), char_codes([""]))[0]
+        self.table = WordRows(self._compute, limit=300_000)
+
+    def _compute(self, words: list[str]) -> np.ndarray:
+        ids = np.array([self.net.vocabulary.get(w, UNKNOWN) for w in words], np.int64)
+        codes = char_codes(words)
+        parts = [word_inputs(self.net, ids[a : a + 8192], codes[a : a + 8192])[0] for a in range(0, len(ids), 8192)]
+        return np.concatenate(parts)
+
+    def scores(self, n_rows: int, lots: list[tuple[np.ndarray, list[str]]]) -> np.ndarray:
+        worst = np.full(n_rows, -np.inf)
+        for rows, words in lots:
+            full = rows[rows[:, 1] > 0]
+            if not len(full):
+                continue
+            at, owner = windows(full[:, 1])
+            number = self.table.lookup(words)
+            real = at >= 0
+            number = number[np.maximum(at, 0)]
+            logits = np.empty(len(at), np.float32)
+            for a in range(0, len(at), 2048):
+                gates = self.table.rows[number[a : a + 2048]]
+                gates[~real[a : a + 2048]] = self.empty
+                logits[a : a + 2048] = attend(self.net, states(self.net, gates)[0], real[a : a + 2048])[0]
+            np.maximum.at(worst, full[owner, 0], logits)
+        return np.where(np.isneginf(worst), 0.0, _sigmoid(np.where(np.isneginf(worst), 0, worst)))
+
+
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score of every whole text: doc_id, held_out, score, predicted.
 
     The score is that of the worst of all overlapping windows. Texts without a word,
     nulls too, have score 0. Rows with equal ids are each scored.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(net)
+    bounded_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = shared.value
-
-        def compute(words: list[str]) -> np.ndarray:
-            ids = np.array([n.vocabulary.get(w, UNKNOWN) for w in words], np.int64)
-            codes = char_codes(words)
-            parts = [word_inputs(n, ids[a : a + 8192], codes[a : a + 8192])[0] for a in range(0, len(ids), 8192)]
-            return np.concatenate(parts)
-
-        empty = word_inputs(n, np.array([PAD]), char_codes([""]))[0]
-        table = WordRows(compute, limit=300_000)
+        scorer = _Scorer(shared.value)
         for batch, lots in gathered(WORDS, batches, 2, 160_000, STEP):
-            worst = np.full(batch.num_rows, -np.inf)
-            for rows, words in lots:
-                full = rows[rows[:, 1] > 0]
-                if not len(full):
-                    continue
-                at, owner = windows(full[:, 1])
-                number = np.append(table.lookup(words), len(table.rows) - 1)
-                gate_rows = table.rows
-                real = at >= 0
-                logits = np.empty(len(at), np.float32)
-                for a in range(0, len(at), 2048):
-                    gates = gate_rows[number[at[a : a + 2048]]]
-                    gates[~real[a : a + 2048]] = empty
-                    logits[a : a + 2048] = attend(n, states(n, gates)[0], real[a : a + 2048])[0]
-                np.maximum.at(worst, full[owner, 0], logits)
-            value = np.where(np.isneginf(worst), 0.0, _sigmoid(np.where(np.isneginf(worst), 0, worst)))
+            value = scorer.scores(batch.num_rows, lots)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(value), pa.array((value >= 0.5).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
@@ -299,3 +307,17 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out, F.col(text_col).alias("text")).mapInArrow(
         run, SCHEMA
     )
+
+
+def reject_toxic(docs: DataFrame, net: Network, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text scores under the threshold."""
+    bounded_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    text_at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(shared.value)
+        for batch, lots in gathered(WORDS, batches, text_at, 160_000, STEP):
+            yield batch.filter(pa.array(scorer.scores(batch.num_rows, lots) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
