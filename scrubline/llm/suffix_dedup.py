@@ -16,17 +16,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scrubline.llm.blocks import groups
 from scrubline.llm.common import bounded_batches
-from scrubline.llm.hashing import BASE, mixed, piece_hashes, prefix_hashes
+from scrubline.llm.hashing import mixed, piece_hashes, prefix_hashes
 
 REACH = 32
 LOT = 1 << 20
-HOT = 20_000
+BUCKET_ROWS = 1_000_000
+SAMPLE_DOCS = 20_000
 CHUNK = 16_384
+MASKS = "id long, identity long, first long, mask long"
 
 
 def _lots(texts: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -181,26 +185,41 @@ def repeated(
     return mask, open_
 
 
-def _binary(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
-    """Pieces of the data as a column."""
-    offsets = np.concatenate([[0], np.cumsum(size)])
-    take = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, size)
-    return pa.BinaryArray.from_buffers(
-        pa.binary(), len(size), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[take].tobytes())]
-    )
-
-
 def _identity(text: bytes) -> int:
     """Tells texts of one id apart."""
-    return (zlib.crc32(text) << 30) ^ len(text)
+    return zlib.crc32(text) & 0xFFFF
 
 
 def _bytes(column: pa.Array) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
 
 
+def _pack_rows(hashes: np.ndarray, spans: np.ndarray, owner: np.ndarray, packed: np.ndarray) -> bytes:
+    """Anchors of one bucket, by owner and place: 6 bytes of hash, 5 of the passages' bytes' hash, the rest as differences."""
+    n = len(hashes)
+    step = np.diff(packed, prepend=0)
+    rest = zlib.compress(np.diff(owner, prepend=0).astype("<u4").tobytes() + step.astype("<i8").tobytes(), 1)
+    head = np.array([n], "<u4").tobytes()
+    return b"".join(
+        [head, hashes.view(np.uint8).reshape(n, 8)[:, :6].tobytes(), spans.view(np.uint8).reshape(n, 8)[:, :5].tobytes(), rest]
+    )
+
+
+def _unpack_rows(blob: bytes) -> tuple[np.ndarray, ...]:
+    n = int(np.frombuffer(blob, "<u4", 1)[0])
+
+    def whole(at: int, width: int) -> np.ndarray:
+        out = np.zeros((n, 8), np.uint8)
+        out[:, :width] = np.frombuffer(blob, np.uint8, n * width, at).reshape(n, width)
+        return out.view(np.uint64).ravel()
+
+    rest = zlib.decompress(blob[4 + 11 * n :])
+    owner = np.cumsum(np.frombuffer(rest, "<u4", n), dtype=np.int64)
+    return whole(4, 6), whole(4 + 6 * n, 5), owner, np.cumsum(np.frombuffer(rest, "<i8", n, 4 * n))
+
+
 def remove_repeats(
-    docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT
+    docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
     """Documents without the bytes that a passage of an earlier document covers.
 
@@ -212,80 +231,110 @@ def remove_repeats(
     rows of equal ids are judged each, and take nothing from each other. Clashing input
     columns are replaced.
 
-    An anchor that more than ``hot`` rows hold is taken apart into its passages, each of
-    which is a key of its own, so no task holds more than ``hot`` different rows of a key.
+    Anchors travel in buckets of about ``bucket_rows``, packed. Where rows are alike in
+    all bytes around an anchor (by two hashes of 88 bits together), all but the earliest
+    document's are settled there; others send these bytes and are sorted. An anchor that
+    would by a sample fill a bucket alone goes by its passages instead, which Spark
+    counts with partial aggregation.
     """
     added = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
     docs = docs.drop(*added)
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
     rest = [c for c in docs.columns if c != text_col]
     source = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.struct(F.lit(0).alias("_"), *rest).alias("rest")
     )
-    gram = span - REACH + 1
+    named = source.filter("id IS NOT NULL").select("id", "text")
+    n_docs, n_bytes = named.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = max(shuffle, round((n_bytes or 0) * 2 / (REACH + 1) / bucket_rows))
+    hot = spark.sparkContext.broadcast(_hot_anchors(named, n_docs, span, bucket_rows))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = _bytes(batch.column(1))
-            for a, b in _lots(texts):
-                owner, hashes, place, first, last = anchors(texts[a:b], span)
-                packed = (place << 10) | ((place - first) << 5) | (place - last)
-                ids = batch.column(0).slice(a, b - a).take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays([pa.array(hashes), ids, pa.array(packed)], ["hash", "id", "packed"])
-
-    found = source.filter("id IS NOT NULL").select("id", "text").mapInArrow(find, "hash long, id long, packed long")
-    # One exchange serves the counts and the join with them.
-    found = found.repartition("hash")
-    several = found.groupBy("hash").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.max("id").alias("most"))
-    several = several.filter("least < most").select("hash", (F.col("n") > hot).alias("hot"))
-    kept = found.join(several.hint("shuffle_hash"), "hash")
-    per_doc = kept.groupBy("id").agg(F.collect_list(F.struct("hash", "packed", "hot")).alias("found"))
-    by_id = source.repartition("id")
+            all_texts, all_ids = _bytes(batch.column(1)), batch.column(0).to_numpy()
+            for a, b in _lots(all_texts):
+                texts, ids = all_texts[a:b], all_ids[a:b]
+                owner, hashes, place, first, last = anchors(texts, span)
+                keep = ~np.isin(hashes, hot.value)
+                owner, hashes, place, first, last = (x[keep] for x in (owner, hashes, place, first, last))
+                identity = np.array([_identity(t) for t in texts], np.int64)[owner]
+                packed = (place << 26) | (identity << 10) | ((place - first) << 5) | (place - last)
+                data = np.frombuffer(b"".join(texts), np.uint8)
+                begin = np.cumsum([0] + [len(t) for t in texts[:-1]])[owner]
+                spans = mixed(piece_hashes(prefix_hashes(data), begin + first, begin + last + span), 3)
+                bucket = (mixed(hashes.view(np.uint64), 7) % np.uint64(n_buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else []
+                blobs = []
+                for rows in np.split(order, cuts[1:]) if len(order) else []:
+                    used, back = np.unique(owner[rows], return_inverse=True)
+                    blobs.append(
+                        np.array([len(used)], "<u4").tobytes() + ids[used].astype("<i8").tobytes()
+                        + _pack_rows(hashes[rows].view(np.uint64), spans[rows], back, packed[rows])
+                    )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[order][cuts] if len(order) else [], pa.int64()), pa.array(blobs, pa.binary())],
+                    ["bucket", "rows"],
+                )
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, ["bucket"]):
+            parts = []
+            for blob in group.column("rows").to_pylist():
+                n = int(np.frombuffer(blob, "<u4", 1)[0])
+                hashes, spans, owner, packed = _unpack_rows(blob[4 + 8 * n :])
+                parts.append((hashes, spans, np.frombuffer(blob, "<i8", n, 4)[owner], packed))
+            hashes, spans, ids, packed = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(hashes, kind="stable")
+            h = hashes[order]
+            first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            low, high = np.minimum.reduceat(ids[order], first), np.maximum.reduceat(ids[order], first)
+            order = order[np.repeat(low < high, np.diff(np.append(first, len(h))))]
+            order = order[np.lexsort((ids[order], spans[order], hashes[order]))]
+            h, s, ids, packed = hashes[order], spans[order], ids[order], packed[order]
+            new_h = np.append(True, h[1:] != h[:-1])[: len(h)]
+            new = new_h | np.append(True, s[1:] != s[:-1])[: len(h)]
+            least = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
+            full = ids > least
+            classes = np.bincount(np.cumsum(new_h) - 1, new) if len(h) else np.empty(0)
+            tell = full | (classes[np.cumsum(new_h) - 1] > 1)
+            h = np.where(full, 0, h.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[tell]), pa.array(h[tell]), pa.array(packed[tell])], ["id", "hash", "packed"])
+
+    found = named.mapInArrow(find, "bucket long, rows binary").repartition(n_buckets, "bucket")
+    found = found.sortWithinPartitions("bucket").mapInArrow(match, "id long, hash long, packed long")
+    # What is told of a document, once for the bytes around and once for the cut; hash 0: settled.
+    per_doc = found.groupBy("id").agg(F.collect_list(F.struct("hash", "packed")).alias("found"))
+    told = source.repartition("id").join(per_doc.hint("shuffle_hash"), "id", "left")
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place_power = np.array([pow(BASE, j, 1 << 64) for j in range(gram)], np.uint64)
         for batch in batches:
-            texts = _bytes(batch.column("text"))
-            for a, b in _lots(texts):
-                lists = batch.column("found").slice(a, b - a)
-                data = np.frombuffer(b"".join(texts[a:b]), np.uint8)
-                sizes = np.array([len(t) for t in texts[a:b]])
-                flat = lists.flatten()
-                hashes, packed, is_hot = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-                owner = np.repeat(np.arange(b - a), lists.value_lengths().to_numpy())
-                place, begin = packed >> 10, (np.cumsum(sizes) - sizes)[owner]
+            out: list[list] = [[] for _ in range(6)]
+            for doc, text, found_ in zip(batch.column("id").to_pylist(), batch.column("text"), batch.column("found")):
+                if not found_.is_valid:
+                    continue
+                data = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                hashes, packed = (found_.values.field(k).to_numpy() for k in (0, 1))
+                identity = _identity(data)
+                mine = (hashes != 0) & ((packed >> 10) & 0xFFFF == identity)
+                hashes, packed = hashes[mine], packed[mine]
+                place = packed >> 26
                 first, last = place - ((packed >> 5) & 31), place - (packed & 31)
-                # Of several texts with one id each takes its own anchors.
-                ok = np.flatnonzero(last + span <= sizes[owner])
-                window = data[(begin + place)[ok, None] + np.arange(gram)].astype(np.uint64) + np.uint64(1)
-                ok = ok[mixed((window * place_power).sum(1, dtype=np.uint64)).view(np.int64) == hashes[ok]]
-                hashes, owner, begin, first, last, lead, is_hot = (
-                    x[ok] for x in (hashes, owner, begin, first, last, (packed >> 5) & 31, is_hot)
-                )
-                # Passages of hot anchors become rows of their own.
-                each = np.where(is_hot, last - first + 1, 1)
-                row = np.repeat(np.arange(len(each)), each)
-                number = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
-                first = first[row] + number
-                last = np.where(is_hot[row], first, last[row])
-                size = last - first + span
-                start = begin[row] + first
-                key, lead = hashes[row], np.where(is_hot[row], 0, lead[row])
-                single = np.flatnonzero(is_hot[row])
-                if len(single):
-                    prefix = prefix_hashes(data)
-                    key = key.copy()
-                    key[single] = mixed(piece_hashes(prefix, start[single], start[single] + span), 5).view(np.int64)
-                identity = np.array([_identity(t) for t in texts[a:b]], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), batch.column("id").slice(a, b - a).take(pa.array(owner[row])),
-                     pa.array(identity[owner[row]]), pa.array(first), pa.array(lead.astype(np.int32)), _binary(data, start, size)],
-                    ["hash", "id", "identity", "first", "lead", "bytes"],
-                )
+                for column, values in zip(
+                    out,
+                    (hashes.tolist(), [doc] * len(hashes), [identity] * len(hashes), first.tolist(), (place - first).tolist(),
+                     [data[x : y + span] for x, y in zip(first.tolist(), last.tolist())]),
+                ):
+                    column += values
+            kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, k) for v, k in zip(out, kinds)], ["hash", "id", "identity", "first", "lead", "bytes"]
+            )
 
     kind = "hash long, id long, identity long, first long, lead int, bytes binary"
-    joined = by_id.select("id", "text").join(per_doc.hint("shuffle_hash"), "id")
-    pieces = joined.mapInArrow(around, kind).repartition("hash").sortWithinPartitions("hash", "id")
+    pieces = told.mapInArrow(around, kind).repartition("hash").sortWithinPartitions("hash", "id")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried: pa.Table | None = None
@@ -296,12 +345,14 @@ def remove_repeats(
             mask, open_ = repeated(doc, group, rows.column("lead").to_numpy(), rows.column("bytes").to_pylist(), span)
             hit = np.flatnonzero(mask[n_old:]) + n_old
             if len(hit):
-                told = rows.select(["id", "identity", "first"]).take(pa.array(hit)).combine_chunks().to_batches()[0]
-                yield pa.RecordBatch.from_arrays([*told.columns, pa.array(mask[hit])], ["id", "identity", "first", "mask"])
+                seen = rows.select(["id", "identity", "first"]).take(pa.array(hit)).combine_chunks().to_batches()[0]
+                yield pa.RecordBatch.from_arrays([*seen.columns, pa.array(mask[hit])], ["id", "identity", "first", "mask"])
             # Rows that later ones of the last key may match.
             carried = rows.take(pa.array(open_[group[open_] == group[-1]]))
 
-    masks = pieces.mapInArrow(judge, "id long, identity long, first long, mask long")
+    masks = pieces.mapInArrow(judge, MASKS)
+    if len(hot.value):
+        masks = masks.unionByName(_hot_masks(named, hot, span))
     masks = masks.groupBy("id").agg(F.collect_list(F.struct("identity", "first", "mask")).alias("masks"))
     schema = T.StructType([
         source.schema["text"], source.schema["rest"],
@@ -311,21 +362,26 @@ def remove_repeats(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, out = _bytes(batch.column("text")), []
-            nulls = batch.column("text").is_null().to_pylist()
-            for text, null, found_ in zip(texts, nulls, batch.column("masks")):
-                removed, spans, left = 0, 0, text
+            columns_ = (batch.column("text").is_null().to_pylist(), batch.column("found"), batch.column("masks"))
+            for text, null, found_, masks_ in zip(texts, *columns_):
+                first, last, left = [], [], text
                 if found_.is_valid:
-                    told = found_.values
-                    mine = told.field("identity").to_numpy() == _identity(text)
-                    first, mask = told.field("first").to_numpy()[mine], told.field("mask").to_numpy()[mine]
-                    bits = (mask[:, None] >> np.arange(REACH)) & 1
-                    row, number = np.nonzero(bits)
+                    hashes, packed = (found_.values.field(k).to_numpy() for k in (0, 1))
+                    packed = packed[(hashes == 0) & ((packed >> 10) & 0xFFFF == _identity(text))]
+                    first.append((packed >> 26) - ((packed >> 5) & 31))
+                    last.append((packed >> 26) - (packed & 31))
+                if masks_.is_valid:
+                    mine = masks_.values.field("identity").to_numpy() == _identity(text)
+                    row, number = np.nonzero((masks_.values.field("mask").to_numpy()[mine][:, None] >> np.arange(REACH)) & 1)
+                    first.append(masks_.values.field("first").to_numpy()[mine][row] + number)
+                    last.append(first[-1])
+                removed = spans = 0
+                if first and sum(map(len, first)):
                     marks = np.zeros(len(text) + span + 1, np.int32)
-                    np.add.at(marks, first[row] + number, 1)
-                    np.add.at(marks, first[row] + number + span, -1)
+                    np.add.at(marks, np.concatenate(first), 1)
+                    np.add.at(marks, np.concatenate(last) + span, -1)
                     gone = np.cumsum(marks)[: len(text)] > 0
-                    removed = int(gone.sum())
-                    spans = int((gone & ~np.append(False, gone[:-1])).sum()) if len(text) else 0
+                    removed, spans = int(gone.sum()), int((gone & ~np.append(False, gone[:-1])).sum())
                     left = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 shown = None if null else left.decode("utf-8", "ignore") if removed else text.decode("utf-8", "surrogatepass")
                 out.append((shown, len(text), removed, spans, hashlib.sha256(left).hexdigest()))
@@ -334,11 +390,64 @@ def remove_repeats(
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays([arrays[0], batch.column("rest"), *arrays[1:]], ["text", "rest", *added])
 
-    done = by_id.join(masks.hint("shuffle_hash"), "id", "left").select("text", "rest", "masks").mapInArrow(cut, schema)
+    done = told.join(masks.hint("shuffle_hash"), "id", "left").select("text", "rest", "found", "masks").mapInArrow(cut, schema)
     columns = [F.col("text").alias(text_col) if c == text_col else F.col("rest").getField(c).alias(c) for c in docs.columns]
     return done.select(*columns, *added)
 
 
+def _hot_anchors(named: DataFrame, n_docs: int, span: int, rows: int) -> np.ndarray:
+    """Hashes of anchors that would by a sample of documents have more than ``rows`` rows.
+
+    As a document has few rows of an anchor, there are none if there are fewer documents.
+    At most some hundred times the number of documents over ``rows`` hashes qualify.
+    """
+    if n_docs <= rows:
+        return np.empty(0, np.int64)
+    rate = min(1.0, SAMPLE_DOCS / n_docs)
+    sample = named.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(rate * (1 << 20)) + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = _bytes(batch.column(1))
+            for a, b in _lots(texts):
+                yield pa.RecordBatch.from_arrays([pa.array(anchors(texts[a:b], span)[1])], ["hash"])
+
+    counts = sample.mapInArrow(run, "hash long").groupBy("hash").count()
+    return np.array([r[0] for r in counts.filter(F.col("count") > max(1, rate * rows)).select("hash").collect()], np.int64)
+
+
+def _hot_masks(named: DataFrame, hot: Broadcast, span: int) -> DataFrame:
+    """Passages of hot anchors that an earlier document holds, each passage by itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            all_texts = _bytes(batch.column(1))
+            for a, b in _lots(all_texts):
+                texts = all_texts[a:b]
+                owner, hashes, _, first, last = anchors(texts, span)
+                keep = np.isin(hashes, hot.value)
+                owner, first, last = owner[keep], first[keep], last[keep]
+                each = last - first + 1
+                row = np.repeat(np.arange(len(each)), each)
+                at = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
+                owner = owner[row]
+                begin = np.cumsum([0] + [len(t) for t in texts[:-1]])[owner]
+                data = np.frombuffer(b"".join(texts), np.uint8)
+                whole = piece_hashes(prefix_hashes(data), begin + at, begin + at + span)
+                half = piece_hashes(prefix_hashes(data[::-1]), len(data) - begin - at - span, len(data) - begin - at)
+                identity = np.array([_identity(t) for t in texts], np.int64)[owner]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(mixed(whole, 3).view(np.int64)), pa.array(mixed(half, 4).view(np.int64)),
+                     batch.column(0).slice(a, b - a).take(pa.array(owner)), pa.array(identity), pa.array(at)],
+                    ["w1", "w2", "id", "identity", "first"],
+                )
+
+    rows = named.mapInArrow(run, "w1 long, w2 long, id long, identity long, first long")
+    least = rows.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
+    later = rows.join(least, ["w1", "w2"]).filter("id > least")
+    return later.select("id", "identity", "first", F.lit(1).cast("long").alias("mask"))
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Rows in tables of about ``CHUNK``."""
     held, size = [], 0
