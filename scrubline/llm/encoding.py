@@ -66,8 +66,9 @@ class WordEncoder:
         except KeyError:
             if len(self._memo) > self.limit:
                 self._memo.clear()
-            for word in set(words) - self._memo.keys():
-                self._memo[word] = self._word(word)
+            for word in words:
+                if word not in self._memo:
+                    self._memo[word] = self._word(word)
             body = b"".join(map(self._memo.__getitem__, words))
         return (self._whole(head) if head else b"") + body
 

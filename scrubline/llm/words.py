@@ -42,7 +42,7 @@ class WordRows:
 
     def lookup(self, words: list[str]) -> np.ndarray:
         """Row numbers of the words; they hold until the next call."""
-        new = set(words) - self.index.keys()
+        new = {w for w in words if w not in self.index}
         if new:
             if len(self.index) + len(new) > self.limit:
                 self.index.clear()
