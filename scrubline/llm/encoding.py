@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -12,6 +13,10 @@ import numpy as np
 # Both neighbours of a space are white space (or the text ends): words cannot be taken apart there.
 _RUN = re.compile(r"\s (?=\s|\Z)")
 _CUT = re.compile(r"(?<=\w) (?=\w)")
+# Letters that no normalisation changes but to lower case, marks, and perhaps letters on the next line.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-^`{-~]*)(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+))?")
+# How byte vocabularies write the bytes of longer characters: fixed values.
+_BYTE_SIGNS = {ord(" "): " "} | {b: 256 + 33 + b - 127 for b in range(127, 161)} | {173: 256 + 67}
 
 
 class WordEncoder:
@@ -23,39 +28,56 @@ class WordEncoder:
     tokenizer. Texts with runs of white space or special tokens are encoded whole.
     Ids are little-endian unsigned integers of 16 bits if the vocabulary fits, else 32.
 
-    ``limit`` bounds the memo (it starts anew when full), ``slice_chars`` the text
+    ``limit`` bounds either half of the memo, ``slice_chars`` the text
     that is split at once.
     """
 
-    def __init__(self, path: str, limit: int = 500_000, slice_chars: int = 1 << 16):
+    def __init__(self, path: str, limit: int = 400_000, slice_chars: int = 1 << 16):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit, self.slice_chars = limit, slice_chars
+        # Codes of the array module and of numpy alike.
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._memo: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        self._known_marks: dict[str, bytes] = {}
         self._special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # A word vocabulary gives the same ids with and without the space before, a byte one does not.
         self._space = "Ġ" if self._whole(" a") != self._whole("a") else ""
         self._lower = self._whole("A") == self._whole("a")
 
     def _whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.dtype).tobytes()
+        return array(self.dtype.char, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, text: str) -> bytes:
+        """Ids of letters, with a space before them or not, that pre-tokenisation keeps together."""
+        if self._lower:
+            text = text.lower()
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(_BYTE_SIGNS)
+        return array(self.dtype.char, [t.id for t in self.tokenizer.model.tokenize(text.replace(" ", self._space))]).tobytes()
+
+    def _marks(self, text: str) -> bytes:
+        if text not in self._known_marks:
+            if len(self._known_marks) > 10_000:
+                self._known_marks.clear()
+            self._known_marks[text] = self._whole(text)
+        return self._known_marks[text]
 
     def _word(self, word: str) -> bytes:
         """Ids of a word with the space before it."""
-        body, tail = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
-        if body.isalpha() and body.isascii():
-            text = self._space + (body.lower() if self._lower else body)
-            ids = [t.id for t in self.tokenizer.model.tokenize(text)]
-            return np.array(ids, self.dtype).tobytes() + (self._whole_tail(tail) if tail else b"")
-        return self._whole(" " + word)
-
-    @lru_cache(maxsize=8)  # noqa: B019
-    def _whole_tail(self, tail: str) -> bytes:
-        return self._whole(tail)
+        m = _PLAIN.fullmatch(word)
+        if not m:
+            return self._whole(" " + word)
+        head, marks, line, next_ = m.groups()
+        out = self._letters(" " + head)
+        if marks:
+            out += self._marks(marks)
+        if line:
+            out += self._marks("\n") + self._letters(next_)
+        return out
 
     def _slice(self, text: str) -> bytes:
         if _RUN.search(text) or any(s in text for s in self._special):
@@ -65,11 +87,13 @@ class WordEncoder:
             body = b"".join(map(self._memo.__getitem__, words))
         except KeyError:
             if len(self._memo) > self.limit:
-                self._memo.clear()
+                # What was used lately is found in the older half and comes back.
+                self._older, self._memo = self._memo, {}
+            memo, older = self._memo, self._older
             for word in words:
-                if word not in self._memo:
-                    self._memo[word] = self._word(word)
-            body = b"".join(map(self._memo.__getitem__, words))
+                if word not in memo:
+                    memo[word] = older.get(word) or self._word(word)
+            body = b"".join(map(memo.__getitem__, words))
         return (self._whole(head) if head else b"") + body
 
     def encode(self, text: str | None) -> bytes:
