@@ -110,7 +110,7 @@ def nearest(
     k: int = 20,
     trees: int = 12,
     leaf_share: float = 0.01,
-    search_share: float = 1.1,
+    search_share: float = 1.6,
     sample_rows: int = 20_000,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
