@@ -5,9 +5,7 @@ BENCH_CPUS     threads of the local session (default 8)
 BENCH_RUNS     timed runs per entry, of which the median counts (default 3)
 
 Making the raw records and the CSV directory is set-up and is not timed. Each
-entry runs once untimed before. ``step_by_step`` is there for comparison: the same
-cleansing as a plain script would do it, with a count after every step and no
-reuse. It is warmed up and timed like the rest, and left out of ``value``.
+entry runs once untimed before. Jobs and shuffled bytes are in ``details``.
 """
 
 from __future__ import annotations
@@ -19,15 +17,11 @@ import statistics
 import tempfile
 import time
 import warnings
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from scrubline import catalogue
 from scrubline.catalogue.fixture import csv_folder
-from scrubline.functions import snake_columns
-from scrubline.operators import dedup, rules
 from scrubline.plans import CleanseConfig, cleanse, profile
 from scrubline.plans.cleansing import (
     SALES_SCHEMA,
@@ -76,35 +70,6 @@ def run_all(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def step_by_step(spark: SparkSession, source: str, target: str) -> None:
-    """The cleansing with an action after every step."""
-    config = CleanseConfig()
-    names = [row.file_name for row in file_inventory(spark, source).collect()]
-    reader = spark.read.schema(SALES_SCHEMA).option("escape", '"')
-    frames = [reader.csv(f"{source}/{name}", header=True, multiLine=True) for name in names]
-    for frame in frames:
-        frame.count()
-    df = with_parsed_date(snake_columns(reduce(DataFrame.union, frames)), config)
-    df.count()
-    for rule in record_rules(config):
-        df = rules.accept(df, [rule])
-        df.count()
-    df = with_year_month(typed(df, config), config)
-    df = dedup.drop_exact(dedup.keep_latest(df, config.keys, [config.parsed_column], []))
-    df.count()
-    df.count()
-    for c in ("order_id", "product", "quantity_ordered", "price_each"):
-        df.filter(F.col(c).isNull()).count()
-    df.agg(F.min("quantity_ordered"), F.max("quantity_ordered"), F.sum("quantity_ordered")).collect()
-    df.agg(F.min("price_each"), F.max("price_each")).collect()
-    df.agg(F.min("order_date_parsed"), F.max("order_date_parsed")).collect()
-    df.select("product").distinct().count()
-    df.select("order_id").distinct().count()
-    out = df.drop("order_date").withColumnRenamed("order_date_parsed", "order_date")
-    out.coalesce(1).write.mode("overwrite").parquet(target)
-    out.count()
-
-
 class Meter:
     """Seconds, Spark jobs and shuffled bytes of a piece of work."""
 
@@ -152,9 +117,6 @@ def main() -> None:
             lambda: cleanse(spark, source, f"{scratch}/out/observed", CleanseConfig(metrics="observed")),
         )
         times["profile_job"] = meter.measure("profile_job", lambda: profile(spark, source).collect())
-        plain = meter.measure(
-            "step_by_step", lambda: step_by_step(spark, source, f"{scratch}/out/plain")
-        )
         print(
             json.dumps(
                 {
@@ -163,8 +125,6 @@ def main() -> None:
                     "unit": "sec",
                     "queries": times,
                     "sf": os.path.basename(sf_dir).removeprefix("sf"),
-                    "step_by_step_sec": plain,
-                    "cleanse_job_speedup": round(plain / times["cleanse_job"], 2),
                     "details": meter.details,
                 }
             )

@@ -14,9 +14,8 @@ from scrubline.functions.parsing import is_numeric_text
 from scrubline.operators import dedup
 from scrubline.operators.profiling import CastTarget, any_null_rows, as_rows, distinct_with_null
 from scrubline.sinks import write_csv
-from scrubline.sources import CsvDialect, file_inventory, read_csv_by_name, read_csv_inferred
+from scrubline.sources import CsvDialect, file_inventory, read_csv_by_name
 from scrubline.sources.csv import file_headers, layouts
-from scrubline.sources.files import literal_path
 
 _N = "__copies"
 
@@ -91,17 +90,19 @@ def table_report(df: DataFrame, config: ProfileConfig = ProfileConfig()) -> Data
     return as_rows(counted, rows).unionByName(as_rows(distinct, key_rows))
 
 
-def types_report(spark: SparkSession, source: str, config: ProfileConfig = ProfileConfig()) -> DataFrame:
-    """``section, item, value``: column types as inferred from the first file by name,
-    very large ones coming last."""
-    inventory = file_inventory(spark, source, config.dialect.pattern)
-    large = F.col("size_bytes") > config.dialect.whole_file_bytes
-    sample = inventory.orderBy(large, "file_name").first()
-    if sample is None:
-        raise ValueError(f"no {config.dialect.pattern} files in {source}")
-    inferred = read_csv_inferred(spark, literal_path(sample.file_path), config.dialect)
-    rows = [("types", name, kind) for name, kind in inferred.dtypes]
-    return spark.createDataFrame(rows, "section string, item string, value string")
+def types_report(df: DataFrame) -> DataFrame:
+    """``section, item, value``: per text column the narrowest type that holds all values of all files."""
+    kinds = ("int", "double", "timestamp")
+    counts, items = [], []
+    for i, name in enumerate(df.columns):
+        text = F.col(f"`{name}`")
+        counts.append(F.count(text).alias(f"n{i}"))
+        counts += [F.count(text.try_cast(kind)).alias(f"{kind}{i}") for kind in kinds]
+        value = F.lit("string")
+        for kind in reversed(kinds):
+            value = F.when((F.col(f"n{i}") > 0) & (F.col(f"{kind}{i}") == F.col(f"n{i}")), kind).otherwise(value)
+        items.append(_item("types", name, value))
+    return as_rows(df.agg(*counts), items)
 
 
 def files_report(
@@ -147,7 +148,7 @@ def profile(
         write_csv(dedup.duplicate_members(df), f"{export_to}/duplicate_rows")
     return (
         files_report(spark, source, found, config)
-        .unionByName(types_report(spark, source, config))
+        .unionByName(types_report(df))
         .unionByName(table_report(df, config))
     )
 

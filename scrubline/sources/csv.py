@@ -27,17 +27,15 @@ class CsvDialect:
 
     ``multiline``: True lets quoted fields hold line breaks, which makes each file
     a single task; False splits files but takes each line as a record. "records"
-    does both at the cost of shuffling the text (see ``csv_records``). "auto" reads
-    like True while no file has more than ``whole_file_bytes``. With larger files
-    it looks through the lines first, in a splittable text scan, and reads like
-    False if every line is a complete record, or else like "records".
+    does both at the cost of shuffling the text (see ``csv_records``); it takes UTF-8
+    text with doubled quotes, and other dialects are refused. The mode never follows
+    from the size of the files.
 
     ``null_tokens``: further texts to be read as NULL in string columns.
     """
 
     pattern: str = "*.csv"
-    multiline: bool | str = "auto"
-    whole_file_bytes: int = 1 << 30
+    multiline: bool | str = True
     quote: str = '"'
     escape: str = '"'
     encoding: str = "UTF-8"
@@ -50,15 +48,15 @@ def has_multiline_records(spark: SparkSession, path: str, dialect: CsvDialect =
     return not lines.filter(~F.col("value").rlike(COMPLETE_LINE)).isEmpty()
 
 
-def _multiline(spark: SparkSession, path: str, dialect: CsvDialect) -> bool | str:
-    if dialect.multiline not in (True, False, "records", "auto"):
+def _multiline(dialect: CsvDialect) -> bool | str:
+    if dialect.multiline not in (True, False, "records"):
         raise ValueError(f"unknown multiline {dialect.multiline!r}")
-    if dialect.multiline != "auto":
-        return dialect.multiline
-    files = file_inventory(spark, path, dialect.pattern)
-    if files.filter(F.col("size_bytes") > dialect.whole_file_bytes).isEmpty():
-        return True
-    return "records" if has_multiline_records(spark, path, dialect) else False
+    if dialect.multiline == "records":
+        if dialect.encoding.upper() not in ("UTF-8", "UTF8"):
+            raise ValueError('multiline "records" reads UTF-8 only')
+        if dialect.escape != dialect.quote:
+            raise ValueError('multiline "records" reads doubled quotes only')
+    return dialect.multiline
 
 
 def _options(dialect: CsvDialect) -> dict[str, str]:
@@ -84,7 +82,7 @@ def _scan(
     file_column: str | None = None,
 ) -> DataFrame:
     """Rows by position, without the header lines; ``file_column`` adds the file they are from."""
-    multiline = _multiline(spark, path, dialect)
+    multiline = _multiline(dialect)
     if multiline == "records":
         if check_headers:
             _require_headers(spark, path, schema, dialect)
@@ -155,7 +153,7 @@ def read_csv_inferred(spark: SparkSession, path: str, dialect: CsvDialect = CsvD
 
     Files are read as a whole where records may run over several lines.
     """
-    reader = _reader(spark, dialect, bool(_multiline(spark, path, dialect)))
+    reader = _reader(spark, dialect, bool(_multiline(dialect)))
     return reader.option("inferSchema", True).csv(path)
 
 

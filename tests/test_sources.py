@@ -209,12 +209,12 @@ def test_complete_lines(spark, folder, line, multiline):
     assert has_multiline_records(spark, path) is multiline
 
 
-def test_auto_multiline_reads_the_same(spark, folder):
-    flat = folder(a="k,v\n" + "".join(f'{i},"x, {i}"\n' for i in range(50)))
-    auto = CsvDialect(multiline="auto", whole_file_bytes=10)
-    assert sorted(read_csv_by_name(spark, flat, auto).collect()) == sorted(read_csv_by_name(spark, flat).collect())
-    broken = folder(b='k,v\n1,"two\nlines"\n')
-    assert read_csv_by_name(spark, broken, auto).count() == 51
+def test_mode_does_not_follow_from_size(spark, folder):
+    path = folder(b='k,v\n1,"two\nlines"\n2,5" pipe\n')
+    assert read_csv_by_name(spark, path).count() == 2
+    for other in ({"encoding": "ISO-8859-1"}, {"escape": "\\"}):
+        with pytest.raises(ValueError, match="records"):
+            read_csv_by_name(spark, path, CsvDialect(multiline="records", **other))
 
 
 @pytest.fixture
@@ -255,7 +255,7 @@ def test_records_over_several_lines(spark, folder, tiny_blocks, seed):
     spread = read_csv_dir(spark, path, schema, CsvDialect(multiline="records"))
     assert spread.schema == whole.schema and whole.count() == 120
     assert sorted(map(str, spread.collect())) == sorted(map(str, whole.collect()))
-    auto = CsvDialect(whole_file_bytes=100)
+    auto = CsvDialect(multiline="records")
     assert {r.n for r in rows_per_file(spark, path, schema, auto).collect()} == {60}
     assert "from_csv" in read_csv_dir(spark, path, schema, auto)._jdf.queryExecution().toString()
     with pytest.raises(ValueError, match="header"):
