@@ -23,14 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from scrubline import catalogue
 from scrubline.catalogue.fixture import csv_folder
 from scrubline.plans import CleanseConfig, cleanse, profile
-from scrubline.plans.cleansing import (
-    SALES_SCHEMA,
-    record_rules,
-    typed,
-    with_parsed_date,
-    with_year_month,
-)
-from scrubline.sources import file_inventory, read_csv_dir
+from scrubline.plans.cleansing import SALES_SCHEMA
+from scrubline.sources import read_csv_dir
 
 QUERIES = [
     "cleanse_keep_latest",
