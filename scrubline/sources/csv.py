@@ -15,8 +15,6 @@ from scrubline.sources.records import csv_records, text_lines
 # Fixed value: a text line made up of whole CSV fields only. A line that does not
 # match may be part of a record that runs over several lines.
 COMPLETE_LINE = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)(?:,|$))*+$'
-# A path and a number for this many files stay within some megabytes.
-BROADCAST_FILES = 20_000
 # Fixed value: a comma outside quotes.
 FIELD_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -227,9 +225,11 @@ def read_csv_by_name(
     Columns come in order of first appearance over the files by name, as text, or
     as ``schema`` declares them (other columns are then left out).
 
+    Names match in any case; a name that a header repeats is numbered (v, v_1).
+
     However many layouts there are, the data are scanned once. Only the distinct
-    headers come to the driver. Where they differ, each row finds its layout by
-    its file, in a join with the files that do not have the most usual header.
+    headers come to the driver. Where they differ, each row finds the places of its
+    columns by its file, in a join with the files that do not have the most usual header.
     ``found`` hands in the ``layouts`` where the caller has them already.
     """
     headers = file_headers(spark, path, dialect)
@@ -251,12 +251,14 @@ def _one_layout(
     header: Sequence[str],
     schema: T.StructType | None,
 ) -> DataFrame:
-    types = {f.name: f.dataType for f in schema.fields} if schema else {}
-    fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in header]
+    names = _numbered(header)
+    declared = {f.name.lower(): f for f in schema.fields} if schema else {}
+    texts = {c.lower(): T.StructField(c, T.StringType(), True) for c in names}
+    fields = [declared.get(c, texts[c]) for c in texts]
     rows = _scan(spark, path, T.StructType(fields), dialect)
     if schema is None:
         return rows
-    absent = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in header}
+    absent = {f.name: F.lit(None).cast(f.dataType) for c, f in declared.items() if c not in texts}
     return rows.withColumns(absent).select(*[F.col(f"`{c}`") for c in schema.names])
 
 
@@ -269,34 +271,53 @@ def _many_layouts(
     schema: T.StructType | None,
 ) -> DataFrame:
     usual = max(found, key=lambda layout: layout.files).header
-    others = [layout.header for layout in found if layout.header != usual]
     slots = [f"__{i}" for i in range(max(len(layout.header) for layout in found))]
     texts = T.StructType([T.StructField(slot, T.StringType(), True) for slot in slots])
     rows = _scan(spark, path, texts, dialect, file_column="file_path")
+    if schema is None:
+        seen: dict[str, str] = {}
+        for name in (c for layout in found for c in _numbered(layout.header)):
+            seen.setdefault(name.lower(), name)
+        names = list(seen.values())
+    else:
+        names = schema.names
 
-    layout = F.lit(None).cast("int")
-    for i, header in enumerate(others):
-        layout = F.when(F.col("header") == _names(header), F.lit(i)).otherwise(layout)
-    unusual = headers.filter(F.col("header") != _names(usual))
-    unusual = unusual.select("file_path", layout.alias("layout"))
-    if sum(row.files for row in found if row.header != usual) <= BROADCAST_FILES:
-        unusual = F.broadcast(unusual)
+    # Places of the wanted columns, per file: as many expressions as columns, however many layouts.
+    numbered = _numbered_in_rows(F.col("header"))
+    places = F.array(*[F.array_position(numbered, c.lower()).cast("int") for c in names])
+    unusual = headers.filter(F.col("header") != _names(usual)).select("file_path", places.alias("__places"))
     joined = rows.join(unusual, "file_path", "left")
 
-    def value(name: str) -> Column:
-        text = F.lit(None).cast("string")
-        for i, header in enumerate(others):
-            if name in header:
-                slot = F.col(slots[header.index(name)])
-                text = F.when(F.col("layout") == i, slot).otherwise(text)
-        if name in usual:
-            text = F.when(F.col("layout").isNull(), F.col(slots[usual.index(name)])).otherwise(text)
-        return text
+    usual_slots = {c.lower(): F.col(slot) for c, slot in zip(_numbered(usual), slots)}
+    cells = F.array(*slots)
+
+    def value(i: int, name: str) -> Column:
+        own = usual_slots.get(name.lower(), F.lit(None).cast("string"))
+        there = F.get(cells, F.col("__places")[i] - 1)
+        return F.when(F.col("__places").isNull(), own).otherwise(there)
 
+    values = [value(i, c) for i, c in enumerate(names)]
     if schema is None:
-        names = dict.fromkeys(c for layout in found for c in layout.header)
-        return joined.select(*[value(c).alias(c) for c in names])
-    return joined.select(*[_as_type(value(f.name), f.dataType).alias(f.name) for f in schema.fields])
+        return joined.select(*[v.alias(c) for v, c in zip(values, names)])
+    return joined.select(*[_as_type(v, f.dataType).alias(f.name) for v, f in zip(values, schema.fields)])
+
+
+def _numbered(header: Sequence[str]) -> list[str]:
+    """The names of a header; one that came before in any case gets its number (v, v_1)."""
+    lower = [c.lower() for c in header]
+    repeats = [lower[:i].count(c) for i, c in enumerate(lower)]
+    return [f"{c}_{n}" if n else c for c, n in zip(header, repeats)]
+
+
+def _numbered_in_rows(header: Column) -> Column:
+    """The same for a column of headers, in lower case."""
+    lower = F.transform(header, F.lower)
+
+    def name(c: Column, i: Column) -> Column:
+        n = F.size(F.filter(F.slice(lower, 1, i), lambda earlier: earlier == c))
+        return F.when(n > 0, F.concat_ws("_", c, n.cast("string"))).otherwise(c)
+
+    return F.transform(lower, name)
 
 
 def _as_type(text: Column, kind: T.DataType) -> Column:
