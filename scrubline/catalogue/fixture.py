@@ -27,7 +27,7 @@ RAW_COLUMNS = (
     "purchase_address",
 )
 
-RAW_SQL = """
+RAW_TEMPLATE = """
 SELECT
   CASE WHEN l_orderkey % 41 = 0 THEN NULL
        WHEN l_orderkey % 43 = 0 THEN 'Order ID'
@@ -51,11 +51,13 @@ SELECT
             lpad(CAST(l_partkey % 24 AS STRING), 2, '0') || ':' ||
             lpad(CAST(l_suppkey % 60 AS STRING), 2, '0') END AS order_date,
   CASE WHEN l_orderkey % 41 = 0 THEN NULL ELSE c_name || ', ' || c_mktsegment END AS purchase_address
-FROM lineitem
-JOIN orders ON l_orderkey = o_orderkey
-JOIN part ON l_partkey = p_partkey
-JOIN customer ON o_custkey = c_custkey
+FROM {lineitem}
+JOIN {orders} ON l_orderkey = o_orderkey
+JOIN {part} ON l_partkey = p_partkey
+JOIN {customer} ON o_custkey = c_custkey
 """
+RAW_TABLES = ("lineitem", "orders", "part", "customer")
+RAW_SQL = RAW_TEMPLATE.format(**{name: name for name in RAW_TABLES})
 
 
 # A label that parts all records into feeds, as if they came from several senders.
@@ -82,6 +84,13 @@ def written(
     return _WRITTEN[key]
 
 
+def fresh_path(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """A new path to write to on every call, which ``drop_written`` deletes as well."""
+    path = scratch_path(spark, label)
+    _WRITTEN[spark.sparkContext.applicationId, sf_dir, path] = path
+    return path
+
+
 def drop_written(spark: SparkSession) -> None:
     """Delete what this session wrote."""
     for key in [k for k in _WRITTEN if k[0] == spark.sparkContext.applicationId]:
@@ -96,9 +105,8 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 
     def write(path: str) -> None:
-        for name in ("lineitem", "orders", "part", "customer"):
-            table(spark, sf_dir, name).createOrReplaceTempView(name)
-        spark.sql(RAW_SQL).hint("rebalance").write.parquet(path)
+        records = spark.sql(RAW_TEMPLATE, **{name: table(spark, sf_dir, name) for name in RAW_TABLES})
+        records.hint("rebalance").write.parquet(path)
 
     return spark.read.parquet(written(spark, sf_dir, "raw-records", write))
 

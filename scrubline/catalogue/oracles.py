@@ -35,7 +35,7 @@ clean AS (
          CAST(month(order_date_parsed) AS INTEGER) AS order_month
   FROM classified WHERE reject_reason IS NULL
 ),
-latest AS (
+merged AS (
   SELECT * EXCLUDE (rank) FROM (
     SELECT *, row_number() OVER (
       PARTITION BY order_id, product
@@ -44,6 +44,19 @@ latest AS (
     FROM clean)
   WHERE rank = 1
 ),
+latest AS (
+  SELECT TRY_CAST(order_id AS INTEGER) AS order_id, product, quantity_ordered, price_each,
+         purchase_address, order_date_parsed,
+         CAST(year(order_date_parsed) AS INTEGER) AS order_year,
+         CAST(month(order_date_parsed) AS INTEGER) AS order_month
+  FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY TRY_CAST(order_id AS HUGEINT), product
+      ORDER BY order_date_parsed DESC, quantity_ordered DESC, price_each DESC,
+               purchase_address DESC) AS rank
+    FROM classified WHERE reject_reason IS NULL)
+  WHERE rank = 1
+),
 output AS (
   SELECT order_id, product, quantity_ordered, price_each, order_date_parsed AS order_date,
          purchase_address, order_year, order_month
@@ -129,8 +142,24 @@ SELECT * FROM (
         min(order_date) AS min_date, max(order_date) AS max_date,
         min(quantity_ordered) AS min_quantity_ordered, max(quantity_ordered) AS max_quantity_ordered,
         min(price_each) AS min_price_each, max(price_each) AS max_price_each,
-        CAST(count(DISTINCT order_year * 100 + order_month) AS INTEGER) AS partition_count
- FROM output)"""
+        CAST(count(DISTINCT order_year * 100 + order_month) AS INTEGER) AS partition_count,
+        'parquet' AS output_format
+ FROM output),
+(SELECT coalesce(string_agg(month, ',' ORDER BY month), '') AS partitions
+ FROM (SELECT DISTINCT order_year || '/' || order_month AS month FROM output)),
+(SELECT coalesce(string_agg(check_name, ',' ORDER BY check_name) FILTER (NOT passed), '') AS quality_issues
+ FROM ({_checks()}))"""
+
+
+def _narrowest(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    fits = {
+        "int": f"regexp_full_match({text}, '[+-]?[0-9]+') AND TRY_CAST({text} AS INTEGER) IS NOT NULL",
+        "double": f"TRY_CAST({text} AS DOUBLE) IS NOT NULL",
+        "timestamp": f"TRY_CAST({text} AS TIMESTAMP) IS NOT NULL",
+    }
+    cases = [f"WHEN count({column}) > 0 AND count(*) FILTER ({t}) = count({column}) THEN '{k}'" for k, t in fits.items()]
+    return f"CASE {' '.join(cases)} ELSE 'string' END"
 
 
 def _profile() -> str:
@@ -158,7 +187,10 @@ def _profile() -> str:
         ),
         ("headers", "differing_files", "0"),
         ("headers", "consistent", "TRUE"),
+        ("ready", "input", "TRUE"),
+        ("ready", "spark_reads", "(SELECT count(*) > 0 FROM raw)"),
     ]
+    items += [("types", header, f"(SELECT {_narrowest(c)} FROM raw)") for c, header in names.items()]
     for c in ("product", "quantity_ordered", "price_each", "order_date"):
         bad = f"(SELECT {BAD_VALUES[c]} FROM {NUMERIC_ROWS})"
         items += [("bad_values", names[c], bad), ("castable", names[c], f"({bad} = 0)")]
@@ -195,6 +227,10 @@ def oracle_sql() -> dict[str, str]:
     ]
     return {
         "cleanse_keep_latest": output,
+        "cleanse_merge_overflow": over(
+            "SELECT order_id, product, quantity_ordered, price_each, order_date_parsed AS order_date, "
+            "purchase_address, order_year, order_month FROM merged"
+        ),
         "clean_rows": over("SELECT * FROM clean"),
         "reject_summary": over(
             "SELECT coalesce(reject_reason, 'accepted') AS reject_reason, count(*) AS n "
@@ -234,6 +270,10 @@ def oracle_sql() -> dict[str, str]:
         "sample_values": over(
             "SELECT DISTINCT order_date AS value FROM raw ORDER BY 1 NULLS FIRST LIMIT 5"
         ),
+        "preview": over(
+            "SELECT * FROM clean ORDER BY order_id NULLS FIRST, product, quantity_ordered, price_each, "
+            "order_date, purchase_address LIMIT 5"
+        ),
         "drop_all_null_columns": all_raw,
         "quality_checks": over(_checks()),
         "exact_duplicate_count": over(
@@ -242,8 +282,8 @@ def oracle_sql() -> dict[str, str]:
         "duplicate_members": members,
         "drop_exact": over(f"SELECT DISTINCT {COLUMNS} FROM raw"),
         "dedup_summary": over(
-            "SELECT count(*) AS before, (SELECT count(*) FROM latest) AS after, "
-            "count(*) - (SELECT count(*) FROM latest) AS removed FROM clean"
+            "SELECT count(*) AS before, (SELECT count(*) FROM merged) AS after, "
+            "count(*) - (SELECT count(*) FROM merged) AS removed FROM clean"
         ),
         "events_latest": (
             "SELECT * EXCLUDE (rank) FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type "
@@ -268,12 +308,15 @@ def oracle_sql() -> dict[str, str]:
             "'Product|Order ID|Order Date|Price Each|Quantity Ordered' END AS header, plain AS consistent "
             f"FROM (SELECT {FEED_SQL} = 'plain' AS plain FROM raw)"
         ),
-        "partitioned_round_trip": over(
+        "partitioned_round_trip": output,
+        "partition_rows": over(
             "SELECT order_year, order_month, count(*) AS n FROM output GROUP BY ALL"
         ),
         "single_parquet_round_trip": output,
         "duplicate_members_csv": members,
         "cleanse_metrics": _metrics(),
+        "summary_report": _metrics(),
         "cleanse_output": output,
+        "cleanse_partitioned": output,
         "profile_report": _profile(),
     }

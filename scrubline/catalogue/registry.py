@@ -15,6 +15,7 @@ from scrubline.catalogue.fixture import (
     csv_feeds,
     csv_folder,
     csv_layouts,
+    fresh_path,
     raw,
     table,
     with_file_headers,
@@ -26,12 +27,10 @@ from scrubline.plans import CleanseConfig, cleanse, profile
 from scrubline.plans.cleansing import (
     SALES_SCHEMA,
     clean,
-    latest,
-    latest_records,
+    clean_latest,
     record_rules,
     with_parsed_date,
 )
-from scrubline.plans.scratch import scratch_path
 from scrubline.sinks import (
     partition_listing,
     write_csv,
@@ -69,7 +68,11 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def cleanse_keep_latest(spark, sf_dir):
-    return comparable(latest_records(clean(raw(spark, sf_dir))))
+    return comparable(clean_latest(raw(spark, sf_dir)))
+
+
+def cleanse_merge_overflow(spark, sf_dir):
+    return comparable(clean_latest(raw(spark, sf_dir), CleanseConfig(merge_overflow=True)))
 
 
 def clean_rows(spark, sf_dir):
@@ -153,14 +156,17 @@ def sample_values(spark, sf_dir):
     return profiling.sample_values(raw(spark, sf_dir), "order_date")
 
 
+def preview(spark, sf_dir):
+    return comparable(profiling.preview(clean(raw(spark, sf_dir))))
+
+
 def drop_all_null_columns(spark, sf_dir):
     padded = raw(spark, sf_dir).withColumn("nothing", F.lit(None).cast("string"))
     return profiling.drop_all_null_columns(padded)
 
 
 def quality_checks(spark, sf_dir):
-    cleaned = latest(clean(raw(spark, sf_dir)))
-    return quality.run_checks(cleaned, SALES.checks)
+    return quality.run_checks(clean_latest(raw(spark, sf_dir)), SALES.checks)
 
 
 # -- deduplication -------------------------------------------------------------
@@ -243,45 +249,67 @@ def input_preflight(spark, sf_dir):
 
 
 def partitioned_round_trip(spark, sf_dir):
-    path = scratch_path(spark, "partitioned")
-    write_partitioned_parquet(latest_records(clean(raw(spark, sf_dir))), path, MONTHS)
+    path = fresh_path(spark, sf_dir, "partitioned")
+    write_partitioned_parquet(clean_latest(raw(spark, sf_dir)), path, MONTHS)
+    return comparable(spark.read.parquet(path))
+
+
+def partition_rows(spark, sf_dir):
+    path = fresh_path(spark, sf_dir, "partitioned")
+    write_partitioned_parquet(clean_latest(raw(spark, sf_dir)), path, MONTHS)
     return partition_listing(spark, path, MONTHS)
 
 
 def single_parquet_round_trip(spark, sf_dir):
-    path = scratch_path(spark, "single")
-    write_single_parquet(latest_records(clean(raw(spark, sf_dir))), path)
+    path = fresh_path(spark, sf_dir, "single")
+    write_single_parquet(clean_latest(raw(spark, sf_dir)), path)
     return comparable(spark.read.parquet(path))
 
 
 def duplicate_members_csv(spark, sf_dir):
-    path = scratch_path(spark, "members")
+    path = fresh_path(spark, sf_dir, "members")
     write_csv(with_file_headers(dedup.duplicate_members(raw(spark, sf_dir))), path)
     return snake_columns(read_csv_dir(spark, path, SALES_SCHEMA))
 
 
 # -- whole jobs ----------------------------------------------------------------
 
-# Figures that depend on how many files or folders a run happens to write.
-LAYOUT_FIGURES = ["input_files", "partitions", "location", "quality_issues", "output_format"]
+# What depends on where a run writes and on how many files it was given.
+LAYOUT_FIGURES = ["input_files", "location"]
+
+
+def comparable_metrics(metrics: DataFrame) -> DataFrame:
+    texts = {c: F.array_join(F.array_sort(c), ",") for c in ("partitions", "quality_issues")}
+    return comparable(metrics.drop(*LAYOUT_FIGURES).withColumns(texts))
 
 
 def cleanse_metrics(spark, sf_dir):
     source = csv_folder(spark, sf_dir)
-    result = cleanse(spark, source, scratch_path(spark, "cleansed"))
-    return comparable(result.metrics.drop(*LAYOUT_FIGURES))
+    return comparable_metrics(cleanse(spark, source, fresh_path(spark, sf_dir, "cleansed")).metrics)
+
+
+def summary_report(spark, sf_dir):
+    config = CleanseConfig(report_to=fresh_path(spark, sf_dir, "report"))
+    result = cleanse(spark, csv_folder(spark, sf_dir), fresh_path(spark, sf_dir, "cleansed"), config)
+    stored = spark.read.schema(result.metrics.schema).json(f"{config.report_to}/metrics")
+    return comparable_metrics(stored)
+
+
+def cleanse_partitioned(spark, sf_dir):
+    result = cleanse(spark, csv_folder(spark, sf_dir), fresh_path(spark, sf_dir, "cleansed"))
+    return comparable(spark.read.parquet(result.location))
 
 
 def cleanse_output(spark, sf_dir):
     source = csv_folder(spark, sf_dir)
     config = CleanseConfig(output="single", metrics="observed")
-    result = cleanse(spark, source, scratch_path(spark, "cleansed"), config)
+    result = cleanse(spark, source, fresh_path(spark, sf_dir, "cleansed"), config)
     return comparable(spark.read.parquet(result.location))
 
 
 def profile_report(spark, sf_dir):
     report = profile(spark, csv_folder(spark, sf_dir))
-    return report.filter(~F.col("section").isin("files", "types"))
+    return report.filter(~F.col("section").isin("files"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,6 +319,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "cleanse_keep_latest": cleanse_keep_latest,
+        "cleanse_merge_overflow": cleanse_merge_overflow,
         "clean_rows": clean_rows,
         "reject_summary": reject_summary,
         "rejected_rows": rejected_rows,
@@ -308,6 +337,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "schema_table": schema_table,
         "shape": shape,
         "sample_values": sample_values,
+        "preview": preview,
         "drop_all_null_columns": drop_all_null_columns,
         "quality_checks": quality_checks,
         "exact_duplicate_count": exact_duplicate_count,
@@ -326,9 +356,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "file_inventory": inventory,
         "input_preflight": input_preflight,
         "partitioned_round_trip": partitioned_round_trip,
+        "partition_rows": partition_rows,
         "single_parquet_round_trip": single_parquet_round_trip,
         "duplicate_members_csv": duplicate_members_csv,
         "cleanse_metrics": cleanse_metrics,
+        "summary_report": summary_report,
         "cleanse_output": cleanse_output,
+        "cleanse_partitioned": cleanse_partitioned,
         "profile_report": profile_report,
     }

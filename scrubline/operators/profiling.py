@@ -154,6 +154,11 @@ def sample_values(df: DataFrame, column: str, n: int = 5) -> DataFrame:
     return values.orderBy(F.col("value").asc_nulls_first()).limit(n)
 
 
+def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The first ``n`` rows in order (of all columns, unless told otherwise): the limit is the point."""
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in order_by or df.columns]).limit(n)
+
+
 def drop_all_null_columns(df: DataFrame) -> DataFrame:
     """Leave out columns without any value. Runs one aggregate to find them."""
     filled = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).first().asDict()

@@ -20,6 +20,7 @@ from scrubline.plans.scratch import drop_scratch, scratch_path
 from scrubline.sinks import partition_listing, write_partitioned_parquet, write_single_parquet
 from scrubline.sources import CsvDialect, file_inventory, read_csv_dir
 
+# Fixed value: the columns of the input files.
 SALES_SCHEMA = T.StructType(
     [
         T.StructField("Order ID", T.StringType(), True),
@@ -43,6 +44,11 @@ class CleanseConfig:
     table and counts there, so counts are exact whatever is re-run; "observed"
     counts while writing, in a single scan, but tasks that Spark repeats after a
     lost executor may be counted again.
+
+    IDs beyond 32 bits are NULL in the output, but rows are told apart by the whole
+    number. ``merge_overflow`` takes them as one ID, NULL, before deduplication.
+
+    ``report_to``: a folder for the metrics (JSON) and the summary (text).
     """
 
     schema: T.StructType = SALES_SCHEMA
@@ -72,10 +78,12 @@ class CleanseConfig:
         )
     )
     reject_overflow: bool = False
+    merge_overflow: bool = False
     reject_non_finite: bool = False
     output: str = "partitioned"
     metrics: str = "staged"
     on_fail: str = "warn"
+    report_to: str | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -154,6 +162,23 @@ def latest_records(cleaned: DataFrame, config: CleanseConfig = CleanseConfig())
     return dated.select(*record, *config.partition_columns)
 
 
+def latest_accepted(accepted: DataFrame, config: CleanseConfig = CleanseConfig()) -> DataFrame:
+    """Output records from accepted rows whose ID is still text.
+
+    The ID is cast after deduplication: rows that overflow stay apart.
+    """
+    if config.merge_overflow or config.id_column not in config.keys:
+        return latest_records(typed(accepted, config), config)
+    number = F.regexp_replace(config.id_column, r"^0+(?=\d)", "")
+    return typed(latest_records(accepted.withColumn(config.id_column, number), config), config)
+
+
+def clean_latest(df: DataFrame, config: CleanseConfig = CleanseConfig()) -> DataFrame:
+    """Rows that pass the rules, the latest per key, as output records."""
+    accepted = rules.accept(with_parsed_date(df, config), record_rules(config))
+    return latest_accepted(accepted, config)
+
+
 @dataclass(frozen=True)
 class CleanseResult:
     """``metrics`` and ``checks`` are small frames; ``text`` is the summary to print."""
@@ -194,6 +219,8 @@ def cleanse(
         partitions = sorted("/".join(map(str, r[:-1])) for r in listing.collect())
     values = report.metrics_values(input_files, counts, stats, checks, partitions, target)
     metrics = report.metrics_frame(spark, config, values, counts)
+    if config.report_to:
+        report.write_report(spark, metrics, config.report_to)
     quality.enforce(values["quality_issues"], config.on_fail)
     return CleanseResult(
         target,
@@ -205,7 +232,7 @@ def cleanse(
 
 def _write_latest(accepted: DataFrame, target: str, config: CleanseConfig) -> T.StructType:
     """Dedup and write accepted records; returns the schema of the output."""
-    df = latest_records(typed(accepted, config), config)
+    df = latest_accepted(accepted, config)
     if config.output == "partitioned":
         write_partitioned_parquet(df, target, config.partition_columns)
     else:

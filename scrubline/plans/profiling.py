@@ -81,6 +81,7 @@ def table_report(df: DataFrame, config: ProfileConfig = ProfileConfig()) -> Data
         F.count_distinct(config.date_column).alias("dates"),
     )
     key_rows = [
+        _item("ready", "spark_reads", F.col("rows") > 0),
         _item("shape", "rows", F.col("rows")),
         _item("shape", "columns", F.lit(len(df.columns))),
         _item("distinct", config.key_column, F.col("keys")),
@@ -130,6 +131,7 @@ def files_report(
             _item("files", "present", F.col("files") > 0),
             _item("headers", "differing_files", F.lit(differing)),
             _item("headers", "consistent", F.lit(differing == 0)),
+            _item("ready", "input", (F.col("files") > 0) & F.lit(differing == 0)),
         ],
     )
 
@@ -154,9 +156,5 @@ def profile(
 
 
 def ready(report: DataFrame) -> bool:
-    """Input present and headers alike: the yes/no items of the file sections all hold."""
-    failed = report.filter(
-        (F.concat_ws(".", "section", "item").isin("files.present", "headers.consistent"))
-        & (F.col("value") != "true")
-    )
-    return failed.isEmpty()
+    """Input present, headers alike, and Spark read rows: the items of the section "ready" all hold."""
+    return report.filter((F.col("section") == "ready") & (F.col("value") != "true")).isEmpty()

@@ -100,6 +100,25 @@ def test_report_is_stored(spark, source, tmp_path):
     assert stored.strip() == result.text.strip() == render(result.metrics.first().asDict()).strip()
 
 
+def test_job_stores_its_report(spark, source, tmp_path):
+    cleanse(spark, source, str(tmp_path / "out"), CleanseConfig(report_to=str(tmp_path / "report")))
+    assert spark.read.json(str(tmp_path / "report/metrics")).first().output_rows == 4
+    assert spark.read.text(str(tmp_path / "report/summary")).count() > 1
+
+
+@pytest.mark.parametrize("merge, rows", [(False, 4), (True, 2)])
+def test_ids_beyond_32_bits_stay_apart(spark, tmp_path, merge, rows):
+    (tmp_path / "in").mkdir()
+    ids = ["99999999999", "99999999998", "099999999999", "7", "007", "123456789012345678901234567890123456789012"]
+    body = "".join(f"{i},Cable,1,1.0,01/19/19 08:46,x\n" for i in ids)
+    (tmp_path / "in" / "a.csv").write_text(f"{HEADER}\n{body}")
+    with pytest.warns(UserWarning, match="not_null:order_id"):
+        result = cleanse(spark, str(tmp_path / "in"), str(tmp_path / "out"), CleanseConfig(merge_overflow=merge))
+    assert result.metrics.first().output_rows == rows
+    found = [r.order_id for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert found.count(7) == 1 and found.count(None) == rows - 1
+
+
 def test_partition_listing(spark, source, tmp_path):
     cleanse(spark, source, str(tmp_path / "out"))
     listing = partition_listing(spark, str(tmp_path / "out"), ["order_year", "order_month"])
