@@ -309,10 +309,8 @@ def _render(body: list[tuple], learn: bool) -> Callable[[dict, list[Piece]], Non
     return run
 
 
-@lru_cache(maxsize=16)
-def compile_template(template: str) -> Callable[[list[dict]], tuple[str, list[tuple[int, int]]]]:
-    """A function from messages to the formatted text and the spans to learn."""
-    run = _render(fold_body(parse(template)), False)
+def _compiled(body: list[tuple]) -> Callable[[list[dict]], tuple[str, list[tuple[int, int]]]]:
+    run = _render(body, False)
 
     def render(messages: list[dict]) -> tuple[str, list[tuple[int, int]]]:
         out: list[Piece] = []
@@ -327,33 +325,94 @@ def compile_template(template: str) -> Callable[[list[dict]], tuple[str, list[tu
     return render
 
 
-def format_conversations(rows: DataFrame, template: str = DEFAULT_TEMPLATE) -> DataFrame:
-    """One row per conversation: conv_id, formatted, loss (spans of code points to learn).
+@lru_cache(maxsize=16)
+def compile_template(template: str) -> Callable[[list[dict]], tuple[str, list[tuple[int, int]]]]:
+    """A function from messages to the formatted text and the spans to learn."""
+    return _compiled(fold_body(parse(template)))
+
+
+def split_loop(body: list[tuple]) -> tuple[list[tuple], list[tuple], list[tuple]]:
+    """What stands before a template's loop over ``messages``, the loop, and what stands after it.
+
+    Turns are rendered one by one, so nothing but that loop may speak of ``messages``.
+    """
+
+    def speaks(tree: object) -> bool:
+        return tree == ("name", "messages") or isinstance(tree, (tuple, list)) and any(map(speaks, tree))
+
+    at = [i for i, s in enumerate(body) if s[0] == "for" and s[2] == ("name", "messages")]
+    if len(at) != 1:
+        raise TemplateError("one loop over messages expected")
+    parts = body[: at[0]], [body[at[0]]], body[at[0] + 1 :]
+    if any(map(speaks, (parts[0], body[at[0]][3], parts[2]))):
+        raise TemplateError("messages can be used in one loop only")
+    return parts
+
+
+@lru_cache(maxsize=16)
+def compile_parts(template: str) -> tuple[Callable[[list[dict]], tuple[str, list[tuple[int, int]]]] | None, ...]:
+    """As ``compile_template``, for what stands before the loop, a turn, and after it; None where there is nothing."""
+    return tuple(_compiled(part) if part else None for part in split_loop(fold_body(parse(template))))
+
+
+def format_conversations(rows: DataFrame, template: str = DEFAULT_TEMPLATE, part_chars: int = 1 << 20) -> DataFrame:
+    """Formatted conversations in parts: conv_id, part, formatted, loss (spans of code points to learn).
 
     Input columns: conv_id, turn, role, text; others are ignored. Rows go by turn,
     ties by role and text, nulls first. Null roles and texts are empty. Rows with a
-    null conv_id form a conversation of their own. A conversation is one output value
-    and so is put together in one task.
+    null conv_id form a conversation of their own.
+
+    A conversation is its parts one after another by ``part``, whose numbers rise and
+    have gaps; spans count from the start of their part. A part holds whole turns and
+    ends at ``part_chars`` or where a task ends: rows are dealt by range of conversation
+    and turn, so that a conversation of any length is spread over tasks and none holds
+    it whole. The template is one loop over ``messages``, with text before and after.
     """
     bounded_batches(rows.sparkSession)
-    compile_template(template)  # errors in the template show here
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    grouped = rows.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(
-        F.sort_array(F.collect_list(turn)).alias("messages")
+    before, _, after = compile_parts(template)  # errors in the template show here
+    turns = rows.select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.lit(1).alias("kind"),
+        "turn",
+        F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
+    ends = [kind for kind, there in ((0, before), (2, after)) if there]
+    if ends:
+        kinds = F.explode(F.array(*map(F.lit, ends))).alias("kind")
+        marks = turns.select("conv_id").distinct().select("conv_id", kinds)
+        turns = turns.unionByName(marks, allowMissingColumns=True)
+    # Where a range ends is told by the texts' first letters, in the order of the whole texts.
+    ranges = ("conv_id", "kind", "turn", "role", F.substring("text", 1, 64))
+    dealt = turns.repartitionByRange(*ranges).sortWithinPartitions("conv_id", "kind", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        render = compile_template(template)
-        for batch in batches:
-            out = [render(m.as_py()) for m in batch.column(1)]
-            spans = [[{"start": a, "end": b} for a, b in s] for _, s in out]
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([t for t, _ in out], pa.string()), pa.array(spans, kind)],
-                ["conv_id", "formatted", "loss"],
-            )
+        render, conv, texts, spans, at = compile_parts(template), None, [], [], 0
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
-    return grouped.mapInArrow(run, FORMATTED_SCHEMA)
+        def part() -> pa.RecordBatch:
+            loss = [{"start": a, "end": b} for a, b in spans]
+            columns = [pa.array([conv], pa.int64()), pa.array(["".join(texts)], pa.string()), pa.array([loss], kind)]
+            return pa.RecordBatch.from_arrays(columns, ["conv_id", "formatted", "loss"])
+
+        done: list[pa.RecordBatch] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if texts and (row["conv_id"] != conv or at >= part_chars):
+                    done.append(part())
+                    texts, spans, at = [], [], 0
+                conv = row["conv_id"]
+                text, learn = render[row["kind"]]([row] if row["kind"] == 1 else [])
+                texts.append(text)
+                spans += [(at + a, at + b) for a, b in learn]
+                at += len(text)
+            if done:
+                yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
+                done = []
+        if texts:
+            yield part()
+
+    return dealt.mapInArrow(run, FORMATTED_SCHEMA).select("conv_id", F.monotonically_increasing_id().alias("part"), "formatted", "loss")
 
 
 def read_turns(formatted: str) -> list[tuple[str, str]]:
@@ -369,20 +428,45 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
 
 
 def digest(formatted: DataFrame) -> DataFrame:
-    """What the formatted conversations hold, read back from them."""
+    """What the formatted conversations hold, read back from them, part by part.
+
+    A hash is of a whole conversation, so one task reads its parts, one at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.split()[0] for f in DIGEST_SCHEMA.split(", ")]
+        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        rows: list[tuple] = []
+        open_: list | None = None
+
+        def told() -> tuple:
+            conv, n_turns, turns, n_loss, loss, n_chars = open_
+            return conv, n_turns, turns.hexdigest(), n_loss, loss.hexdigest(), n_chars
+
+        def table() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
         for batch in batches:
-            rows = []
-            for conv, text, spans in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                turns = read_turns(text)
-                told = "".join(f"{role}\n{said}\n" for role, said in turns)
-                loss = "".join(unescape(text[s["start"] : s["end"]]) for s in spans)
-                sha = [hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in (told, loss)]
-                rows.append((conv, len(turns), sha[0], len(loss), sha[1], len(text)))
-            types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-            names = [f.split()[0] for f in DIGEST_SCHEMA.split(", ")]
-            columns = list(zip(*rows)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
-
-    return formatted.mapInArrow(run, DIGEST_SCHEMA)
+            for conv, text, spans in zip(*(batch.column(c) for c in ("conv_id", "formatted", "loss"))):
+                conv, text = conv.as_py(), text.as_py()
+                if open_ is None or open_[0] != conv:
+                    if open_ is not None:
+                        rows.append(told())
+                    open_ = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                for role, said in read_turns(text):
+                    open_[1] += 1
+                    open_[2].update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
+                for span in spans.as_py():
+                    said = unescape(text[span["start"] : span["end"]])
+                    open_[3] += len(said)
+                    open_[4].update(said.encode("utf-8", "surrogatepass"))
+                open_[5] += len(text)
+            if rows:
+                yield table()
+                rows = []
+        if open_ is not None:
+            rows.append(told())
+            yield table()
+
+    parts = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return parts.mapInArrow(run, DIGEST_SCHEMA)

@@ -237,6 +237,26 @@ def test_op7_odd(spark):
     assert chat.digest(chat.format_conversations(df.limit(0))).count() == 0
 
 
+def test_op7_parts(spark):
+    turns = [(7, t, ("user", "assistant")[t % 2], f"turn {t} # :" * 40) for t in range(400)] + [(c, 0, "user", "hi") for c in range(6)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    template = "<s>{% for m in messages %}{{ m.role }}: {% generation %}{{ m.text }}{% endgeneration %};{% endfor %}</s>"
+    whole = chat.compile_template(template)
+    for part_chars in (1, 3000, 1 << 20):
+        parts = chat.format_conversations(df, template, part_chars).orderBy("conv_id", "part").collect()
+        for conv in (0, 7):
+            text, spans, at = "", [], 0
+            for p in (p for p in parts if p.conv_id == conv):
+                spans += [(at + s.start, at + s.end) for s in p.loss]
+                text, at = text + p.formatted, at + len(p.formatted)
+            assert (text, spans) == whole([{"role": r, "text": x} for c, _, r, x in sorted(turns) if c == conv])
+    one, many = (sorted(map(tuple, chat.digest(chat.format_conversations(df, part_chars=n)).collect())) for n in (1, 1 << 20))
+    assert one == many and len(one) == 7
+    for wrong in ("no loop", "{{ messages }}{% for m in messages %}{% endfor %}", "{% for m in messages %}{{ messages }}{% endfor %}"):
+        with pytest.raises(chat.TemplateError):
+            chat.format_conversations(df, wrong)
+
+
 def test_op8_held_out(spark, sf_dir):
     sf_dir = os.path.dirname(sf_dir) + "/sf0.01"
     lang = {r[0]: r[1] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang").collect()}
