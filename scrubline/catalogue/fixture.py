@@ -145,3 +145,13 @@ def csv_feeds(spark: SparkSession, sf_dir: str) -> str:
         rows.partitionBy("feed").csv(path)
 
     return written(spark, sf_dir, "feeds", write)
+
+
+def text_feeds(spark: SparkSession, sf_dir: str) -> str:
+    """The products of all records as one directory of text lines per feed."""
+
+    def write(path: str) -> None:
+        lines = raw(spark, sf_dir).select(F.coalesce("product", F.lit("")).alias("value"), F.expr(FEED_SQL).alias("feed"))
+        lines.write.partitionBy("feed").text(path)
+
+    return written(spark, sf_dir, "text-feeds", write)

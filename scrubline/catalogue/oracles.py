@@ -308,6 +308,13 @@ def oracle_sql() -> dict[str, str]:
             "'Product|Order ID|Order Date|Price Each|Quantity Ordered' END AS header, plain AS consistent "
             f"FROM (SELECT {FEED_SQL} = 'plain' AS plain FROM raw)"
         ),
+        "file_inventory": over(
+            f"SELECT {FEED_SQL} AS feed, CAST(sum(strlen(coalesce(product, '')) + 1) AS BIGINT) AS size_bytes FROM raw GROUP BY 1"
+        ),
+        "input_preflight": over(
+            "SELECT feed, pattern, 'input_files_present' AS check_name, pattern = '*.txt' AS passed, true AS all_told "
+            f"FROM (SELECT DISTINCT {FEED_SQL} AS feed FROM raw), (VALUES ('*.txt'), ('*.csv')) AS p(pattern)"
+        ),
         "partitioned_round_trip": output,
         "partition_rows": over(
             "SELECT order_year, order_month, count(*) AS n FROM output GROUP BY ALL"

@@ -18,6 +18,7 @@ from scrubline.catalogue.fixture import (
     fresh_path,
     raw,
     table,
+    text_feeds,
     with_file_headers,
 )
 from scrubline.functions import snake_columns
@@ -240,12 +241,24 @@ def headers_by_layout(spark, sf_dir):
     return checked.select(F.array_join("header", "|").alias("header"), "consistent").distinct()
 
 
-def inventory(spark, sf_dir):
-    return file_inventory(spark, csv_folder(spark, sf_dir))
+def bytes_per_feed(spark, sf_dir):
+    base = text_feeds(spark, sf_dir)
+    per_feed = []
+    for feed in FEEDS:
+        files = file_inventory(spark, f"{base}/feed={feed}", "*.txt")
+        per_feed.append(files.agg(F.sum("size_bytes").alias("size_bytes")).select(F.lit(feed).alias("feed"), "size_bytes"))
+    return reduce(DataFrame.unionByName, per_feed)
 
 
-def input_preflight(spark, sf_dir):
-    return preflight(spark, csv_folder(spark, sf_dir))
+def preflight_per_feed(spark, sf_dir):
+    base = text_feeds(spark, sf_dir)
+    told = []
+    for feed in FEEDS:
+        for pattern in ("*.txt", "*.csv"):
+            found = preflight(spark, f"{base}/feed={feed}", pattern)
+            named = (F.size("first_files") + F.col("more") == F.col("observed")).alias("all_told")
+            told.append(found.select(F.lit(feed).alias("feed"), F.lit(pattern).alias("pattern"), "check_name", "passed", named))
+    return reduce(DataFrame.unionByName, told)
 
 
 def partitioned_round_trip(spark, sf_dir):
@@ -353,8 +366,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_inferred": csv_inferred,
         "rows_per_file": rows_per_feed,
         "header_consistency": headers_by_layout,
-        "file_inventory": inventory,
-        "input_preflight": input_preflight,
+        "file_inventory": bytes_per_feed,
+        "input_preflight": preflight_per_feed,
         "partitioned_round_trip": partitioned_round_trip,
         "partition_rows": partition_rows,
         "single_parquet_round_trip": single_parquet_round_trip,

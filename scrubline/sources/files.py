@@ -29,9 +29,9 @@ def literal_path(file_path: str) -> str:
 
 
 def preflight(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
-    """``check_name, observed, passed, first_files``: is there any input at all?
+    """``check_name, observed, passed, first_files, more``: is there any input at all?
 
-    ``first_files`` names up to five, ``observed`` counts all of them.
+    ``first_files`` names up to five, ``observed`` counts all of them, ``more`` those not named.
     """
     inventory = file_inventory(spark, path, pattern)
     first = inventory.orderBy("file_name").limit(5)
@@ -42,4 +42,5 @@ def preflight(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFra
         F.col("observed"),
         (F.col("observed") > 0).alias("passed"),
         names.scalar().alias("first_files"),
+        F.greatest(F.col("observed") - 5, F.lit(0)).alias("more"),
     )

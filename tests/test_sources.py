@@ -207,7 +207,7 @@ def test_headers_scan_is_shared_with_its_subquery(spark, folder):
 def test_preflight_names_five(spark, folder):
     path = folder(**{f"f{i}": "x\n" for i in range(7)})
     row = preflight(spark, path).first()
-    assert (row.observed, row.passed) == (7, True)
+    assert (row.observed, row.passed, row.more) == (7, True, 2)
     assert row.first_files == [f"f{i}.csv" for i in range(5)]
 
 
