@@ -1,15 +1,14 @@
-"""Near-duplicate vectors by an index of pivot permutations.
+"""Near-duplicate vectors by inverted lists of pivots.
 
-A vector is described by its nearest reference points (pivots) in order. Inverted lists
-are kept by pair of pivots, so that vectors meet if they share two of their nearest; the
-number of shared pivots is taken from the descriptions. What meets is verified by cosine
-in double precision.
+A vector is listed at its nearest reference point (pivot), and as a guest at those that
+may be the nearest of a vector close to it, by the triangle inequality. Every pair that is
+close enough so meets in one list, whatever the table. What meets is verified by cosine in
+double precision.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ from scrubline.llm.common import bounded_batches, written
 from scrubline.llm.components import components
 from scrubline.llm.vectors import matrix, usable
 
-BLOCK = 1024
+BLOCK = 2048
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -30,18 +29,34 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def shared_pivots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of sorted descriptions row by row: how many pivots are shared, and the pair of the two smallest."""
-    common = (a[:, :, None] == b[:, None, :]).any(2)
-    order = np.argsort(~common, axis=1, kind="stable")[:, :2]
-    two = np.take_along_axis(a, order, 1).astype(np.int64)
-    return common.sum(1), (two[:, 0] << 32) | two[:, 1]
+def spread(sample: np.ndarray, wanted: int) -> np.ndarray:
+    """Up to ``wanted`` rows of the sample as pivots, of each neighbourhood (cosine 0.5) one first."""
+    chosen: list[int] = []
+    closest = np.full(len(sample), -np.inf)
+    for i in range(len(sample)):
+        if len(chosen) < wanted and closest[i] < 0.5:
+            chosen.append(i)
+            closest = np.maximum(closest, sample @ sample[i])
+    return sample[chosen]
+
+
+def listed(x: np.ndarray, points: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest pivot of each row, and the lower pivots at which the row is a guest.
+
+    If x is nearest to p, y to q, and their cosine is at least ``threshold``, then
+    y.q - y.p <= (y - x).(q - p) <= |y - x| |q - p|: y is a guest at p unless this fails.
+    """
+    near = x @ points.T
+    home = near.argmax(1)
+    apart = np.sqrt(np.maximum(2 - 2 * points @ points.T, 0))
+    reach = max(2 - 2 * threshold, 0) ** 0.5 * apart[home] + 1e-9
+    guest = near[np.arange(len(x)), home][:, None] - near <= reach
+    return home, guest & (np.arange(len(points)) < home[:, None])
 
 
 def link_vectors(
     vectors: DataFrame,
     threshold: float = 0.9,
-    nearest: int = 8,
     pivots: int | None = None,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
@@ -52,10 +67,10 @@ def link_vectors(
     reachable. Vectors that are null, zero, not finite, or of another length than most,
     link with nothing. Rows with equal id and vector are one vector. Equal vectors are
     compared once for all. ``pivots`` is half the root of the number of different vectors
-    by default (16 at least), which keeps the lists equally long at every size; with
-    8 nearest, vectors of cosine 0.9 share two pivots in more than 99 % of cases, closer
-    ones more often. No pair leaves a task: lists are compared in blocks, which give sums
-    of links and stars of what is linked.
+    by default, from 16 to 64. No link is missed at any number; vectors far from all
+    pivots are guests of many, so a table without clusters costs as much as comparing all
+    pairs. No pair leaves a task: lists are compared in blocks, which give sums of links
+    and stars of what is linked.
     """
     spark = vectors.sparkSession
     bounded_batches(spark, 4096)
@@ -73,57 +88,65 @@ def link_vectors(
     classes = written(rows.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("weight")), "vector-classes")
 
     n = classes.count()
-    wanted = pivots or max(16, round(0.5 * n**0.5))
-    # Grows with the root of the rows only.
-    chosen = classes.orderBy(F.xxhash64("id"), "id").limit(wanted).select("v").toArrow()
-    points = _unit(matrix(chosen.column(0), dim)) if chosen.num_rows else np.zeros((0, dim))
+    wanted = pivots or min(64, max(16, round(0.5 * n**0.5)))
+    chosen = classes.orderBy(F.xxhash64("id"), "id").limit(32 * wanted).select("v").toArrow()
+    points = spread(_unit(matrix(chosen.column(0), dim)), wanted) if chosen.num_rows else np.zeros((1, dim))
     shared = spark.sparkContext.broadcast(points)
-    take = min(nearest, len(points))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _unit(matrix(batch.column("v"), dim))
-            order = np.argpartition(-(x @ shared.value.T), take - 1, axis=1)[:, :take] if take < len(points) else np.tile(
-                np.arange(take), (len(x), 1)
-            )
-            top = np.sort(order, axis=1).astype(np.int32)
-            # With one pivot, all vectors are in its list.
-            two = list(combinations(range(take), 2)) or [(0, 0)]
-            keys = np.stack([(top[:, i].astype(np.int64) << 32) | top[:, j] for i, j in two], axis=1)
-            rows_ = pa.array(np.repeat(np.arange(len(x)), len(two)))
-            described = pa.array([t.tobytes() for t in top], pa.binary()).take(rows_)
-            rest = [batch.column(c).take(rows_) for c in ("id", "weight", "v")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel()), described, *rest], ["key", "pivots", "id", "weight", "v"]
-            )
-
-    kind = f"key long, pivots binary, id long, weight long, v {dict(classes.dtypes)['v']}"
-    keyed = written(classes.mapInArrow(describe, kind), "pivot-lists")
+            home, guest = listed(_unit(matrix(batch.column("v"), dim)), shared.value, threshold)
+            row, at = np.nonzero(guest)
+            row = np.concatenate([np.arange(len(home)), row])
+            key = np.concatenate([home, at]).astype(np.int64)
+            rest = [batch.column(c).take(pa.array(row)) for c in ("id", "weight", "v")]
+            is_guest = pa.array(np.arange(len(row)) >= len(home))
+            yield pa.RecordBatch.from_arrays([pa.array(key), is_guest, *rest], ["key", "guest", "id", "weight", "v"])
+
+    kind = f"key long, guest boolean, id long, weight long, v {dict(classes.dtypes)['v']}"
+    keyed = classes.mapInArrow(describe, kind)
+    own = keyed.filter("NOT guest").drop("guest")
+    # One row a pivot: how many blocks its own vectors and its guests have.
+    sizes = written(
+        keyed.groupBy("key").agg(
+            F.ceil(F.count(F.expr("IF(guest, NULL, 1)")) / BLOCK).cast("int").alias("homes"),
+            F.ceil(F.count(F.expr("IF(guest, 1, NULL)")) / BLOCK).cast("int").alias("guests"),
+        ),
+        "pivot-lists",
+    ).filter("homes > 0 AND guests > 0")
+    mine = F.when(F.col("guest"), F.col("guests")).otherwise(F.col("homes"))
+    across = (
+        keyed.join(F.broadcast(sizes), "key")
+        .withColumn("block", F.pmod(F.xxhash64("id"), mine).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("guest"), F.col("homes")).otherwise(F.col("guests")) - 1)))
+        # Blocks of guests are numbered below zero.
+        .withColumn("lo", -1 - F.when(F.col("guest"), F.col("block")).otherwise(F.col("other")))
+        .withColumn("hi", F.when(F.col("guest"), F.col("other")).otherwise(F.col("block")))
+        .withColumn("side", (~F.col("guest")).cast("int"))
+        .select("key", "id", "weight", "v", "lo", "hi", "side")
+    )
+    across = across.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["key", "lo", "hi"]):
             ids, weight = group.column("id").to_numpy(), group.column("weight").to_numpy()
-            top = np.frombuffer(b"".join(group.column("pivots").to_pylist()), np.int32).reshape(len(ids), -1)
-            x, key = _unit(matrix(group.column("v"), dim)), group.column("key")[0].as_py()
+            x = _unit(matrix(group.column("v"), dim))
             side = group.column("side").to_numpy()
-            across = group.column("lo")[0].as_py() != group.column("hi")[0].as_py()
-            left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if across else (np.arange(len(ids)),) * 2
+            apart = group.column("lo")[0].as_py() != group.column("hi")[0].as_py()
+            left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if apart else (np.arange(len(ids)),) * 2
             links = np.zeros(len(ids), np.int64)
             ends: list[tuple[np.ndarray, np.ndarray]] = []
             for a in range(0, len(left), 256):
                 part = left[a : a + 256]
                 i, j = np.nonzero(x[part] @ x[right].T >= threshold - 1e-12)
                 i, j = part[i], right[j]
-                if not across:
+                if not apart:
                     i, j = i[i < j], j[i < j]
                 close = (x[i] * x[j]).sum(1) >= threshold
                 i, j = i[close], j[close]
                 ends.append((i, j))
-                n_shared, first = shared_pivots(top[i], top[j]) if top.shape[1] > 1 else (np.full(len(i), 2), key)
-                # Counted in the first list only in which the two meet.
-                here = (n_shared >= 2) & (first == key)
-                np.add.at(links, i[here], weight[j[here]])
-                np.add.at(links, j[here], weight[i[here]])
+                np.add.at(links, i, weight[j])
+                np.add.at(links, j, weight[i])
             i, j = (np.concatenate(e) for e in zip(*ends)) if ends else (np.empty(0, int),) * 2
             root = smallest_linked(len(ids), i, j)
             hit = np.unique(np.concatenate([i, j]))
@@ -132,9 +155,9 @@ def link_vectors(
                     [pa.array(ids[hit]), pa.array(links[hit]), pa.array(ids[root[hit]])], ["id", "links", "root"]
                 )
 
-    found = written(
-        deal_blocks(keyed, BLOCK).mapInArrow(compare, "id long, links long, root long"), "vector-links"
-    )
+    found_kind = "id long, links long, root long"
+    within = deal_blocks(own, BLOCK).mapInArrow(compare, found_kind)
+    found = written(within.unionByName(across.mapInArrow(compare, found_kind)), "vector-links")
     linked = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     classes = classes.join(linked, "id", "left").join(parts, "id", "left")

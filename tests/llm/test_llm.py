@@ -188,6 +188,21 @@ def test_op4_brute_force(spark):
     assert embedding_dedup.link_vectors(df.limit(0)).count() == 0
 
 
+def test_op4_hot_cluster(spark):
+    # A third of the vectors around one centre, linked by cosines on both sides of 0.9.
+    rng = np.random.default_rng(44)
+    noise = rng.standard_normal((6000, 64))
+    x = np.concatenate([noise[:4000], 10 * noise[4000] / np.linalg.norm(noise[4000]) + 0.41 * rng.standard_normal((2000, 64))])
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    expected = (u @ u.T >= 0.9).sum(1) - 1
+    rows = [(i, v.tolist()) for i, v in enumerate(x.astype(np.float32))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for pivots in (None, 1, 150):
+        got = {r.vec_id: r.n_links for r in embedding_dedup.link_vectors(df, pivots=pivots).collect()}
+        assert [got[i] for i in range(len(x))] == expected.tolist()
+
+
 def test_op5_brute_force(spark, sf_dir, documents):
     rows = {r.doc_id: r for r in llm.op5_token_files(spark, sf_dir).collect()}
     tokenizer, start = Tokenizer.from_file(BYTE), 0
