@@ -68,6 +68,45 @@ FEED_SQL = """CASE WHEN order_id IS NULL THEN 'blank'
        ELSE 'plain' END"""
 
 
+LAYOUT_FILES = 6
+
+# Texts of every type, and of types that only all values together show.
+TYPED_SQL = """
+SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'true' ELSE 'FALSE' END AS flag,
+       CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE CAST(l_linenumber AS STRING) END AS gaps,
+       CAST(l_orderkey + 3000000000 AS STRING) AS big,
+       CAST(l_orderkey AS STRING) || '00000000000000000000' AS huge,
+       CASE WHEN l_orderkey % 7 = 0 THEN '1d' ELSE CAST(l_linenumber AS STRING) END AS suffixed,
+       CASE WHEN l_orderkey % 11 = 0 THEN '  ' ELSE CAST(l_linenumber AS STRING) END AS blanks,
+       CASE WHEN l_orderkey % 13 = 0 THEN 'true' ELSE CAST(l_linenumber AS STRING) END AS mixed,
+       {day} AS day,
+       {day} || CASE WHEN l_orderkey % 3 = 0 THEN ' 10:00:00' ELSE '' END AS moment,
+       CASE WHEN l_orderkey % 1000 = 0 THEN '4/7/19' ELSE {day} END AS almost
+FROM {lineitem}
+"""
+
+# Dates in five formats, two of which have one shape.
+DATED_SQL = """
+SELECT CASE l_linenumber % 5
+       WHEN 0 THEN {day}
+       WHEN 1 THEN {month2} || '/' || {day2} || '/' || {year4}
+       WHEN 2 THEN {day2} || '/' || {month2} || '/' || {year4}
+       WHEN 3 THEN CAST(day(l_shipdate) AS STRING) || ' Jun ' || {year4} || ' ' || {day2} || ':' || {month2}
+       ELSE CASE WHEN l_orderkey % 2 = 0 THEN 'unknown' END END AS dated
+FROM {lineitem}
+"""
+_DAY_PARTS = {
+    "year4": "CAST(year(l_shipdate) AS STRING)",
+    "month2": "lpad(CAST(month(l_shipdate) AS STRING), 2, '0')",
+    "day2": "lpad(CAST(day(l_shipdate) AS STRING), 2, '0')",
+}
+_DAY = "{year4} || '-' || {month2} || '-' || {day2}".format(**_DAY_PARTS)
+TYPED_SQL = TYPED_SQL.replace("{day}", f"({_DAY})")
+DATED_SQL = DATED_SQL.replace("{day}", _DAY)
+for _name, _part in _DAY_PARTS.items():
+    DATED_SQL = DATED_SQL.replace("{" + _name + "}", _part)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -125,13 +164,14 @@ def csv_folder(spark: SparkSession, sf_dir: str) -> str:
 
 def csv_layouts(spark: SparkSession, sf_dir: str) -> str:
     """All records in one directory of two layouts: the full one, and one without
-    the address in another column order."""
+    the address in another column order. Each layout has ``LAYOUT_FILES`` files."""
     fewer = ["product", "order_id", "order_date", "price_each", "quantity_ordered"]
 
     def write(path: str) -> None:
         records, plain = raw(spark, sf_dir), F.expr(FEED_SQL) == "plain"
-        write_csv(with_file_headers(records.filter(plain)), path)
-        write_csv(with_file_headers(records.filter(~plain).select(*fewer)), path, mode="append")
+        write_csv(with_file_headers(records.filter(plain)).repartition(LAYOUT_FILES), path)
+        others = with_file_headers(records.filter(~plain).select(*fewer)).repartition(LAYOUT_FILES)
+        write_csv(others, path, mode="append")
 
     return written(spark, sf_dir, "layouts", write)
 
@@ -155,3 +195,17 @@ def text_feeds(spark: SparkSession, sf_dir: str) -> str:
         lines.write.partitionBy("feed").text(path)
 
     return written(spark, sf_dir, "text-feeds", write)
+
+
+def typed_texts(spark: SparkSession, sf_dir: str) -> str:
+    """Texts of many types as a CSV directory."""
+
+    def write(path: str) -> None:
+        write_csv(spark.sql(TYPED_SQL, lineitem=table(spark, sf_dir, "lineitem")).repartition(LAYOUT_FILES), path)
+
+    return written(spark, sf_dir, "typed-texts", write)
+
+
+def dated_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates as texts of several formats in a column."""
+    return spark.sql(DATED_SQL, lineitem=table(spark, sf_dir, "lineitem"))

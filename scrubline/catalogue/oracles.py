@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scrubline.catalogue.fixture import FEED_SQL, RAW_COLUMNS, RAW_SQL
+from scrubline.catalogue.fixture import DATED_SQL, FEED_SQL, LAYOUT_FILES, RAW_COLUMNS, RAW_SQL, TYPED_SQL
 from scrubline.functions.parsing import NUMBER_PATTERN
 
 COLUMNS = ", ".join(RAW_COLUMNS)
@@ -162,6 +162,50 @@ def _narrowest(column: str) -> str:
     return f"CASE {' '.join(cases)} ELSE 'string' END"
 
 
+def _types() -> str:
+    """The narrowest type of each column, by tests of all its values."""
+    whole = "regexp_full_match({0}, '[+-]?[0-9]+')"
+    number = "regexp_full_match({0}, '[ ]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?[df]?[ ]*')"
+    day = "(regexp_full_match({0}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST({0} AS DATE) IS NOT NULL)"
+    digits = "length(regexp_replace({0}, '^[+-]?0*', ''))"
+    tests = {
+        "'boolean'": "lower({0}) IN ('true', 'false')",
+        "'int'": f"{whole} AND TRY_CAST({{0}} AS INTEGER) IS NOT NULL",
+        "'bigint'": f"{whole} AND TRY_CAST({{0}} AS BIGINT) IS NOT NULL",
+        f"'decimal(' || max({digits}) || ',0)'": f"{whole} AND {digits} <= 38",
+        "'double'": number,
+        "'date'": day,
+        "'timestamp'": f"({day} OR regexp_full_match({{0}}, '[0-9]{{{{4}}}}-[0-9]{{{{2}}}}-[0-9]{{{{2}}}} [0-9]{{{{2}}}}:[0-9]{{{{2}}}}:[0-9]{{{{2}}}}'))",
+    }
+    rows = []
+    for column in ("flag", "gaps", "big", "huge", "suffixed", "blanks", "mixed", "day", "moment", "almost"):
+        cases = " ".join(f"WHEN bool_and({t.format(column)}) FILTER ({column} IS NOT NULL) THEN {k.format(column)}" for k, t in tests.items())
+        rows.append(f"SELECT '{column}' AS column_name, CASE {cases} ELSE 'string' END AS data_type FROM typed")
+    return f"WITH typed AS ({TYPED_SQL.format(lineitem='lineitem')}) {_long(rows)}"
+
+
+def _date_formats() -> str:
+    shapes = {
+        "0000-#-#": [("yyyy-MM-dd", "day(l_shipdate) > 12")],
+        "#/#/0000": [
+            ("MM/dd/yyyy", "l_linenumber % 5 = 1 AND day(l_shipdate) > 12"),
+            ("dd/MM/yyyy", "l_linenumber % 5 = 2 AND day(l_shipdate) > 12"),
+        ],
+        "# MMM 0000 #:#": [("d MMM yyyy HH:mm", "true")],
+    }
+    numbers = {"0000-#-#": "(0)", "#/#/0000": "(1, 2)", "# MMM 0000 #:#": "(3)"}
+    rows = [
+        f"SELECT '{shape}' AS shape, count(*) AS n, '{pattern}' AS pattern, count(*) FILTER ({evidence}) AS evidence, true AS certain "
+        f"FROM lineitem WHERE l_linenumber % 5 IN {numbers[shape]}"
+        for shape, patterns in shapes.items()
+        for pattern, evidence in patterns
+    ]
+    other = (
+        "SELECT NULL, count(*), NULL, 0, false FROM lineitem WHERE l_linenumber % 5 = 4 AND l_orderkey % 2 = 0"
+    )
+    return _long([*rows, other])
+
+
 def _profile() -> str:
     names = {
         "order_id": "Order ID",
@@ -265,6 +309,8 @@ def oracle_sql() -> dict[str, str]:
             "count(*) - (SELECT count(*) FROM (SELECT DISTINCT order_id FROM raw)) AS potential_duplicates FROM raw"
         ),
         "castability": over(_castability()),
+        "inferred_types": _types(),
+        "date_formats": _date_formats(),
         "schema_table": over(_long(schema_rows)),
         "shape": over("SELECT count(*) AS row_count, CAST(6 AS INTEGER) AS column_count FROM raw"),
         "sample_values": over(
@@ -303,10 +349,10 @@ def oracle_sql() -> dict[str, str]:
         "csv_inferred": all_raw,
         "rows_per_file": over(f"SELECT {FEED_SQL} AS feed, count(*) AS n FROM raw GROUP BY 1"),
         "header_consistency": over(
-            "SELECT DISTINCT CASE WHEN plain THEN "
+            "SELECT CASE WHEN plain THEN "
             "'Order ID|Product|Quantity Ordered|Price Each|Order Date|Purchase Address' ELSE "
-            "'Product|Order ID|Order Date|Price Each|Quantity Ordered' END AS header, plain AS consistent "
-            f"FROM (SELECT {FEED_SQL} = 'plain' AS plain FROM raw)"
+            f"'Product|Order ID|Order Date|Price Each|Quantity Ordered' END AS header, plain AS consistent, {LAYOUT_FILES}::BIGINT AS files "
+            f"FROM (SELECT DISTINCT {FEED_SQL} = 'plain' AS plain FROM raw)"
         ),
         "file_inventory": over(
             f"SELECT {FEED_SQL} AS feed, CAST(sum(strlen(coalesce(product, '')) + 1) AS BIGINT) AS size_bytes FROM raw GROUP BY 1"

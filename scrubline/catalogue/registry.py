@@ -15,14 +15,16 @@ from scrubline.catalogue.fixture import (
     csv_feeds,
     csv_folder,
     csv_layouts,
+    dated_texts,
     fresh_path,
     raw,
     table,
     text_feeds,
+    typed_texts,
     with_file_headers,
 )
 from scrubline.functions import snake_columns
-from scrubline.operators import dedup, profiling, quality, rules
+from scrubline.operators import dates, dedup, profiling, quality, rules
 from scrubline.operators.profiling import CastTarget
 from scrubline.plans import CleanseConfig, cleanse, profile
 from scrubline.plans.cleansing import (
@@ -42,6 +44,7 @@ from scrubline.sources import (
     file_inventory,
     header_consistency,
     preflight,
+    read_csv_by_name,
     read_csv_dir,
     read_csv_inferred,
     rows_per_file,
@@ -145,6 +148,14 @@ def castability(spark, sf_dir):
     return profiling.castability(rules.accept(distinct, [rules.numeric("order_id")]), SALES_CASTS)
 
 
+def inferred_types(spark, sf_dir):
+    return profiling.inferred_types(read_csv_by_name(spark, typed_texts(spark, sf_dir)))
+
+
+def date_formats(spark, sf_dir):
+    return dates.date_formats(dated_texts(spark, sf_dir), "dated")
+
+
 def schema_table(spark, sf_dir):
     return profiling.schema_table(raw(spark, sf_dir))
 
@@ -238,7 +249,7 @@ def rows_per_feed(spark, sf_dir):
 
 def headers_by_layout(spark, sf_dir):
     checked = header_consistency(spark, csv_layouts(spark, sf_dir), SALES_SCHEMA.names)
-    return checked.select(F.array_join("header", "|").alias("header"), "consistent").distinct()
+    return checked.groupBy(F.array_join("header", "|").alias("header"), "consistent").agg(F.count(F.lit(1)).alias("files"))
 
 
 def bytes_per_feed(spark, sf_dir):
@@ -347,6 +358,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "distinct_counts": distinct_counts,
         "key_duplicate_count": key_duplicate_count,
         "castability": castability,
+        "inferred_types": inferred_types,
+        "date_formats": date_formats,
         "schema_table": schema_table,
         "shape": shape,
         "sample_values": sample_values,

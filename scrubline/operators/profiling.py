@@ -10,6 +10,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scrubline.functions.inference import type_name, type_state
 from scrubline.functions.parsing import is_numeric_text, parse_timestamp
 
 
@@ -79,7 +80,7 @@ def range_stats(df: DataFrame, ranges: Mapping[str, Sequence[str]]) -> DataFrame
 
 @dataclass(frozen=True)
 class CastTarget:
-    """``kind`` is string, numeric, float, int or timestamp (which needs formats).
+    """``kind`` is string, numeric, float, int or timestamp (with the formats to try).
 
     ``numeric`` takes any number, decimals too; ``int`` takes whole 32-bit numbers.
     """
@@ -99,7 +100,8 @@ class CastTarget:
         elif self.kind == "int":
             converts = value.cast("string").rlike(r"^\s*[+-]?\d+\s*$") & value.try_cast("int").isNotNull()
         elif self.kind == "timestamp":
-            converts = parse_timestamp(value, *self.formats).isNotNull()
+            # Without any format nothing converts.
+            converts = parse_timestamp(value, *self.formats).isNotNull() if self.formats else F.lit(False)
         else:
             raise ValueError(f"unknown cast target {self.kind!r} for {self.column}")
         return value.isNotNull() & ~converts
@@ -122,6 +124,24 @@ def castability(df: DataFrame, targets: Sequence[CastTarget]) -> DataFrame:
     )
 
 
+def inferred_types(df: DataFrame) -> DataFrame:
+    """``column_name, data_type``: per text column the narrowest type that holds all its values.
+
+    One aggregate over one pass; types of other columns are what they are declared.
+    """
+    states = {f"{part}{i}": v for i, c in enumerate(df.columns) for part, v in type_state(F.col(f"`{c}`").cast("string")).items()}
+    return as_rows(
+        df.agg(*[value.alias(name) for name, value in states.items()]),
+        [
+            {
+                "column_name": F.lit(c),
+                "data_type": type_name(F.col(f"bits{i}"), F.col(f"digits{i}")) if kind == "string" else F.lit(kind),
+            }
+            for i, (c, kind) in enumerate(df.dtypes)
+        ],
+    )
+
+
 def schema_table(df: DataFrame) -> DataFrame:
     """``column_name, data_type, nullable, nulls``: the schema beside what the data hold."""
     fields = df.schema.fields

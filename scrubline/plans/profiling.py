@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scrubline.functions.inference import type_name, type_state
 from scrubline.functions.parsing import is_numeric_text
 from scrubline.operators import dedup
+from scrubline.operators.dates import likely_formats
 from scrubline.operators.profiling import CastTarget, any_null_rows, as_rows, distinct_with_null
 from scrubline.sinks import write_csv
 from scrubline.sources import CsvDialect, file_inventory, read_csv_by_name
-from scrubline.sources.csv import file_headers, layouts
+from scrubline.sources.headers import Layouts, file_headers, layouts
 
 _N = "__copies"
 
 
 @dataclass(frozen=True)
 class ProfileConfig:
-    """Columns by the names in the files; the defaults are those of the sales record."""
+    """Columns by the names in the files; the defaults are those of the sales record.
+
+    A timestamp target without formats is tried with those that its values show
+    (``operators.dates``), which reads that column once more and is reported as ``formats``.
+    """
 
     dialect: CsvDialect = CsvDialect()
     expected_header: tuple[str, ...] | None = None
@@ -52,7 +57,7 @@ def rows_where(condition: Column) -> Column:
 def table_report(df: DataFrame, config: ProfileConfig = ProfileConfig()) -> DataFrame:
     """``section, item, value`` about the rows of a frame, from one pass over it.
 
-    The distinct rows with their copies are worked out once; every figure then
+    ``types`` are the narrowest that hold all values of a text column. The distinct rows with their copies are worked out once; every figure then
     follows from these groups: sums of copies give row counts, plain counts give
     figures on deduplicated rows. Distinct counts are kept apart from the other
     figures, which would otherwise be carried along with every distinct value; both
@@ -71,9 +76,14 @@ def table_report(df: DataFrame, config: ProfileConfig = ProfileConfig()) -> Data
         **{("bad_values", c): count for c, count in bad.items()},
     }
     found = {key: F.col(f"f{i}") for i, key in enumerate(counts)}
-    counted = groups.agg(*[value.alias(f"f{i}") for i, value in enumerate(counts.values())])
+    states = {f"{part}{i}": value for i, c in _texts(df) for part, value in type_state(F.col(f"`{c}`")).items()}
+    counted = groups.agg(
+        *[value.alias(f"f{i}") for i, value in enumerate(counts.values())],
+        *[value.alias(name) for name, value in states.items()],
+    )
     rows = [_item(section, item, value) for (section, item), value in found.items()]
     rows += [_item("castable", c, found["bad_values", c] == 0) for c in bad]
+    rows += [_item("types", c, type_name(F.col(f"bits{i}"), F.col(f"digits{i}"))) for i, c in _texts(df)]
 
     distinct = groups.agg(
         F.coalesce(F.sum(_N), F.lit(0)).alias("rows"),
@@ -91,25 +101,14 @@ def table_report(df: DataFrame, config: ProfileConfig = ProfileConfig()) -> Data
     return as_rows(counted, rows).unionByName(as_rows(distinct, key_rows))
 
 
-def types_report(df: DataFrame) -> DataFrame:
-    """``section, item, value``: per text column the narrowest type that holds all values of all files."""
-    kinds = ("int", "double", "timestamp")
-    counts, items = [], []
-    for i, name in enumerate(df.columns):
-        text = F.col(f"`{name}`")
-        counts.append(F.count(text).alias(f"n{i}"))
-        counts += [F.count(text.try_cast(kind)).alias(f"{kind}{i}") for kind in kinds]
-        value = F.lit("string")
-        for kind in reversed(kinds):
-            value = F.when((F.col(f"n{i}") > 0) & (F.col(f"{kind}{i}") == F.col(f"n{i}")), kind).otherwise(value)
-        items.append(_item("types", name, value))
-    return as_rows(df.agg(*counts), items)
+def _texts(df: DataFrame) -> list[tuple[int, str]]:
+    return [(i, c) for i, (c, kind) in enumerate(df.dtypes) if kind == "string"]
 
 
 def files_report(
     spark: SparkSession,
     source: str,
-    found: Sequence[Row],
+    found: Layouts,
     config: ProfileConfig = ProfileConfig(),
 ) -> DataFrame:
     """``section, item, value`` about the files: how many, how large, same header?
@@ -117,8 +116,7 @@ def files_report(
     ``found`` are the layouts; headers are compared with the expected one, or else
     with that of the first file by name.
     """
-    expected = list(config.expected_header or (found[0].header if found else None) or [])
-    differing = sum(layout.files for layout in found if layout.header != expected)
+    differing = found.files - found.like_expected
     inventory = file_inventory(spark, source, config.dialect.pattern)
     sizes = inventory.agg(
         F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes")
@@ -143,16 +141,19 @@ def profile(
     export_to: str | None = None,
 ) -> DataFrame:
     """Full report on a directory; optionally exports rows with NULLs and duplicates as CSV."""
-    found = layouts(file_headers(spark, source, config.dialect))
+    found = layouts(file_headers(spark, source, config.dialect), config.expected_header)
     df = read_csv_by_name(spark, source, config.dialect, found=found)
     if export_to:
         write_csv(any_null_rows(df), f"{export_to}/null_rows")
         write_csv(dedup.duplicate_members(df), f"{export_to}/duplicate_rows")
-    return (
-        files_report(spark, source, found, config)
-        .unionByName(types_report(df))
-        .unionByName(table_report(df, config))
+    targets = tuple(
+        replace(t, formats=likely_formats(df, t.column)) if t.kind == "timestamp" and not t.formats else t for t in config.cast_targets
     )
+    guessed = {t.column: ", ".join(t.formats) for t, given in zip(targets, config.cast_targets) if t.formats != given.formats}
+    report = files_report(spark, source, found, config).unionByName(table_report(df, replace(config, cast_targets=targets)))
+    for column, formats in guessed.items():
+        report = report.unionByName(as_rows(spark.range(1), [_item("formats", column, F.lit(formats))]))
+    return report
 
 
 def ready(report: DataFrame) -> bool:

@@ -52,8 +52,9 @@ def write_single_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> N
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with header, quotes doubled so that any text survives a round trip."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with header, quotes doubled and blanks kept so that any text survives a round trip."""
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(header=True, escape='"', **blanks).csv(path)
 
 
 def partition_listing(

@@ -3,69 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, Row, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scrubline.sources.dialect import CsvDialect
 from scrubline.sources.files import file_inventory
-from scrubline.sources.records import csv_records, text_lines
-
-# Fixed value: a text line made up of whole CSV fields only. A line that does not
-# match may be part of a record that runs over several lines.
-COMPLETE_LINE = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)(?:,|$))*+$'
-# Fixed value: a comma outside quotes.
-FIELD_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
-@dataclass(frozen=True)
-class CsvDialect:
-    """How the text is written.
-
-    ``multiline``: True lets quoted fields hold line breaks, which makes each file
-    a single task; False splits files but takes each line as a record. "records"
-    does both at the cost of shuffling the text (see ``csv_records``); it takes UTF-8
-    text with doubled quotes, and other dialects are refused. The mode never follows
-    from the size of the files.
-
-    ``null_tokens``: further texts to be read as NULL in string columns.
-    """
-
-    pattern: str = "*.csv"
-    multiline: bool | str = True
-    quote: str = '"'
-    escape: str = '"'
-    encoding: str = "UTF-8"
-    null_tokens: tuple[str, ...] = ()
-
-
-def has_multiline_records(spark: SparkSession, path: str, dialect: CsvDialect = CsvDialect()) -> bool:
-    """Does any line look like a part of a longer record? Stops at the first one."""
-    lines = spark.read.option("pathGlobFilter", dialect.pattern).text(path)
-    return not lines.filter(~F.col("value").rlike(COMPLETE_LINE)).isEmpty()
-
-
-def _multiline(dialect: CsvDialect) -> bool | str:
-    if dialect.multiline not in (True, False, "records"):
-        raise ValueError(f"unknown multiline {dialect.multiline!r}")
-    if dialect.multiline == "records":
-        if dialect.encoding.upper() not in ("UTF-8", "UTF8"):
-            raise ValueError('multiline "records" reads UTF-8 only')
-        if dialect.escape != dialect.quote:
-            raise ValueError('multiline "records" reads doubled quotes only')
-    return dialect.multiline
+from scrubline.sources.headers import Layouts, column_names, file_headers, layouts, numbered, numbered_in_rows
 
 
 def _options(dialect: CsvDialect) -> dict[str, str]:
     return {"quote": dialect.quote, "escape": dialect.escape}
 
 
-def _reader(spark: SparkSession, dialect: CsvDialect, multiline: bool) -> DataFrameReader:
+def _reader(spark: SparkSession, dialect: CsvDialect) -> DataFrameReader:
     return (
         spark.read.option("header", True)
         .option("pathGlobFilter", dialect.pattern)
-        .option("multiLine", multiline)
+        .option("multiLine", dialect.multiline)
         .option("encoding", dialect.encoding)
         .options(**_options(dialect))
     )
@@ -80,30 +36,8 @@ def _scan(
     file_column: str | None = None,
 ) -> DataFrame:
     """Rows by position, without the header lines; ``file_column`` adds the file they are from."""
-    multiline = _multiline(dialect)
-    if multiline == "records":
-        if check_headers:
-            _require_headers(spark, path, schema, dialect)
-        records = csv_records(spark, path, dialect.pattern, dialect.quote)
-        kinds = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(schema.fields))
-        fields = F.from_csv("record", kinds, _options(dialect)).alias("fields")
-        rows, file = records.select(fields, "file_path"), F.col("file_path")
-        columns = [F.col("fields")[f"c{i}"].alias(name) for i, name in enumerate(schema.names)]
-    else:
-        reader = _reader(spark, dialect, multiline).option("enforceSchema", not check_headers)
-        rows, file = reader.schema(schema).csv(path), F.col("_metadata.file_path")
-        columns = ["*"]
-    return rows.select(*columns, *([file.alias(file_column)] if file_column else []))
-
-
-def _require_headers(
-    spark: SparkSession, path: str, schema: T.StructType, dialect: CsvDialect
-) -> None:
-    expected = [name.lower() for name in schema.names]
-    found = F.transform("header", F.lower)
-    wrong = file_headers(spark, path, dialect).filter(found != _names(expected)).first()
-    if wrong:
-        raise ValueError(f"header of {wrong.file_name} does not conform to the schema: {wrong.header}")
+    rows = _reader(spark, dialect).option("enforceSchema", not check_headers).schema(schema).csv(path)
+    return rows.select("*", F.col("_metadata.file_path").alias(file_column)) if file_column else rows
 
 
 def _tokens_to_null(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
@@ -151,35 +85,7 @@ def read_csv_inferred(spark: SparkSession, path: str, dialect: CsvDialect = CsvD
 
     Files are read as a whole where records may run over several lines.
     """
-    reader = _reader(spark, dialect, bool(_multiline(dialect)))
-    return reader.option("inferSchema", True).csv(path)
-
-
-def file_headers(spark: SparkSession, path: str, dialect: CsvDialect = CsvDialect()) -> DataFrame:
-    """``file_name, file_path, header``: the first line of each file, split in columns.
-
-    Reads lines as text; only the first block of each file is kept, and one line
-    per file and task goes into the shuffle. Files without any text have a NULL header.
-    """
-    first = (
-        text_lines(spark, path, dialect.pattern)
-        .filter(F.col("block_start") == 0)
-        .groupBy("file_path")
-        .agg(F.min_by("value", "line").alias("first_line"))
-    )
-    header = F.transform(F.split("first_line", FIELD_SEPARATOR), _unquoted)
-    files = file_inventory(spark, path, dialect.pattern).select("file_path")
-    return files.join(first, "file_path", "left").select(
-        F.substring_index("file_path", "/", -1).alias("file_name"),
-        "file_path",
-        header.alias("header"),
-    )
-
-
-def _unquoted(name: Column) -> Column:
-    quoted = name.startswith('"') & name.endswith('"') & (F.length(name) > 1)
-    inner = name.substr(F.lit(2), F.length(name) - 2)
-    return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(name)
+    return _reader(spark, dialect).option("inferSchema", True).csv(path)
 
 
 def header_consistency(
@@ -193,10 +99,7 @@ def header_consistency(
     Compared with ``expected``, or else with the first file by name.
     """
     headers = file_headers(spark, path, dialect)
-    if expected is None:
-        wanted = headers.agg(F.min_by("header", "file_path")).scalar()
-    else:
-        wanted = _names(expected)
+    wanted = headers.agg(F.min_by("header", "file_path")).scalar() if expected is None else _names(expected)
     same = F.coalesce(F.col("header") == wanted, F.lit(False))
     return headers.select("file_name", "header", same.alias("consistent"))
 
@@ -205,20 +108,12 @@ def _names(header: Sequence[str]) -> Column:
     return F.array(*[F.lit(c) for c in header])
 
 
-def layouts(headers: DataFrame) -> list[Row]:
-    """The distinct headers with their ``files``, in order of the first file by name."""
-    groups = headers.groupBy("header").agg(
-        F.count(F.lit(1)).alias("files"), F.min("file_name").alias("first_file")
-    )
-    return groups.orderBy("first_file").collect()
-
-
 def read_csv_by_name(
     spark: SparkSession,
     path: str,
     dialect: CsvDialect = CsvDialect(),
     schema: T.StructType | None = None,
-    found: Sequence[Row] | None = None,
+    found: Layouts | None = None,
 ) -> DataFrame:
     """All files, columns lined up by header name; missing ones are NULL.
 
@@ -227,18 +122,19 @@ def read_csv_by_name(
 
     Names match in any case; a name that a header repeats is numbered (v, v_1).
 
-    However many layouts there are, the data are scanned once. Only the distinct
-    headers come to the driver. Where they differ, each row finds the places of its
-    columns by its file, in a join with the files that do not have the most usual header.
-    ``found`` hands in the ``layouts`` where the caller has them already.
+    However many layouts there are, the data are scanned once. Headers stay in Spark; only
+    the most usual one and, without a schema, the column names come to the driver. Where
+    headers differ, each row finds the places of its columns by its file, in a join with
+    the files that do not have the most usual header. ``found`` hands in the ``layouts``
+    where the caller has them already.
     """
     headers = file_headers(spark, path, dialect)
-    found = [row for row in found or layouts(headers) if row.header is not None]
-    if not found:
+    found = found or layouts(headers)
+    if not found.different:
         _require_files(spark, path, dialect)
         return spark.createDataFrame([], schema or T.StructType([]))
-    if len(found) == 1:
-        df = _one_layout(spark, path, dialect, found[0].header, schema)
+    if found.different == 1:
+        df = _one_layout(spark, path, dialect, found.usual, schema)
     else:
         df = _many_layouts(spark, path, dialect, headers, found, schema)
     return _tokens_to_null(df, dialect.null_tokens)
@@ -251,7 +147,7 @@ def _one_layout(
     header: Sequence[str],
     schema: T.StructType | None,
 ) -> DataFrame:
-    names = _numbered(header)
+    names = numbered(header)
     declared = {f.name.lower(): f for f in schema.fields} if schema else {}
     texts = {c.lower(): T.StructField(c, T.StringType(), True) for c in names}
     fields = [declared.get(c, texts[c]) for c in texts]
@@ -267,28 +163,21 @@ def _many_layouts(
     path: str,
     dialect: CsvDialect,
     headers: DataFrame,
-    found: Sequence[Row],
+    found: Layouts,
     schema: T.StructType | None,
 ) -> DataFrame:
-    usual = max(found, key=lambda layout: layout.files).header
-    slots = [f"__{i}" for i in range(max(len(layout.header) for layout in found))]
+    slots = [f"__{i}" for i in range(found.widest)]
     texts = T.StructType([T.StructField(slot, T.StringType(), True) for slot in slots])
     rows = _scan(spark, path, texts, dialect, file_column="file_path")
-    if schema is None:
-        seen: dict[str, str] = {}
-        for name in (c for layout in found for c in _numbered(layout.header)):
-            seen.setdefault(name.lower(), name)
-        names = list(seen.values())
-    else:
-        names = schema.names
+    names = column_names(headers) if schema is None else schema.names
 
     # Places of the wanted columns, per file: as many expressions as columns, however many layouts.
-    numbered = _numbered_in_rows(F.col("header"))
-    places = F.array(*[F.array_position(numbered, c.lower()).cast("int") for c in names])
-    unusual = headers.filter(F.col("header") != _names(usual)).select("file_path", places.alias("__places"))
+    lower = F.transform(numbered_in_rows(F.col("header")), F.lower)
+    places = F.array(*[F.array_position(lower, c.lower()).cast("int") for c in names])
+    unusual = headers.filter(F.col("header") != _names(found.usual)).select("file_path", places.alias("__places"))
     joined = rows.join(unusual, "file_path", "left")
 
-    usual_slots = {c.lower(): F.col(slot) for c, slot in zip(_numbered(usual), slots)}
+    usual_slots = {c.lower(): F.col(slot) for c, slot in zip(numbered(found.usual), slots)}
     cells = F.array(*slots)
 
     def value(i: int, name: str) -> Column:
@@ -302,24 +191,6 @@ def _many_layouts(
     return joined.select(*[_as_type(v, f.dataType).alias(f.name) for v, f in zip(values, schema.fields)])
 
 
-def _numbered(header: Sequence[str]) -> list[str]:
-    """The names of a header; one that came before in any case gets its number (v, v_1)."""
-    lower = [c.lower() for c in header]
-    repeats = [lower[:i].count(c) for i, c in enumerate(lower)]
-    return [f"{c}_{n}" if n else c for c, n in zip(header, repeats)]
-
-
-def _numbered_in_rows(header: Column) -> Column:
-    """The same for a column of headers, in lower case."""
-    lower = F.transform(header, F.lower)
-
-    def name(c: Column, i: Column) -> Column:
-        n = F.size(F.filter(F.slice(lower, 1, i), lambda earlier: earlier == c))
-        return F.when(n > 0, F.concat_ws("_", c, n.cast("string"))).otherwise(c)
-
-    return F.transform(lower, name)
-
-
 def _as_type(text: Column, kind: T.DataType) -> Column:
     """Text to a declared type by the CSV reader's rule: no blanks around whole numbers."""
     if isinstance(kind, T.StringType):

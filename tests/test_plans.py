@@ -9,6 +9,7 @@ import warnings
 import pyarrow.parquet as pq
 import pytest
 
+from scrubline.operators.profiling import CastTarget
 from scrubline.operators.quality import QualityError
 from scrubline.plans import CleanseConfig, ProfileConfig, cleanse, profile, ready
 from scrubline.plans.report import render, write_report
@@ -213,6 +214,22 @@ def test_types_hold_all_files(spark, tmp_path):
     assert items == {"i": "int", "d": "double", "s": "string", "t": "timestamp"}
 
 
+def test_types_beyond_int_and_double(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("b,big,huge,suffix,blank,day\ntrue,3000000000,1,1d,1,2020-01-01\nFALSE,1,99999999999999999999,2,  ,2020-01-02\n")
+    config = ProfileConfig(key_column="big", date_column="day", cast_targets=())
+    items = {r.item: r.value for r in profile(spark, str(tmp_path), config).collect() if r.section == "types"}
+    assert items == {"b": "boolean", "big": "bigint", "huge": "decimal(20,0)", "suffix": "double", "blank": "string", "day": "date"}
+
+
+def test_profile_finds_date_formats_itself(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,d\n1,25.12.2019\n2,2019-12-13\n3,01.02.2019\n")
+    (tmp_path / "b.csv").write_text("k,d\n4,x\n")
+    config = ProfileConfig(key_column="k", date_column="d", cast_targets=(CastTarget("d", "timestamp"),))
+    items = {(r.section, r.item): r.value for r in profile(spark, str(tmp_path), config).collect()}
+    assert items["formats", "d"] == "dd.MM.yyyy, yyyy-MM-dd"
+    assert items["bad_values", "d"] == "1" and items["castable", "d"] == "false"
+
+
 def test_profile_finds_a_differing_header(spark, source):
     with open(f"{source}/other.csv", "w") as out:
         out.write("Order ID,Product\n9,Fan\n")

@@ -3,7 +3,6 @@
 import datetime
 import math
 import os
-import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,8 +20,8 @@ from scrubline.sources import (
     read_csv_inferred,
     rows_per_file,
 )
-from scrubline.sources.csv import has_multiline_records
 from scrubline.sources.files import literal_path
+from scrubline.sources.headers import MOST_CHARACTERS, column_names, file_headers, first_record, layouts
 
 HEADER = "Order ID,Product,Quantity Ordered,Price Each,Order Date,Purchase Address"
 
@@ -112,7 +111,7 @@ def test_swapped_header(spark, folder):
     assert sorted((r["Order ID"], r["Product"]) for r in named.collect()) == [("1", "A"), ("2", "B")]
 
 
-@pytest.mark.parametrize("multiline", [True, False, "records"])
+@pytest.mark.parametrize("multiline", [True, False])
 def test_by_name_lines_up_columns(spark, folder, multiline):
     path = folder(
         a_1="x,y\n1,2\n3,4\n",
@@ -196,12 +195,66 @@ def test_inventory_headers_and_rows(spark, folder):
     assert rows == {"big one.csv": 2, "header only.csv": 0, "swapped.csv": 0}
 
 
-def test_headers_scan_is_shared_with_its_subquery(spark, folder):
+def test_headers_need_no_text_scan_and_no_sort(spark, folder):
     path = folder(a="x,y\n1,2\n", b="x,y\n")
-    df = header_consistency(spark, path)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in plan or plan.count("FileScan text") == 1
+    for df in (file_headers(spark, path), header_consistency(spark, path), header_consistency(spark, path, ["x", "y"])):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(node in plan for node in ("FileScan text", "Sort [", "Exchange hashpartitioning"))
+
+
+@pytest.mark.parametrize("by_lines", [False, True])
+def test_headers_of_all_kinds(spark, tmp_path, by_lines):
+    files = {
+        "plain": "a,b\n1,2\n", "quoted": '"a, b","say ""x"""\n1,2\n', "lines": '"two\nlines",b\n1,2\n',
+        "blank first": "\n\na,b\n", "windows": "a,b\r\n1,2\r\n", "no end": "a,b", "open": '"a,b\n1,2\n', "blank": "\n",
+    }
+    for name, text in files.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    (tmp_path / "mark.csv").write_bytes("\ufeffé,b\n".encode())
+    found = {r.file_name.replace("%20", " "): r.header for r in file_headers(spark, str(tmp_path), by_lines=by_lines).collect()}
+    assert found == {
+        "plain.csv": ["a", "b"], "quoted.csv": ["a, b", 'say "x"'], "lines.csv": ["two\nlines", "b"], "blank first.csv": ["a", "b"],
+        "windows.csv": ["a", "b"], "no end.csv": ["a", "b"], "open.csv": ["a,b\n1,2\n"], "blank.csv": None, "mark.csv": ["é", "b"],
+    }
+
+
+def test_headers_as_the_dialect_has_them(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("'é, f','it\\'s'\n".encode("latin-1"))
+    dialect = CsvDialect(quote="'", escape="\\", encoding="ISO-8859-1")
+    for by_lines in (False, True):
+        assert file_headers(spark, str(tmp_path), dialect, by_lines).first().header == ["é, f", "it's"]
+    # Without multi-line records a header is one line, whatever its quotes.
+    assert first_record(['"a\n', 'b"\n'], CsvDialect(multiline=False)) == ["a\n"]
+
+
+def test_first_records_are_not_read_beyond_their_end(spark, tmp_path):
+    taken = iter(["\n", "a,b\n", "c\n"])
+    assert first_record(taken) == ["a", "b"] and next(taken) == "c\n"
+    with open(tmp_path / "large.csv", "w") as out:
+        out.write("a,b\n")
+        out.truncate(1 << 33)  # a file with a hole of 8 GB
+    assert file_headers(spark, str(tmp_path)).first().header == ["a", "b"]
+    with open(tmp_path / "large.csv", "w") as out:
+        out.write("x" * (MOST_CHARACTERS + 1))
+    with pytest.raises(Exception, match="longer than"):
+        file_headers(spark, str(tmp_path)).collect()
+
+
+def test_headers_of_ten_thousand_files(spark, tmp_path):
+    for i in range(10_000):
+        (tmp_path / f"f{i:05}.csv").write_text("k,v\n1,2\n" if i % 100 else f"k,v,x{i}\n1,2,3\n")
+    headers = file_headers(spark, str(tmp_path))
+    found = layouts(headers, ["k", "v"])
+    assert (found.files, found.different, found.widest, found.like_expected) == (10_000, 101, 3, 9_900)
+    assert found.usual == ["k", "v"] and found.first == ["k", "v", "x0"]
+    assert column_names(headers) == ["k", "v"] + [f"x{i}" for i in range(0, 10_000, 100)]
+    with pytest.raises(ValueError, match="more than 50"):
+        column_names(headers, most=50)
+    read = read_csv_by_name(spark, str(tmp_path), CsvDialect(multiline=False))
+    assert len(read.columns) == 102
+    # One task per lot of files, not per file.
+    assert headers.rdd.getNumPartitions() <= 10_000 // 20
 
 
 def test_preflight_names_five(spark, folder):
@@ -211,81 +264,16 @@ def test_preflight_names_five(spark, folder):
     assert row.first_files == [f"f{i}.csv" for i in range(5)]
 
 
-@pytest.mark.parametrize(
-    "line, multiline",
-    [
-        ("a,b", False),
-        ('"a, b",c', False),
-        ('"say ""hi""",c', False),
-        ("", False),
-        ('"open,b', True),
-        ('closed",b', True),
-        ('5" pipe,b', True),
-        ('"a"b,c', True),
-        ('"' + "x" * 200_000 + '",c', False),
-    ],
-)
-def test_complete_lines(spark, folder, line, multiline):
-    path = folder(a=f"h1,h2\n{line}\n")
-    assert has_multiline_records(spark, path) is multiline
-
-
-def test_mode_does_not_follow_from_size(spark, folder):
-    path = folder(b='k,v\n1,"two\nlines"\n2,5" pipe\n')
-    assert read_csv_by_name(spark, path).count() == 2
-    for other in ({"encoding": "ISO-8859-1"}, {"escape": "\\"}):
-        with pytest.raises(ValueError, match="records"):
-            read_csv_by_name(spark, path, CsvDialect(multiline="records", **other))
-
-
-@pytest.fixture
-def tiny_blocks(spark):
-    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
-    before = {key: spark.conf.get(key) for key in keys}
-    spark.conf.set(keys[0], "48b")
-    spark.conf.set(keys[1], "0")
-    yield
-    for key, value in before.items():
-        spark.conf.set(key, value)
-
-
-def written_field(value, rng):
-    if value and (rng.random() < 0.3 or any(c in value for c in ',"\n')):
-        return '"' + value.replace('"', '""') + '"'
-    return value
-
-
-@pytest.mark.parametrize("seed", range(4))
-def test_records_over_several_lines(spark, folder, tiny_blocks, seed):
-    rng = random.Random(seed)
-    pieces = ["a", "bc", "\n", '"', ",", " ", "\n\n", "long text in here"]
-    files = {}
-    for name in ("one", "two"):
-        rows = [
-            [str(i), "".join(rng.choices(pieces, k=rng.randint(0, 12))), rng.choice(["1.5", "x", "", "7"])]
-            for i in range(60)
-        ]
-        lines = ["k,v,n"] + [",".join(written_field(v, rng) for v in row) for row in rows]
-        lines.insert(20, "")
-        files[name] = "\n".join(lines) + rng.choice(["", "\n"])
-    path = folder(**files)
-    schema = T.StructType(
-        [T.StructField("k", T.StringType()), T.StructField("v", T.StringType()), T.StructField("n", T.DoubleType())]
-    )
-    whole = read_csv_dir(spark, path, schema, CsvDialect(multiline=True))
-    spread = read_csv_dir(spark, path, schema, CsvDialect(multiline="records"))
-    assert spread.schema == whole.schema and whole.count() == 120
-    assert sorted(map(str, spread.collect())) == sorted(map(str, whole.collect()))
-    auto = CsvDialect(multiline="records")
-    assert {r.n for r in rows_per_file(spark, path, schema, auto).collect()} == {60}
-    assert "from_csv" in read_csv_dir(spark, path, schema, auto)._jdf.queryExecution().toString()
-    with pytest.raises(ValueError, match="header"):
-        read_csv_dir(spark, path, SALES_SCHEMA, auto)
+def test_unknown_multiline(spark, folder):
+    for other in ("maybe", "records"):
+        with pytest.raises(ValueError, match="multiline"):
+            CsvDialect(multiline=other)
 
 
-def test_unknown_multiline(spark, folder):
-    with pytest.raises(ValueError, match="multiline"):
-        read_csv_dir(spark, folder(a="x\n"), SALES_SCHEMA, CsvDialect(multiline="maybe"))
+def test_lone_quotes_lose_no_rows(spark, folder):
+    path = folder(a='k,v\n1,2.5" pipe\n' + "".join(f"{i},x\n" for i in range(2, 7)))
+    for multiline in (True, False):
+        assert read_csv_by_name(spark, path, CsvDialect(multiline=multiline)).count() == 6
 
 
 def test_inferred_types(spark, folder):
