@@ -188,19 +188,64 @@ def test_op4_brute_force(spark):
     assert embedding_dedup.link_vectors(df.limit(0)).count() == 0
 
 
-def test_op4_hot_cluster(spark):
-    # A third of the vectors around one centre, linked by cosines on both sides of 0.9.
-    rng = np.random.default_rng(44)
-    noise = rng.standard_normal((6000, 64))
-    x = np.concatenate([noise[:4000], 10 * noise[4000] / np.linalg.norm(noise[4000]) + 0.41 * rng.standard_normal((2000, 64))])
-    u = x.astype(np.float32).astype(float)
+def linked_vectors(n, cluster, seed):
+    """Random vectors, a tenth of them with a partner of cosine about 0.92, and a cluster with cosines around 0.93."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, 64))
+    x[:cluster] = 8 * x[0] / np.linalg.norm(x[0]) + 0.27 * x[:cluster]
+    pairs = (n - cluster) // 20
+    x[n - pairs :] = x[n - 2 * pairs : n - pairs] + 0.42 * x[n - pairs :]
+    x = x.astype(np.float32)
+    u = x.astype(float)
     u /= np.linalg.norm(u, axis=1, keepdims=True)
-    expected = (u @ u.T >= 0.9).sum(1) - 1
-    rows = [(i, v.tolist()) for i, v in enumerate(x.astype(np.float32))]
+    links = np.concatenate([(u[a : a + 2000] @ u.T >= 0.9).sum(1) - 1 for a in range(0, n, 2000)])
+    return [(i, v.tolist()) for i, v in enumerate(x)], links
+
+
+@pytest.mark.parametrize("n, cluster", [(2_000, 0), (6_000, 2_000), (20_000, 0)])
+def test_op4_recall_and_work(spark, n, cluster):
+    rows, expected = linked_vectors(n, cluster, n)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.link_vectors(df).collect()}
+    found = np.array([got[i] for i in range(n)])
+    assert (found <= expected).all() and found.sum() >= 0.98 * expected.sum() > 0
+    compared = embedding_dedup.compared_pairs(df)
+    if cluster:
+        assert compared <= 2 * expected.sum() / 2
+    elif n >= 20_000:
+        assert compared <= 0.05 * n * (n - 1) / 2
+
+
+def test_op4_is_exact_with_one_pivot(spark):
+    rows, expected = linked_vectors(1_500, 500, 3)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    for pivots in (None, 1, 150):
-        got = {r.vec_id: r.n_links for r in embedding_dedup.link_vectors(df, pivots=pivots).collect()}
-        assert [got[i] for i in range(len(x))] == expected.tolist()
+    got = {r.vec_id: r.n_links for r in embedding_dedup.link_vectors(df, pivots=1).collect()}
+    assert [got[i] for i in range(1_500)] == expected.tolist()
+    assert embedding_dedup.compared_pairs(df, pivots=1) == 1_500 * 1_499 // 2
+
+
+def test_op4_pairs_share_enough_pivots_and_meet_once():
+    rng = np.random.default_rng(9)
+    numbers = np.sort(np.array([rng.permutation(130)[:9] for _ in range(120)]), axis=1)
+    masks, shared = embedding_dedup.bits(numbers, 130), {}
+    for i, j in itertools.combinations(range(120), 2):
+        both = set(numbers[i]) & set(numbers[j])
+        if len(both) >= 2:
+            shared[i, j] = min(both)
+    met = []
+    for here in range(130):
+        # Lists hold a vector by its rarest pivots only.
+        at = np.flatnonzero((numbers[:, : 9 - 2 + 1] == here).any(1))
+        i, j = embedding_dedup.sharing(masks[at], masks[at], 2, here)
+        met += [(at[a], at[b], here) for a, b in zip(i, j) if at[a] < at[b]]
+    assert sorted(met) == sorted((i, j, p) for (i, j), p in shared.items())
+
+
+def test_op4_pivots_of_one_neighbourhood():
+    rng = np.random.default_rng(2)
+    x = 3 * rng.standard_normal(64) + 0.8 * rng.standard_normal((900, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert len(embedding_dedup.spread(x, 40)) == 40
 
 
 def test_op5_brute_force(spark, sf_dir, documents):
