@@ -13,7 +13,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scrubline.llm.blocks import deal_blocks, groups, pairs, smallest_linked
@@ -289,6 +289,16 @@ def link_texts(
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, one of each group: that of the smallest id. Rows without an id all stay."""
-    gone = link_texts(docs, threshold, id_col, text_col).filter("NOT kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """The documents, one row of each group: that of the smallest id, and of its rows the least text.
+
+    Rows of equal ids are one document. Rows without an id come last and are told apart by
+    a hash of their text, as if their ids were above 2^62.
+    """
+    unnamed = F.lit(1 << 62) + F.xxhash64(text_col).bitwiseAND((1 << 62) - 1)
+    keyed = docs.withColumn("__key", F.coalesce(F.col(id_col).cast("long"), unnamed))
+    linked = link_texts(keyed.select(F.col("__key").alias("id"), F.col(text_col).alias("text")), threshold, "id", "text")
+    gone = linked.filter("NOT kept").select(F.col("doc_id").alias("__key"))
+    # One row of a key goes on from each task, so that copies do not meet in one.
+    order = Window.partitionBy("__key").orderBy(F.col(text_col).asc_nulls_last())
+    left = keyed.join(gone, "__key", "left_anti").withColumn("__rank", F.row_number().over(order))
+    return left.filter(F.col("__rank") == 1).select(*docs.columns)

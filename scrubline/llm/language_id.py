@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from scrubline.llm.common import bounded_batches
 from scrubline.llm.words import WordRows, Words, gathered
 
-WORDS = Words(24)
-LONGEST_PIECE = 6
+# Runs of letters: whole ones are scored, while those that teach are cut at 24 letters.
+WORDS, TAUGHT = Words(None), Words(24)
+# Longer runs are scored one by one.
+LONGEST_TOGETHER = 24
 FLOOR = 1e-6
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -33,8 +35,12 @@ def pieces(vocabulary: str) -> dict[str, int]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
     found = (model.id_to_piece(i).lstrip("▁").lower() for i in range(model.get_piece_size()))
-    kept = sorted({p for p in found if p.isalpha() and len(p) <= LONGEST_PIECE})
-    return {p: i for i, p in enumerate(kept, 1)}
+    return {p: i for i, p in enumerate(sorted({p for p in found if p.isalpha()}), 1)}
+
+
+@lru_cache(maxsize=1)
+def longest_piece(vocabulary: str) -> int:
+    return max(map(len, pieces(vocabulary)), default=1)
 
 
 @dataclass
@@ -45,54 +51,74 @@ class Model:
     probability: np.ndarray
 
 
-def _lattice(words: list[str], ids: dict[str, int]) -> np.ndarray:
+def _lattice(words: list[str], ids: dict[str, int], longest: int) -> np.ndarray:
     """Pieces by word, start and length; -1 where there is none. The words are equally long."""
     n = len(words[0])
+    width = min(n, longest)
     flat = [
         ids.get(w[i : i + k], 0 if k == 1 else -1) if i + k <= n else -1
         for w in words
         for i in range(n)
-        for k in range(1, LONGEST_PIECE + 1)
+        for k in range(1, width + 1)
     ]
-    return np.array(flat, np.int32).reshape(len(words), n, LONGEST_PIECE)
+    return np.array(flat, np.int32).reshape(len(words), n, width)
 
 
 def _forward(lattice: np.ndarray, p: np.ndarray) -> np.ndarray:
     """Probability of each prefix, by word, position and language; ``p`` ends with a row of zeros."""
-    m, n, _ = lattice.shape
+    m, n, width = lattice.shape
     alpha = np.zeros((m, n + 1, p.shape[1]))
     alpha[:, 0] = 1
     for end in range(1, n + 1):
-        for k in range(1, min(end, LONGEST_PIECE) + 1):
+        for k in range(1, min(end, width) + 1):
             alpha[:, end] += alpha[:, end - k] * p[lattice[:, end - k, k - 1]]
     return alpha
 
 
+def _long_score(word: str, ids: dict[str, int], p: np.ndarray, longest: int) -> np.ndarray:
+    """Log probability of a run of any length, by language: the forward values of its last letters go along."""
+    last, total = np.ones((1, p.shape[1])), np.zeros(p.shape[1])
+    for end in range(1, len(word) + 1):
+        found = [ids.get(word[end - k : end], 0 if k == 1 else -1) for k in range(min(end, longest), 0, -1)]
+        new = (last[-len(found) :] * p[found]).sum(0)
+        last = np.vstack([last[-longest:], new])
+        if end % 16 == 0:
+            # Kept near 1, so that nothing becomes 0.
+            scale = last.max(0)
+            total += np.log(scale)
+            last = last / scale
+    return total + np.log(last[-1])
+
+
 def word_scores(words: list[str], model: Model) -> np.ndarray:
     """Log probability by word and language."""
-    ids = pieces(model.vocabulary)
+    ids, longest = pieces(model.vocabulary), longest_piece(model.vocabulary)
     p = np.vstack([model.probability, np.zeros(len(model.languages))])
     out = np.empty((len(words), len(model.languages)), np.float32)
     lengths = np.array([len(w) for w in words])
     for n in np.unique(lengths):
         at = np.flatnonzero(lengths == n)
+        if n > LONGEST_TOGETHER:
+            for i in at:
+                out[i] = _long_score(words[i], ids, p, longest)
+            continue
         for a in range(0, len(at), 20_000):
             part = at[a : a + 20_000]
-            out[part] = np.log(_forward(_lattice([words[i] for i in part], ids), p)[:, -1])
+            out[part] = np.log(_forward(_lattice([words[i] for i in part], ids, longest), p)[:, -1])
     return out
 
 
 def fit(samples: dict[str, list[str]], vocabulary: str, rounds: int = 3) -> Model:
     """Piece probabilities by expectation maximisation over each language's texts."""
-    ids, languages = pieces(vocabulary), sorted(samples)
+    ids, longest, languages = pieces(vocabulary), longest_piece(vocabulary), sorted(samples)
     columns = []
     for language in languages:
-        counts = Counter(w for text in samples[language] for w in WORDS.of(text))
+        counts = Counter(w for text in samples[language] for w in TAUGHT.of(text))
         p = np.full((len(ids) + 1, 1), 1 / (len(ids) + 1))
         by_length: dict[int, list[str]] = {}
         for w in counts:
             by_length.setdefault(len(w), []).append(w)
-        lattices = [(np.array([counts[w] for w in ws]), _lattice(ws, ids)) for ws in by_length.values()]
+        lattices = [(np.array([counts[w] for w in ws]), _lattice(ws, ids, longest)) for ws in by_length.values()]
         for _ in range(rounds):
             q, expected = np.vstack([p, [[0]]]), np.zeros(len(ids) + 2)
             for weight, lattice in lattices:
@@ -101,10 +127,10 @@ def fit(samples: dict[str, list[str]], vocabulary: str, rounds: int = 3) -> Mode
                 beta = np.zeros_like(alpha)
                 beta[:, n] = 1
                 for start in range(n - 1, -1, -1):
-                    for k in range(1, min(n - start, LONGEST_PIECE) + 1):
+                    for k in range(1, min(n - start, lattice.shape[2]) + 1):
                         beta[:, start] += beta[:, start + k] * q[lattice[:, start, k - 1], 0]
                 for start in range(n):
-                    for k in range(1, min(n - start, LONGEST_PIECE) + 1):
+                    for k in range(1, min(n - start, lattice.shape[2]) + 1):
                         piece = lattice[:, start, k - 1]
                         share = alpha[:, start] * q[piece, 0] * beta[:, start + k] / alpha[:, n]
                         piece = np.where(piece < 0, len(ids) + 1, piece)

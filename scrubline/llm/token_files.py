@@ -20,6 +20,7 @@ from scrubline.llm.common import bounded_batches, written
 from scrubline.llm.encoding import crc32_of_ids, word_encoder
 
 SHARD_SCHEMA = "shard long, n_docs long, n_null_ids long, n_tokens long, width int"
+LOT_DOCS, LOT_IDS = 10_000, 4_000_000
 DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -35,14 +36,28 @@ def _replace(fs, folder: str, name: str, parts: Iterator[bytes]) -> None:
     fs.move(own, f"{folder}/{name}")
 
 
-def map_file(fs, path: str, dtype: np.dtype) -> np.ndarray:
-    """A file's integers; mapped, not read, where the file system allows it."""
-    if fs.get_file_info(path).size == 0:
+def map_file(fs, path: str, dtype: np.dtype, first: int = 0, n: int | None = None) -> np.ndarray:
+    """``n`` integers of a file from the one numbered ``first`` on (all by default).
+
+    They are mapped, not read, where the file system allows it; else only they are read.
+    """
+    n = fs.get_file_info(path).size // dtype.itemsize - first if n is None else n
+    if n == 0:
         return np.empty(0, dtype)
     if isinstance(fs, arrow_fs.LocalFileSystem):
-        return np.memmap(path, dtype, "r")
+        return np.memmap(path, dtype, "r", first * dtype.itemsize, (n,))
     with fs.open_input_file(path) as f:
-        return np.frombuffer(f.read(), dtype)
+        return np.frombuffer(f.read_at(n * dtype.itemsize, first * dtype.itemsize), dtype)
+
+
+def lots(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Documents, by offsets, in lots of up to ``LOT_DOCS`` and about ``LOT_IDS`` ids."""
+    a, n = 0, len(offsets) - 1
+    while a < n:
+        b = int(np.searchsorted(offsets, offsets[a] + LOT_IDS, "right")) - 1
+        b = min(max(b, a + 1), a + LOT_DOCS, n)
+        yield a, b
+        a = b
 
 
 def write_token_files(
@@ -96,7 +111,8 @@ def read_token_files(spark: SparkSession, folder: str, shards: DataFrame) -> Dat
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32.
 
     Bases of the shards are prefix sums of their token counts; they are written
-    into the offset files, and documents are cut out of the mapped ids by these.
+    into the offset files, and documents are cut out of the mapped ids by these. There is
+    a task per shard that has documents; none holds more than a lot of ids.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,14 +124,15 @@ def read_token_files(spark: SparkSession, folder: str, shards: DataFrame) -> Dat
                 offsets = np.concatenate([[0], np.cumsum(lengths)]) + base
                 _replace(fs, path, f"offsets-{shard}.bin", iter([offsets.astype("<i8").tobytes()]))
                 offsets = map_file(fs, f"{path}/offsets-{shard}.bin", np.dtype("<i8"))
-                ids = map_file(fs, f"{path}/ids-{shard}.bin", np.dtype(f"<u{row['width']}"))
                 docs = map_file(fs, f"{path}/docs-{shard}.bin", np.dtype("<i8"))
-                for a in range(0, len(docs), 10_000):
-                    bounds = np.array(offsets[a : a + 10_001])
-                    crcs = [crc32_of_ids(ids[x - base : y - base]) for x, y in zip(bounds[:-1], bounds[1:])]
-                    null = np.arange(a, a + len(crcs)) < row["n_null_ids"]
+                for a, b in lots(offsets):
+                    bounds = np.array(offsets[a : b + 1])
+                    kind = np.dtype(f"<u{row['width']}")
+                    ids = map_file(fs, f"{path}/ids-{shard}.bin", kind, int(bounds[0]) - base, int(bounds[-1] - bounds[0]))
+                    crcs = [crc32_of_ids(ids[x:y]) for x, y in zip(bounds[:-1] - bounds[0], bounds[1:] - bounds[0])]
+                    null = np.arange(a, b) < row["n_null_ids"]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(docs[a : a + 10_000], pa.int64(), mask=null), pa.array(bounds[:-1]),
+                        [pa.array(docs[a:b], pa.int64(), mask=null), pa.array(bounds[:-1]),
                          pa.array(np.diff(bounds)), pa.array(crcs, pa.int64())],
                         ["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
@@ -123,4 +140,6 @@ def read_token_files(spark: SparkSession, folder: str, shards: DataFrame) -> Dat
     # One row per shard: a running sum over a list of files, not over documents.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     based = shards.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-    return based.filter("n_docs > 0").repartition(F.col("shard")).mapInArrow(read, DOC_SCHEMA)
+    filled = based.filter("n_docs > 0")
+    # A given number of ranges: adaptive execution would merge the few rows into one task.
+    return filled.repartitionByRange(max(1, filled.count()), "shard").mapInArrow(read, DOC_SCHEMA)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.llm.common import bounded_batches
@@ -237,19 +237,22 @@ def training_sample(
 ) -> tuple[list[str], list[int]]:
     """Texts and labels of up to ``per_class`` toxic and twice as many clean documents, by hash, outside fold 0 of 5.
 
-    Only documents of up to ``longest`` characters teach; all are scored.
+    Only documents of up to ``longest`` characters teach; all are scored. An id with several
+    labels counts by the highest, one with several texts by the least.
     """
-    known = (
-        labels.filter(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & (fold_of(id_col, 5) != 0))
-        .groupBy(id_col)
-        .agg(F.max("toxic").alias("__toxic"))
-    )
-    order = Window.partitionBy("__toxic").orderBy(F.xxhash64(id_col), id_col)
-    ranked = known.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= per_class * (2 - F.col("__toxic")))
-    toxic = {r[0]: r[1] for r in ranked.select(id_col, "__toxic").collect()}
-    texts = docs.filter(F.col(id_col).isin(list(toxic)) & (F.length(text_col) <= longest))
-    rows = texts.select(id_col, text_col).orderBy(id_col, text_col).collect()
-    return [r[1] for r in rows], [toxic[r[0]] for r in rows]
+    short = docs.filter(F.length(text_col) <= longest).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    known = labels.filter(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & (fold_of(id_col, 5) != 0))
+    known = known.groupBy(F.col(id_col).alias("__id")).agg(F.max("toxic").alias("__toxic"))
+    known = known.join(short.select("__id"), "__id", "left_semi")
+    # The first ones by hash: every task sends no more than that many on.
+    first = [
+        known.filter(F.col("__toxic") == label).orderBy(F.xxhash64("__id"), "__id").limit(n)
+        for label, n in ((0, 2 * per_class), (1, per_class))
+    ]
+    chosen = F.broadcast(first[0].unionByName(first[1]))
+    texts = short.join(chosen, "__id").groupBy("__id", "__toxic").agg(F.min("__text").alias("__text"))
+    rows = texts.orderBy("__id").collect()
+    return [r["__text"] for r in rows], [r["__toxic"] for r in rows]
 
 
 class _Scorer:

@@ -11,10 +11,10 @@ import pyarrow as pa
 
 
 class Words:
-    """Runs of letters in lower case; longer runs come in pieces of ``longest`` letters."""
+    """Runs of letters in lower case; if ``longest`` is given, longer runs come in pieces of so many letters."""
 
-    def __init__(self, longest: int):
-        self.pattern = re.compile(r"[^\W\d_]{1,%d}" % longest)
+    def __init__(self, longest: int | None):
+        self.pattern = re.compile(r"[^\W\d_]{1,%d}" % longest if longest else r"[^\W\d_]+")
 
     def of(self, text: str | None) -> list[str]:
         return self.pattern.findall((text or "").lower())
@@ -33,20 +33,23 @@ class Words:
 
 
 class WordRows:
-    """Rows of numbers by word, worked out once per distinct word and kept up to ``limit`` words."""
+    """Rows of numbers by word, worked out once per distinct word and kept up to ``limit`` words, of 100 letters each."""
 
     def __init__(self, compute: Callable[[list[str]], np.ndarray], limit: int):
         self.compute, self.limit = compute, limit
         self.index: dict[str, int] = {}
+        self.letters = 0
         self.rows = np.empty((0, 0), np.float32)
 
     def lookup(self, words: list[str]) -> np.ndarray:
         """Row numbers of the words; they hold until the next call."""
         new = {w for w in words if w not in self.index}
         if new:
-            if len(self.index) + len(new) > self.limit:
+            self.letters += sum(map(len, new))
+            if len(self.index) + len(new) > self.limit or self.letters > 100 * self.limit:
                 self.index.clear()
                 new = set(words)
+                self.letters = sum(map(len, new))
             made, n = self.compute(list(new)), len(self.index)
             self.index.update(zip(new, range(n, n + len(new))))
             if n + len(new) > len(self.rows) or not n:

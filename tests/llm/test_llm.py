@@ -14,6 +14,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
+from pyspark.sql import functions as F  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 from scrubline.llm import ann, chat, embedding_dedup, jaccard_join, language_id, mixing, packing  # noqa: E402
@@ -88,6 +89,89 @@ def test_op1_held_out(spark, sf_dir):
     assert np.mean([a == b for a, b in held]) > 0.95
 
 
+def slow_logit(net, words):
+    """The network's logit of up to a window of words, unit by unit, as its description has it."""
+    w = {name: v.astype(float) for name, v in net.weights.items()}
+    h = toxicity.HIDDEN
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    def gates(word):
+        points = [ord(c) if ord(c) < 256 else 256 + ord(c) % 64 for c in word[: toxicity.LETTERS]]
+        codes = [0] + points + [0] * (toxicity.LETTERS + 1 - len(points))
+        best = np.full(toxicity.CHAR_OUT, -np.inf)
+        for i in range(len(codes) - 2):
+            best = np.maximum(best, np.concatenate([w["char"][c] for c in codes[i : i + 3]]) @ w["conv"] + w["conv_bias"])
+        row = toxicity.PAD if not word else net.vocabulary.get(word, toxicity.UNKNOWN)
+        return np.concatenate([w["word"][row], np.maximum(best, 0)]) @ w["in"] + w["in_bias"]
+
+    padded = words + [""] * (toxicity.WINDOW - len(words))
+    inputs, both = [gates(x) for x in padded], [[], []]
+    for side in (0, 1):
+        state = np.zeros(h)
+        for x in inputs if side == 0 else inputs[::-1]:
+            x = x[3 * h * side : 3 * h * (side + 1)]
+            g = state @ w["rec"][side]
+            z, r = sigmoid(x[:h] + g[:h]), sigmoid(x[h : 2 * h] + g[h : 2 * h])
+            state = (1 - z) * state + z * np.tanh(x[2 * h :] + r * g[2 * h :])
+            both[side].append(state)
+    hidden = [np.concatenate([a, b]) for a, b in zip(both[0], both[1][::-1])][: len(words)]
+    weight = np.exp([v @ w["attention"] for v in hidden])
+    return (weight / weight.sum()) @ np.array(hidden) @ w["out"] + w["out_bias"][0]
+
+
+def test_op1_equals_a_slow_network(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = ["vile", "day", "été", "goodness", "x", "Ωmega", "unfathomablylongwordings"]
+    texts = [" ".join(rng.choice(vocabulary, n)) for n in rng.integers(1, 90, 30)]
+    net = toxicity.fit(texts, [int("vile" in t[:30]) for t in texts], epochs=3)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in toxicity.score(df, net).collect():
+        words = toxicity.WORDS.of(texts[row.doc_id])
+        starts = range(0, max(1, len(words) - toxicity.STEP), toxicity.STEP)
+        worst = max(slow_logit(net, words[s : s + toxicity.WINDOW]) for s in starts)
+        assert abs(row.score - 1 / (1 + np.exp(-worst))) < 1e-4
+
+
+def test_op1_gradients():
+    """Gradients of all weights against differences of the loss."""
+    rng = np.random.default_rng(3)
+    net = toxicity.fit(["a vile day", "one good day"] * 6, [1, 0] * 6, epochs=1)
+    for name, v in net.weights.items():
+        net.weights[name] = rng.standard_normal(v.shape) * 0.3
+    words = ["", "vile", "day", "good", "other"]
+    ids = np.array([0] + [net.vocabulary.get(w, toxicity.UNKNOWN) for w in words[1:]])
+    codes, target = toxicity.char_codes(words), np.array([1.0, 0.0, 1.0])
+    at = rng.integers(0, 5, (3, toxicity.WINDOW))
+    at[:, 0], at[0, 1:6] = [1, 2, 3], [0, 1, 2, 3, 4]
+
+    def loss():
+        logit = toxicity.attend(net, toxicity.states(net, toxicity.word_inputs(net, ids, codes)[0][at])[0], ids[at] != 0)[0]
+        return np.mean(np.logaddexp(0, logit) - target * logit)
+
+    found = toxicity._gradients(net, ids, codes, at, target)
+    for name, v in net.weights.items():
+        flat = v.reshape(-1)
+        for i in rng.choice(np.flatnonzero(np.abs(found[name].reshape(-1)) > 1e-3), 4):
+            before, step = flat[i], 1e-3
+            flat[i] = before + step
+            above = loss()
+            flat[i] = before - step
+            slope = (above - loss()) / (2 * step)
+            flat[i] = before
+            assert abs(slope - found[name].reshape(-1)[i]) < 0.05 * abs(slope) + 2e-3, name
+
+
+def test_op1_sample_needs_no_window(spark):
+    docs = spark.range(4_000).selectExpr("id AS doc_id", "repeat('a ', CAST(id AS INT)) AS text").unionByName(
+        spark.createDataFrame([(1, "a")] * 50, "doc_id long, text string")
+    )
+    labels = spark.range(4_000).selectExpr("id AS doc_id", "CAST(id % 3 = 0 AS INT) AS toxic")
+    texts, toxic = toxicity.training_sample(docs, labels, per_class=100, longest=4_000)
+    assert (len(texts), sum(toxic)) == (300, 100) and max(map(len, texts)) <= 4_000
+
+
 def test_op1_odd(odd, empty):
     net = toxicity.fit(["good day to you"] * 4 + ["vile vile day"] * 4, [0] * 4 + [1] * 4, epochs=2)
     rows = toxicity.score(odd, net).collect()
@@ -163,7 +247,11 @@ def test_op3_blocks_give_the_same(spark, documents, monkeypatch):
 def test_op3_odd(odd, empty):
     rows = {r.doc_id: r for r in jaccard_join.link_texts(odd).collect()}
     assert len(rows) == 7 and rows[2].class_id == 1 and rows[2].n_links == 1 and rows[3].kept
-    assert jaccard_join.keep_one(odd).count() == len(ODD) - 1
+    left = jaccard_join.keep_one(odd)
+    assert left.columns == odd.columns and sorted(r.doc_id for r in left.collect()) == [1, 3, 4, 5, 6]
+    copies = odd.filter("doc_id IS NULL").unionByName(odd.filter("doc_id IS NULL")).unionByName(odd.filter("doc_id = 2"))
+    assert [r.doc_id for r in jaccard_join.keep_one(copies).collect()] == [2]
+    assert jaccard_join.keep_one(empty).count() == 0
     assert jaccard_join.link_texts(empty).count() == 0
 
 
@@ -258,6 +346,24 @@ def test_op5_brute_force(spark, sf_dir, documents):
         start += len(ids)
 
 
+def test_op5_reads_back_in_a_task_per_shard(spark, tmp_path):
+    docs = spark.range(5_000).selectExpr("id AS doc_id", "repeat('word ', CAST(id % 40 AS INT)) AS text")
+    # Small ranges would be merged, and make one shard.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    shards = token_files.write_token_files(docs, str(tmp_path / "ids"), BYTE, 2)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    read = token_files.read_token_files(spark, str(tmp_path / "ids"), shards)
+    n = shards.filter("n_docs > 0").count()
+    assert n > 1 and read.select(F.spark_partition_id()).distinct().count() == n and read.count() == 5_000
+
+
+def test_op5_lots():
+    offsets = np.concatenate([[7], 7 + np.cumsum([0, 5, 9_000_000, 1, 1] + [2_000_000] * 5)])
+    lots = list(token_files.lots(offsets))
+    assert [a for a, _ in lots] == [0] + [b for _, b in lots[:-1]] and lots[-1][1] == len(offsets) - 1
+    assert all(offsets[b] - offsets[a] <= token_files.LOT_IDS or b == a + 1 for a, b in lots)
+
+
 def test_op5_odd(spark, odd, empty, tmp_path):
     shards = token_files.write_token_files(odd, str(tmp_path / "odd"), BYTE, 2)
     rows = token_files.read_token_files(spark, str(tmp_path / "odd"), shards).orderBy("start").collect()
@@ -329,17 +435,24 @@ def test_op8_marginalises_and_odd(odd, empty):
     model = language_id.fit({"x": ["abba abab"], "y": ["été"]}, vocabulary)
     ids = language_id.pieces(vocabulary)
 
+    longest = language_id.longest_piece(vocabulary)
+    assert longest == max(map(len, ids)) > 6
+
     def total(word, k):
-        if not word:
-            return 1.0
-        out = 0.0
-        for n in range(1, min(len(word), language_id.LONGEST_PIECE) + 1):
-            piece = ids.get(word[:n], 0 if n == 1 else None)
-            if piece is not None:
-                out += model.probability[piece, k] * total(word[n:], k)
-        return out
-
-    assert np.allclose(np.exp(language_id.word_scores(["abbab"], model)[0]), [total("abbab", k) for k in (0, 1)], rtol=1e-4)
+        """Sum over all segmentations, from the end."""
+        ahead = [1.0]
+        for i in range(len(word) - 1, -1, -1):
+            found = ((ids.get(word[i : i + n], 0 if n == 1 else None), n) for n in range(1, len(word) - i + 1))
+            ahead.insert(0, sum(model.probability[p, k] * ahead[n - 1] for p, n in found if p is not None))
+        return ahead[0]
+
+    long = max((p for p in ids if len(p) == longest), key=str)
+    for word in ("abbab", long, "x" + long + "abba", "abbaété" * 5, ("abba" + long) * 2):
+        expected = np.log([total(word, k) for k in (0, 1)])
+        assert np.allclose(language_id.word_scores([word], model)[0], expected, rtol=1e-4), word
+    # A very long run does not underflow, and is as likely as its letters one by one, or likelier.
+    endless = language_id.word_scores(["abbaabab" * 2_000], model)[0]
+    assert np.isfinite(endless).all() and endless[0] > endless[1]
     rows = language_id.identify(odd, model).collect()
     assert [r.lang_pred for r in rows if r.doc_id in (3, 4)] == ["und", "und"] and len(rows) == len(ODD)
     assert language_id.identify(empty, model).count() == 0
