@@ -68,7 +68,7 @@ FEED_SQL = """CASE WHEN order_id IS NULL THEN 'blank'
        ELSE 'plain' END"""
 
 
-LAYOUT_FILES = 6
+CSV_FILES, LAYOUT_FILES = 8, 6
 
 # Texts of every type, and of types that only all values together show.
 TYPED_SQL = """
@@ -156,10 +156,12 @@ def with_file_headers(df: DataFrame) -> DataFrame:
 
 
 def csv_folder(spark: SparkSession, sf_dir: str) -> str:
-    """All records as a directory of CSV files."""
-    return written(
-        spark, sf_dir, "csv", lambda path: write_csv(with_file_headers(raw(spark, sf_dir)), path)
-    )
+    """All records as a directory of ``CSV_FILES`` CSV files."""
+
+    def write(path: str) -> None:
+        write_csv(with_file_headers(raw(spark, sf_dir)).repartition(CSV_FILES), path)
+
+    return written(spark, sf_dir, "csv", write)
 
 
 def csv_layouts(spark: SparkSession, sf_dir: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scrubline.catalogue.fixture import DATED_SQL, FEED_SQL, LAYOUT_FILES, RAW_COLUMNS, RAW_SQL, TYPED_SQL
+from scrubline.catalogue.fixture import CSV_FILES, FEED_SQL, LAYOUT_FILES, RAW_COLUMNS, RAW_SQL, TYPED_SQL
 from scrubline.functions.parsing import NUMBER_PATTERN
 
 COLUMNS = ", ".join(RAW_COLUMNS)
@@ -130,7 +130,8 @@ def _metrics() -> str:
     )
     return f"""{LAYERS}
 SELECT * FROM (
-  SELECT count(*) AS initial_rows, count(*) FILTER (reject_reason IS NULL) AS cleaned_rows, {reasons},
+  SELECT {CSV_FILES}::BIGINT AS input_files, count(*) AS initial_rows,
+         count(*) FILTER (reject_reason IS NULL) AS cleaned_rows, {reasons},
          count(*) FILTER (reject_reason IS NOT NULL) AS removed_rows,
          count(*) FILTER (reject_reason IS NULL) - (SELECT count(*) FROM output) AS duplicates_removed
   FROM classified),
@@ -229,6 +230,8 @@ def _profile() -> str:
             "potential_by_Order ID",
             "((SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT order_id FROM raw)))",
         ),
+        ("files", "count", str(CSV_FILES)),
+        ("files", "present", "TRUE"),
         ("headers", "differing_files", "0"),
         ("headers", "consistent", "TRUE"),
         ("ready", "input", "TRUE"),
@@ -372,4 +375,17 @@ def oracle_sql() -> dict[str, str]:
         "cleanse_output": output,
         "cleanse_partitioned": output,
         "profile_report": _profile(),
+        "incremental_profile": over(
+            _long(
+                f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) FILTER ({c} IS NULL) AS nulls, "
+                f"CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high, '{k}' AS data_type, "
+                "true AS within_bound FROM raw"
+                for c, k in zip(RAW_COLUMNS, kinds)
+            )
+        ),
+        "incremental_checks": over(
+            "SELECT check_name, CASE WHEN check_name NOT LIKE 'has_values%' THEN observed END AS observed, passed "
+            f"FROM ({_checks().replace('FROM latest', 'FROM raw')})"
+        ),
+        "deliveries_one_by_one": output,
     }

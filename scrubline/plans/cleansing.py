@@ -18,7 +18,7 @@ from scrubline.operators.rules import Rule
 from scrubline.plans import report
 from scrubline.plans.scratch import drop_scratch, scratch_path
 from scrubline.sinks import partition_listing, write_partitioned_parquet, write_single_parquet
-from scrubline.sources import CsvDialect, file_inventory, read_csv_dir
+from scrubline.sources import CsvDialect, read_csv_dir
 
 # Fixed value: the columns of the input files.
 SALES_SCHEMA = T.StructType(
@@ -194,7 +194,8 @@ def cleanse(
 ) -> CleanseResult:
     """Read, clean, deduplicate, write, check and report.
 
-    The CSV text is scanned once and the key shuffle runs once. Checks and value
+    The source is listed once, its CSV text is scanned once and the key shuffle runs once. With
+    the default dialect a file is one task, however large it is; ``multiline=False`` splits files. Checks and value
     statistics come from one aggregate over the Parquet just written. A failed
     check is reported after the write, as a warning or (``on_fail="raise"``) an error.
     """
@@ -202,8 +203,9 @@ def cleanse(
         raise ValueError(f"unknown output {config.output!r}")
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z", "+00:00"):
         warnings.warn("session time zone is not UTC: dates are read in that zone", stacklevel=2)
-    input_files = file_inventory(spark, source, config.dialect.pattern).count()
     raw = read_csv_dir(spark, source, config.schema, config.dialect, config.on_header_mismatch)
+    # From the listing that the scan has made; files of zero bytes are among them.
+    input_files = len(set(raw.inputFiles()))
     records = with_parsed_date(snake_columns(raw), config)
     if config.metrics == "staged":
         counts, schema = _run_staged(spark, records, target, config)

@@ -25,16 +25,18 @@ def _millisecond_timestamps(spark: SparkSession) -> Iterator[None]:
 
 
 def write_partitioned_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite"
+    df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite", only_theirs: bool = False
 ) -> None:
     """Parquet in one directory per value of ``partition_by``.
 
     Rows of a partition are brought together so that it gets few files. Adaptive
     execution splits a large partition over several tasks and merges small ones.
+    ``only_theirs``: of a table that is there, only partitions that ``df`` has rows of are replaced.
     """
     balanced = df.hint("rebalance", *partition_by)
+    replaced = "dynamic" if only_theirs else "static"
     with _millisecond_timestamps(df.sparkSession):
-        balanced.write.mode(mode).partitionBy(*partition_by).parquet(path)
+        balanced.write.mode(mode).option("partitionOverwriteMode", replaced).partitionBy(*partition_by).parquet(path)
 
 
 def write_single_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

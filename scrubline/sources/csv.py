@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scrubline.sources.dialect import CsvDialect
-from scrubline.sources.files import file_inventory
+from scrubline.sources.files import listed_files
 from scrubline.sources.headers import Layouts, column_names, file_headers, layouts, numbered, numbered_in_rows
 
 
@@ -27,9 +27,9 @@ def _reader(spark: SparkSession, dialect: CsvDialect) -> DataFrameReader:
     )
 
 
-def _scan(
+def scan_files(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
     dialect: CsvDialect,
     check_headers: bool = False,
@@ -53,8 +53,9 @@ def _tokens_to_null(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
     )
 
 
-def _require_files(spark: SparkSession, path: str, dialect: CsvDialect) -> None:
-    if file_inventory(spark, path, dialect.pattern).isEmpty():
+def _require_files(df: DataFrame, path: str, dialect: CsvDialect) -> None:
+    """An error if there is nothing to scan, by the listing that the scan has made already."""
+    if not df.inputFiles():
         raise ValueError(f"no {dialect.pattern} files in {path}")
 
 
@@ -71,12 +72,12 @@ def read_csv_dir(
     "raise" has the scan compare each header with the schema and fail the job,
     "by_name" lines columns up by header, "ignore" binds columns by position.
     """
-    _require_files(spark, path, dialect)
     if on_header_mismatch == "by_name":
         return read_csv_by_name(spark, path, dialect, schema)
     if on_header_mismatch not in ("raise", "ignore"):
         raise ValueError(f"unknown on_header_mismatch {on_header_mismatch!r}")
-    rows = _scan(spark, path, schema, dialect, check_headers=on_header_mismatch == "raise")
+    rows = scan_files(spark, path, schema, dialect, check_headers=on_header_mismatch == "raise")
+    _require_files(rows, path, dialect)
     return _tokens_to_null(rows, dialect.null_tokens)
 
 
@@ -131,7 +132,7 @@ def read_csv_by_name(
     headers = file_headers(spark, path, dialect)
     found = found or layouts(headers)
     if not found.different:
-        _require_files(spark, path, dialect)
+        _require_files(scan_files(spark, path, T.StructType([T.StructField("c", T.StringType())]), dialect), path, dialect)
         return spark.createDataFrame([], schema or T.StructType([]))
     if found.different == 1:
         df = _one_layout(spark, path, dialect, found.usual, schema)
@@ -151,7 +152,7 @@ def _one_layout(
     declared = {f.name.lower(): f for f in schema.fields} if schema else {}
     texts = {c.lower(): T.StructField(c, T.StringType(), True) for c in names}
     fields = [declared.get(c, texts[c]) for c in texts]
-    rows = _scan(spark, path, T.StructType(fields), dialect)
+    rows = scan_files(spark, path, T.StructType(fields), dialect)
     if schema is None:
         return rows
     absent = {f.name: F.lit(None).cast(f.dataType) for c, f in declared.items() if c not in texts}
@@ -168,7 +169,7 @@ def _many_layouts(
 ) -> DataFrame:
     slots = [f"__{i}" for i in range(found.widest)]
     texts = T.StructType([T.StructField(slot, T.StringType(), True) for slot in slots])
-    rows = _scan(spark, path, texts, dialect, file_column="file_path")
+    rows = scan_files(spark, path, texts, dialect, file_column="file_path")
     names = column_names(headers) if schema is None else schema.names
 
     # Places of the wanted columns, per file: as many expressions as columns, however many layouts.
@@ -204,10 +205,10 @@ def rows_per_file(
     spark: SparkSession, path: str, schema: T.StructType, dialect: CsvDialect = CsvDialect()
 ) -> DataFrame:
     """``file_name, n`` for every file of the directory, 0 for those without rows."""
-    _require_files(spark, path, dialect)
-    rows = _scan(spark, path, schema, dialect, file_column="file_path")
+    rows = scan_files(spark, path, schema, dialect, file_column="file_path")
+    _require_files(rows, path, dialect)
     counts = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
-    inventory = file_inventory(spark, path, dialect.pattern)
-    return inventory.join(counts, "file_path", "left").select(
-        "file_name", F.coalesce("n", F.lit(0)).alias("n")
+    # The files are those of the scan's own listing.
+    return listed_files(rows).join(counts, "file_path", "left").select(
+        F.substring_index("file_path", "/", -1).alias("file_name"), F.coalesce("n", F.lit(0)).alias("n")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrubline.sources.dialect import CsvDialect
-from scrubline.sources.files import file_inventory
+from scrubline.sources.files import data_files
 
 # A header may have so many characters, a directory so many different column names.
 MOST_CHARACTERS = 1 << 20
@@ -61,9 +61,9 @@ def file_headers(spark: SparkSession, path: str, dialect: CsvDialect = CsvDialec
     Files on a file system that every worker mounts (``file:`` paths) are opened in lots, as the
     listing deals them out, and read up to the end of that record. Where only Spark can
     open files (``by_lines``), their lines pass by once, unsorted and unshuffled. Files
-    without any text have a NULL header.
+    without any text have a NULL header; those of zero bytes have no row.
     """
-    files = file_inventory(spark, path, dialect.pattern).select("file_path")
+    files = data_files(spark, path, dialect.pattern).select("file_path")
     if by_lines is None:
         by_lines = urlsplit(spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(
             spark._jsparkSession.sessionState().newHadoopConf()).getUri().toString()).scheme != "file"

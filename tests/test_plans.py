@@ -93,6 +93,22 @@ def test_cleanse(spark, source, tmp_path, metrics, output):
     assert not glob.glob(f"{base}/classified-*")
 
 
+def test_source_is_listed_once(spark, source, tmp_path, monkeypatch):
+    (tmp_path / "in" / "nothing.csv").write_text("")
+    read, listings = type(spark.read), []
+    for name in ("csv", "load", "text"):
+        plain = getattr(read, name)
+
+        def counted(self, path=None, *args, plain=plain, **options):
+            if path == source:
+                listings.append(path)
+            return plain(self, path, *args, **options)
+
+        monkeypatch.setattr(read, name, counted)
+    assert cleanse(spark, source, str(tmp_path / "out")).metrics.first().input_files == 3
+    assert len(listings) == 1
+
+
 def test_report_is_stored(spark, source, tmp_path):
     result = cleanse(spark, source, str(tmp_path / "out"))
     write_report(spark, result.metrics, str(tmp_path / "report"))
