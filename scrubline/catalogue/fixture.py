@@ -70,6 +70,9 @@ FEED_SQL = """CASE WHEN order_id IS NULL THEN 'blank'
 
 CSV_FILES, LAYOUT_FILES = 8, 6
 
+# The quantity of some records is no number.
+BAD_QUANTITY_SQL = "order_id LIKE '%7'"
+
 # Texts of every type, and of types that only all values together show.
 TYPED_SQL = """
 SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'true' ELSE 'FALSE' END AS flag,
@@ -199,6 +202,16 @@ def text_feeds(spark: SparkSession, sf_dir: str) -> str:
     return written(spark, sf_dir, "text-feeds", write)
 
 
+def malformed_csv(spark: SparkSession, sf_dir: str) -> str:
+    """All records as a CSV directory, with a word for the quantity of some."""
+
+    def write(path: str) -> None:
+        word = F.when(F.expr(BAD_QUANTITY_SQL), "abc").otherwise(F.col("quantity_ordered").cast("string"))
+        write_csv(with_file_headers(raw(spark, sf_dir).withColumn("quantity_ordered", word)).repartition(CSV_FILES), path)
+
+    return written(spark, sf_dir, "malformed", write)
+
+
 def typed_texts(spark: SparkSession, sf_dir: str) -> str:
     """Texts of many types as a CSV directory."""
 

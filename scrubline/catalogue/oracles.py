@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scrubline.catalogue.fixture import CSV_FILES, FEED_SQL, LAYOUT_FILES, RAW_COLUMNS, RAW_SQL, TYPED_SQL
+from scrubline.catalogue.fixture import BAD_QUANTITY_SQL, CSV_FILES, FEED_SQL, LAYOUT_FILES, RAW_COLUMNS, RAW_SQL, TYPED_SQL
 from scrubline.functions.parsing import NUMBER_PATTERN
 
 COLUMNS = ", ".join(RAW_COLUMNS)
@@ -286,6 +286,13 @@ def oracle_sql() -> dict[str, str]:
         "rejected_rows": over(
             f"SELECT {COLUMNS}, reject_reason FROM classified WHERE reject_reason IS NOT NULL"
         ),
+        "malformed_rows": over(
+            "SELECT order_id, product, CASE WHEN NOT bad THEN quantity_ordered END AS quantity_ordered, price_each, order_date, "
+            "purchase_address, CASE WHEN bad THEN order_id || ',' || product || ',abc,' || CAST(price_each AS VARCHAR) || ',' || "
+            "order_date || ',\"' || purchase_address || '\"' END AS malformed_record, "
+            "CASE WHEN bad THEN 'malformed_record' ELSE reject_reason END AS reject_reason "
+            f"FROM (SELECT *, coalesce({BAD_QUANTITY_SQL}, false) AS bad FROM classified) WHERE bad OR reject_reason IS NOT NULL"
+        ),
         "required_filter": over(f"SELECT {COLUMNS} FROM raw WHERE NOT ({ANY_NULL})"),
         "digit_id_filter": over(
             f"SELECT {COLUMNS} FROM raw WHERE regexp_full_match(order_id, '[0-9]+')"

@@ -17,6 +17,7 @@ from scrubline.catalogue.fixture import (
     csv_layouts,
     dated_texts,
     fresh_path,
+    malformed_csv,
     raw,
     table,
     text_feeds,
@@ -97,6 +98,13 @@ def rejected_rows(spark, sf_dir):
     return rules.reject(records, record_rules(SALES)).select(*RAW_COLUMNS, rules.REASON)
 
 
+def malformed_rows(spark, sf_dir):
+    config = CleanseConfig(malformed_column="malformed_record")
+    records = read_csv_dir(spark, malformed_csv(spark, sf_dir), SALES_SCHEMA, malformed=config.malformed_column)
+    rejected = rules.reject(with_parsed_date(snake_columns(records), config), record_rules(config))
+    return rejected.select(*RAW_COLUMNS, config.malformed_column, rules.REASON)
+
+
 def required_filter(spark, sf_dir):
     return rules.accept(raw(spark, sf_dir), [rules.required(RAW_COLUMNS)])
 
@@ -389,6 +397,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean_rows": clean_rows,
         "reject_summary": reject_summary,
         "rejected_rows": rejected_rows,
+        "malformed_rows": malformed_rows,
         "required_filter": required_filter,
         "digit_id_filter": digit_id_filter,
         "positive_filter": positive_filter,

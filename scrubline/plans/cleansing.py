@@ -48,6 +48,9 @@ class CleanseConfig:
     IDs beyond 32 bits are NULL in the output, but rows are told apart by the whole
     number. ``merge_overflow`` takes them as one ID, NULL, before deduplication.
 
+    ``malformed_column``: where the text of records that do not fit the schema goes. They are
+    then rejected under that name, and not for the NULL that such a value becomes.
+
     ``report_to``: a folder for the metrics (JSON) and the summary (text).
     """
 
@@ -80,6 +83,7 @@ class CleanseConfig:
     reject_overflow: bool = False
     merge_overflow: bool = False
     reject_non_finite: bool = False
+    malformed_column: str | None = None
     output: str = "partitioned"
     metrics: str = "staged"
     on_fail: str = "warn"
@@ -100,7 +104,8 @@ class CleanseConfig:
 
 def record_rules(config: CleanseConfig) -> list[Rule]:
     """The row rules in order; a row is rejected by the first one it breaks."""
-    found = [
+    found = [Rule(config.malformed_column, F.col(config.malformed_column).isNull())] if config.malformed_column else []
+    found += [
         rules.required(config.columns, "null_field"),
         rules.digits(config.id_column, f"invalid_{config.id_column}"),
     ]
@@ -203,7 +208,7 @@ def cleanse(
         raise ValueError(f"unknown output {config.output!r}")
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z", "+00:00"):
         warnings.warn("session time zone is not UTC: dates are read in that zone", stacklevel=2)
-    raw = read_csv_dir(spark, source, config.schema, config.dialect, config.on_header_mismatch)
+    raw = read_csv_dir(spark, source, config.schema, config.dialect, config.on_header_mismatch, config.malformed_column)
     # From the listing that the scan has made; files of zero bytes are among them.
     input_files = len(set(raw.inputFiles()))
     records = with_parsed_date(snake_columns(raw), config)
@@ -242,8 +247,9 @@ def _write_latest(accepted: DataFrame, target: str, config: CleanseConfig) -> T.
     return df.schema
 
 
-def _accepted(classified: DataFrame) -> DataFrame:
-    return classified.filter(F.col(rules.REASON).isNull()).drop(rules.REASON)
+def _accepted(classified: DataFrame, config: CleanseConfig) -> DataFrame:
+    accepted = classified.filter(F.col(rules.REASON).isNull()).drop(rules.REASON)
+    return accepted.drop(config.malformed_column) if config.malformed_column else accepted
 
 
 def _run_staged(
@@ -256,7 +262,7 @@ def _run_staged(
         staged = rules.classify(records, row_rules).drop(config.date_column)
         staged.write.parquet(staging)
         classified = spark.read.schema(staged.schema).parquet(staging)
-        schema = _write_latest(_accepted(classified), target, config)
+        schema = _write_latest(_accepted(classified, config), target, config)
         return classified.agg(*rules.reason_counts(row_rules)).first().asDict(), schema
     finally:
         drop_scratch(spark, staging)
@@ -269,7 +275,7 @@ def _run_observed(
     row_rules = record_rules(config)
     seen = Observation("classified")
     classified = rules.classify(records, row_rules).observe(seen, *rules.reason_counts(row_rules))
-    schema = _write_latest(_accepted(classified), target, config)
+    schema = _write_latest(_accepted(classified, config), target, config)
     return seen.get, schema
 
 

@@ -34,9 +34,23 @@ def scan_files(
     dialect: CsvDialect,
     check_headers: bool = False,
     file_column: str | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
-    """Rows by position, without the header lines; ``file_column`` adds the file they are from."""
-    rows = _reader(spark, dialect).option("enforceSchema", not check_headers).schema(schema).csv(path)
+    """Rows by position, without the header lines; ``file_column`` adds the file they are from.
+
+    ``malformed`` adds the text of records that do not fit the schema.
+    """
+    reader = _reader(spark, dialect).option("enforceSchema", not check_headers)
+    if malformed:
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
+        parsed = [F.col(f"`{c}`").cast("string") for c in schema.names]
+        schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType(), True)])
+    rows = reader.schema(schema).csv(path)
+    if malformed:
+        # The text is told with nothing of all columns behind it: the reader would else parse
+        # the columns that are asked for only, and find fewer records malformed.
+        nothing = F.substring(F.concat_ws("", *parsed), 1, 0)
+        rows = rows.withColumn(malformed, F.when(F.col(malformed).isNotNull(), F.concat(malformed, nothing)))
     return rows.select("*", F.col("_metadata.file_path").alias(file_column)) if file_column else rows
 
 
@@ -65,18 +79,22 @@ def read_csv_dir(
     schema: T.StructType,
     dialect: CsvDialect = CsvDialect(),
     on_header_mismatch: str = "raise",
+    malformed: str | None = None,
 ) -> DataFrame:
     """All files of a directory as one scan under a declared schema.
 
-    Values that do not fit their type become NULL. ``on_header_mismatch``:
+    Values that do not fit their type become NULL. ``malformed`` names a further column for
+    the text of records with such values, or with too few or too many. ``on_header_mismatch``:
     "raise" has the scan compare each header with the schema and fail the job,
     "by_name" lines columns up by header, "ignore" binds columns by position.
     """
     if on_header_mismatch == "by_name":
+        if malformed:
+            raise ValueError("malformed records are told by position only")
         return read_csv_by_name(spark, path, dialect, schema)
     if on_header_mismatch not in ("raise", "ignore"):
         raise ValueError(f"unknown on_header_mismatch {on_header_mismatch!r}")
-    rows = scan_files(spark, path, schema, dialect, check_headers=on_header_mismatch == "raise")
+    rows = scan_files(spark, path, schema, dialect, check_headers=on_header_mismatch == "raise", malformed=malformed)
     _require_files(rows, path, dialect)
     return _tokens_to_null(rows, dialect.null_tokens)
 

@@ -12,9 +12,11 @@ import pytest
 from scrubline.operators.profiling import CastTarget
 from scrubline.operators.quality import QualityError
 from scrubline.plans import CleanseConfig, ProfileConfig, cleanse, profile, ready
+from scrubline.plans.cleansing import SALES_SCHEMA
 from scrubline.plans.report import render, write_report
 from scrubline.plans.scratch import scratch_path
 from scrubline.sinks import partition_listing
+from scrubline.sources import read_csv_dir
 
 HEADER = "Order ID,Product,Quantity Ordered,Price Each,Order Date,Purchase Address"
 JANUARY = f"""{HEADER}
@@ -109,6 +111,25 @@ def test_source_is_listed_once(spark, source, tmp_path, monkeypatch):
     assert len(listings) == 1
 
 
+def test_malformed_records_have_a_reason_of_their_own(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = ["1,Cable,abc,1.0,01/19/19 08:46,x", "2,Cable,,1.0,01/19/19 08:46,x", "3,Cable,2", "4,Cable,2,1.0,01/19/19 08:46,x,more"]
+    lines += ['5,"two\nlines",2.5,1.0,01/19/19 08:46,x', "6,Cable,2,1.0,01/19/19 08:46,x"]
+    (tmp_path / "in" / "a.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    for metrics in ("staged", "observed"):
+        config = CleanseConfig(malformed_column="malformed_record", metrics=metrics)
+        row = cleanse(spark, str(tmp_path / "in"), str(tmp_path / metrics), config).metrics.first()
+        assert (row.malformed_record_removed, row.null_field_removed, row.output_rows) == (4, 1, 1)
+    plain = cleanse(spark, str(tmp_path / "in"), str(tmp_path / "plain")).metrics.first()
+    assert (plain.null_field_removed, plain.output_rows) == (4, 2)
+    records = read_csv_dir(spark, str(tmp_path / "in"), SALES_SCHEMA, malformed="text")
+    # Whichever columns are read, the same records are malformed.
+    found = [r.text for r in records.select("Order ID", "text").filter("text IS NOT NULL").collect()]
+    assert [t.rstrip("\n") for t in found] == [lines[0], lines[2], lines[3], lines[4]]
+    with pytest.raises(ValueError):
+        read_csv_dir(spark, str(tmp_path / "in"), SALES_SCHEMA, on_header_mismatch="by_name", malformed="text")
+
+
 def test_report_is_stored(spark, source, tmp_path):
     result = cleanse(spark, source, str(tmp_path / "out"))
     write_report(spark, result.metrics, str(tmp_path / "report"))
