@@ -6,6 +6,7 @@ import os
 import re
 import sys
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -192,7 +193,7 @@ def brute_repeats(rows, span=50):
         seen.update(own)
         runs = int((gone & ~np.append(False, gone[:-1])).sum()) if len(data) else 0
         kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-        out[doc] = (len(data), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest())
+        out[doc] = (len(data), int(gone.sum()), runs, kept)
     return out
 
 
@@ -201,7 +202,7 @@ def test_op2_brute_force(spark, documents, bucket_rows):
     few = documents[:80] + [(900, "x" * 300), (901, "y" + "x" * 200), (902, documents[3][1][5:])]
     df = spark.createDataFrame(few, "doc_id long, text string")
     rows = suffix_dedup.remove_repeats(df, bucket_rows=bucket_rows).collect()
-    expected = brute_repeats(few)
+    expected = {doc: (*found, hashlib.sha256(kept).hexdigest()) for doc, (*found, kept) in brute_repeats(few).items()}
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == expected
 
 
@@ -213,7 +214,9 @@ def test_op2_odd(odd, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
-def test_op3_brute_force(spark, sf_dir, documents):
+def brute_links(documents):
+    """Per document its links and the smallest id they lead to."""
+
     def grams(text):
         w = re.findall(rb"[a-z0-9\x80-\xff]+", (text or "").lower().encode())
         return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
@@ -230,8 +233,12 @@ def test_op3_brute_force(spark, sf_dir, documents):
             links[a], links[b] = links[a] + 1, links[b] + 1
             x, y = sorted((root(a), root(b)))
             smallest[y] = x
+    return {d: (links[d], root(d)) for d in sets}
+
+
+def test_op3_brute_force(spark, sf_dir, documents):
     rows = llm.op3_jaccard_join(spark, sf_dir).collect()
-    assert {r.doc_id: (r.n_links, r.class_id) for r in rows} == {d: (links[d], root(d)) for d in sets}
+    assert {r.doc_id: (r.n_links, r.class_id) for r in rows} == brute_links(documents)
 
 
 def test_op3_blocks_give_the_same(spark, documents, monkeypatch):
@@ -552,3 +559,41 @@ def test_pipeline_stages(spark, sf_dir):
         assert out.columns == docs.columns and dict(out.dtypes) == dict(docs.dtypes)
         names.append(name)
     assert len(pipeline.STAGES) == 5 and pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_pipeline_equals_brute_force(spark, sf_dir):
+    """Every stage done by plain code, document by document."""
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    net = toxicity.fit(*toxicity.training_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    left = []
+    for row in sorted(docs.collect(), key=lambda r: r.doc_id):
+        words = toxicity.WORDS.of(row.text)
+        starts = range(0, max(1, len(words) - toxicity.STEP), toxicity.STEP)
+        if not words or max(slow_logit(net, words[a : a + toxicity.WINDOW]) for a in starts) < 0:
+            left.append(row)
+    roots = brute_links([(r.doc_id, r.text) for r in left])
+    left = [r for r in left if roots[r.doc_id][1] == r.doc_id]
+    cut = brute_repeats([(r.doc_id, r.text) for r in left])
+    texts = {doc: kept.decode("utf-8", "ignore") for doc, (_, _, _, kept) in cut.items()}
+
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, source VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", [(r.doc_id, r.source) for r in left])
+    copies = [r[0] for r in connection.execute(llm.oracle_sql()["op6_mix_sources"]).fetchall()]
+    tokenizer, expected = Tokenizer.from_file(WORD), Counter()
+    for doc in copies:
+        ids = tokenizer.encode(texts[doc], add_special_tokens=False).ids + [1]
+        for k, a in enumerate(range(0, len(ids), 4096)):
+            part = ids[a : a + 4096]
+            expected[doc, k, a, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
+    rows = pipeline.run(spark, sf_dir).collect()
+    assert Counter(tuple(r)[:5] for r in rows) == expected
+    assert 20 < len(left) < docs.count() and len(copies) != len(left)
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in sequences.values():
+        ends = np.cumsum([length for _, length in sorted(parts)])
+        assert [offset for offset, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 4096
