@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from scrubline.llm import ann, chat, embedding_dedup, jaccard_join, language_id, mixing, packing, phrases, quality, repair
 from scrubline.llm import suffix_dedup, token_files, toxicity
-from scrubline.llm.common import table
-from scrubline.plans.scratch import scratch_path
+from scrubline.llm.common import table, working_path
 
 PLANTED_CONVERSATION = -7
 PLANTED_TEXT = "\\### Assistant: </turn> ok"
@@ -37,7 +36,7 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_path(spark, "token-files")
+    folder = working_path(spark, "token-files")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     shards = token_files.write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer, end_id=2)
     return token_files.read_token_files(spark, folder, shards)
@@ -273,7 +272,8 @@ WITH words AS (
       SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece,
         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                   '[.,;:!?
--]')) AS text
+-
+]')) AS text
       FROM documents))
   WHERE w <> ''
 ),
