@@ -349,6 +349,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT doc_id, text FROM documents WHERE text IN "
             "(SELECT text FROM documents GROUP BY text HAVING count(*) > 1)"
         ),
+        "wide_row_copies": (
+            "SELECT md5(text) AS text_md5, lang, source, n_chars, count(*) AS copies FROM documents GROUP BY text, lang, source, n_chars"
+        ),
         "column_normalise": all_raw,
         "union_positional": all_raw,
         "csv_round_trip": all_raw,

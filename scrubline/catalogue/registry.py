@@ -224,6 +224,12 @@ def documents_exact_text_duplicates(spark, sf_dir):
     return dedup.key_members(keyed, ["text_digest"]).drop("text_digest")
 
 
+def wide_row_copies(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").drop("doc_id")
+    found = dedup.copies_of_wide_rows(documents, name="copies")
+    return found.select(F.md5("text").alias("text_md5"), "lang", "source", "n_chars", "copies")
+
+
 # -- sources, sinks, set operations --------------------------------------------
 
 
@@ -423,6 +429,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dedup_summary": dedup_summary,
         "events_latest": events_latest,
         "documents_exact_text_duplicates": documents_exact_text_duplicates,
+        "wide_row_copies": wide_row_copies,
         "column_normalise": column_normalise,
         "union_positional": union_positional,
         "csv_round_trip": csv_round_trip,

@@ -11,11 +11,12 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _COPIES = "__copies"
 _CHUNK = "__chunk"
+_MARK = "__fingerprint"
 _RANK = "__rank"
 _SIZE = "__size"
 
@@ -56,6 +57,35 @@ def copies(df: DataFrame, columns: Sequence[str] | None = None, name: str = _COP
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(name))
 
 
+def fingerprint(columns: Sequence[str], bits: int = 128) -> Column:
+    """A hash of whole rows, NULLs and their places included; equal rows have the same one."""
+    cells = [cell for c in columns for cell in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    one, other = F.xxhash64(*cells), F.xxhash64(F.lit(1), *cells)
+    if bits < 64:
+        one, other = F.pmod(one, F.lit(1 << bits)), F.lit(0).cast("bigint")
+    return F.struct(one.alias("one"), other.alias("other"))
+
+
+def copies_of_wide_rows(
+    df: DataFrame, columns: Sequence[str] | None = None, name: str = _COPIES, bits: int = 128, most_broadcast: int = 500_000
+) -> DataFrame:
+    """As ``copies``, for wide rows of which few have a copy: what is shuffled does not grow with their width.
+
+    Rows are grouped by a fingerprint first. Rows whose fingerprint comes once have no copy;
+    only the others are grouped as a whole, so that two rows of one fingerprint are never taken for
+    copies. Fingerprints that come several times are counted, and broadcast if there are at
+    most ``most_broadcast`` (24 bytes each); beyond that a join finds their rows.
+    """
+    columns = list(columns or df.columns)
+    keyed = df.select(*[F.col(f"`{c}`") for c in columns]).withColumn(_MARK, fingerprint(columns, bits))
+    several = copies(keyed, [_MARK]).filter(F.col(_COPIES) > 1).select(_MARK)
+    if several.limit(most_broadcast + 1).count() <= most_broadcast:
+        several = F.broadcast(several)
+    alone = keyed.join(several, _MARK, "left_anti").select(*columns, F.lit(1).cast("bigint").alias(name))
+    verified = copies(keyed.join(several, _MARK, "left_semi"), columns, name)
+    return alone.unionByName(verified)
+
+
 def exact_duplicate_count(df: DataFrame) -> DataFrame:
     """``duplicates``: rows beyond the first of each set of equal rows."""
     extra = F.coalesce(F.sum(F.col(_COPIES) - 1), F.lit(0)).cast("bigint")

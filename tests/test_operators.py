@@ -269,3 +269,35 @@ def test_timestamps_order_latest(spark):
     assert sorted(tuple(r) for r in dedup.keep_latest(df, ["k"], ["t"]).collect()) == [
         (1, day(2019, 1, 2)), (2, None),
     ]
+
+
+# -- wide rows -----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("bits, most_broadcast", [(128, 500_000), (128, 0), (3, 500_000), (0, 0)])
+def test_copies_of_wide_rows_are_verified(spark, bits, most_broadcast):
+    rows = [(i % 40, None if i % 3 else "x", "w" * (i % 5)) for i in range(300)] + [(None, "x", None), ("x" and None, None, "x")] * 2
+    rows += [(1000 + i, "alone", "x") for i in range(50)]
+    df = spark.createDataFrame(rows, "a int, b string, c string")
+    found = dedup.copies_of_wide_rows(df, bits=bits, most_broadcast=most_broadcast, name="n")
+    assert sorted(map(str, found.collect())) == sorted(map(str, dedup.copies(df, name="n").collect()))
+    assert dedup.copies_of_wide_rows(df.limit(0), bits=bits).count() == 0
+
+
+def test_wide_rows_are_not_shuffled(spark):
+    store, tracker = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext.statusTracker()
+
+    def shuffled(df, group):
+        spark.sparkContext.setJobGroup(group, group)
+        df().write.format("noop").mode("overwrite").save()
+        stages = {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return sum(store.lastStageAttempt(s).shuffleWriteBytes() for s in stages)
+
+    def rows(width):
+        # Texts that do not compress.
+        text = "concat_ws('', transform(sequence(1, {}), i -> sha2(concat(id % 19990, '-', i), 256))) AS text".format(width)
+        return spark.range(20_000).selectExpr("id % 19990 AS id", text)
+
+    narrow, wide = (shuffled(lambda: dedup.copies_of_wide_rows(rows(w)), f"marks-{w}") for w in (1, 20))
+    assert wide < 1.3 * narrow and wide < shuffled(lambda: dedup.copies(rows(20)), "whole") / 10
