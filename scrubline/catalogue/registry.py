@@ -209,8 +209,14 @@ def drop_exact(spark, sf_dir):
     return dedup.drop_exact(raw(spark, sf_dir))
 
 
+def accepted_records(spark, sf_dir):
+    """Accepted records as the job deduplicates them: IDs are text, so that those beyond 32 bits stay apart."""
+    accepted = rules.accept(with_parsed_date(raw(spark, sf_dir), SALES), record_rules(SALES))
+    return accepted.withColumn("order_id", F.regexp_replace("order_id", r"^0+(?=\d)", ""))
+
+
 def dedup_summary(spark, sf_dir):
-    return dedup.summary(clean(raw(spark, sf_dir)), ["order_id", "product"])
+    return dedup.summary(accepted_records(spark, sf_dir), SALES.keys)
 
 
 def events_latest(spark, sf_dir):
@@ -379,10 +385,7 @@ def incremental_checks(spark, sf_dir):
 
 
 def deliveries_one_by_one(spark, sf_dir):
-    accepted = rules.accept(with_parsed_date(raw(spark, sf_dir), SALES), record_rules(SALES))
-    # IDs beyond 32 bits stay apart, so the table holds them as text.
-    number = F.regexp_replace("order_id", r"^0+(?=\d)", "")
-    records = with_year_month(accepted.withColumn("order_id", number), SALES).drop("order_date")
+    records = with_year_month(accepted_records(spark, sf_dir), SALES).drop("order_date")
     path = fresh_path(spark, sf_dir, "latest")
     breakers = ["quantity_ordered", "price_each", "purchase_address"]
     for i in range(3):
