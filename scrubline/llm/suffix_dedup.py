@@ -398,9 +398,12 @@ def remove_repeats(
 def _hot_anchors(named: DataFrame, n_docs: int, span: int, rows: int) -> np.ndarray:
     """Hashes of anchors that would by a sample of documents have more than ``rows`` rows.
 
+    As a document has few rows of an anchor, there are none if there are fewer documents.
     At most some hundred times the number of documents over ``rows`` hashes qualify.
     """
-    rate = min(1.0, SAMPLE_DOCS / max(1, n_docs))
+    if n_docs <= rows:
+        return np.empty(0, np.int64)
+    rate = min(1.0, SAMPLE_DOCS / n_docs)
     sample = named.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(rate * (1 << 20)) + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
