@@ -27,7 +27,7 @@ RAW_COLUMNS = (
     "purchase_address",
 )
 
-RAW_TEMPLATE = """
+RAW_SELECT = """
 SELECT
   CASE WHEN l_orderkey % 41 = 0 THEN NULL
        WHEN l_orderkey % 43 = 0 THEN 'Order ID'
@@ -51,7 +51,8 @@ SELECT
             lpad(CAST(l_partkey % 24 AS STRING), 2, '0') || ':' ||
             lpad(CAST(l_suppkey % 60 AS STRING), 2, '0') END AS order_date,
   CASE WHEN l_orderkey % 41 = 0 THEN NULL ELSE c_name || ', ' || c_mktsegment END AS purchase_address
-FROM {lineitem}
+"""
+RAW_TEMPLATE = RAW_SELECT + """FROM {lineitem}
 JOIN {orders} ON l_orderkey = o_orderkey
 JOIN {part} ON l_partkey = p_partkey
 JOIN {customer} ON o_custkey = c_custkey
@@ -139,6 +140,19 @@ def drop_written(spark: SparkSession) -> None:
         drop_scratch(spark, _WRITTEN.pop(key))
 
 
+def _joined(lineitem: DataFrame, orders: DataFrame, part: DataFrame, customer: DataFrame) -> DataFrame:
+    """The rows of ``RAW_TEMPLATE``, by joins that shuffle line items while they are narrow.
+
+    Customers go to their orders first, and names of parts to line items before those of customers,
+    so that no row is shuffled as a whole record. All joins merge, whatever the size: what is
+    shuffled grows in proportion to the tables.
+    """
+    ordered = orders.select("o_orderkey", "o_custkey").join(customer.hint("merge"), F.expr("o_custkey = c_custkey"))
+    lines = lineitem.join(part.hint("merge"), F.expr("l_partkey = p_partkey"))
+    joined = lines.join(ordered.hint("merge"), F.expr("l_orderkey = o_orderkey"))
+    return joined.sparkSession.sql(RAW_SELECT + "FROM {joined}", joined=joined)
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All records, read back from a table.
 
@@ -147,8 +161,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 
     def write(path: str) -> None:
-        records = spark.sql(RAW_TEMPLATE, **{name: table(spark, sf_dir, name) for name in RAW_TABLES})
-        records.hint("rebalance").write.parquet(path)
+        _joined(*[table(spark, sf_dir, name) for name in RAW_TABLES]).write.parquet(path)
 
     return spark.read.parquet(written(spark, sf_dir, "raw-records", write))
 
