@@ -7,7 +7,10 @@ beyond 32 bits, zero quantities, negative prices, and dates that do not parse.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,8 @@ from pyspark.sql import functions as F
 from scrubline.plans.cleansing import SALES_SCHEMA
 from scrubline.plans.scratch import drop_scratch, scratch_path
 from scrubline.sinks import write_csv
+from scrubline.sources import CsvDialect
+from scrubline.sources.files import literal_path
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
@@ -171,11 +176,46 @@ def with_file_headers(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(dict(zip(RAW_COLUMNS, SALES_SCHEMA.names)))
 
 
+def line_dialect(spark: SparkSession, sf_dir: str) -> CsvDialect:
+    """Files of records are split into lines unless a text of theirs holds a line break.
+
+    With such a text, records run over several lines and each file is read by a single task.
+    """
+    records = raw(spark, sf_dir)
+    broken = reduce(or_, [F.col(c).rlike(r"[\r\n]") for c, kind in records.dtypes if kind == "string"])
+    return CsvDialect(multiline=not records.filter(broken).isEmpty())
+
+
+@contextmanager
+def _tasks_kept(spark: SparkSession) -> Iterator[None]:
+    """A union keeps the tasks of all its sides; it would else merge sides of one task each."""
+    key = "spark.sql.unionOutputPartitioning"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _write_files(records: DataFrame, files: int, path: str, wanted: str = "true") -> None:
+    """Records of a working table as so many CSV files, from as many lots of the table's files and so without a shuffle.
+
+    A table of fewer files is small, and its rows are dealt out. Each lot should hold ``wanted`` rows.
+    """
+    spark, parts = records.sparkSession, sorted(literal_path(part) for part in records.inputFiles())
+    if len(parts) < files:
+        return write_csv(with_file_headers(records.filter(wanted)).repartition(files), path)
+    lots = [spark.read.schema(records.schema).parquet(*parts[i::files]).coalesce(1) for i in range(files)]
+    with _tasks_kept(spark):
+        write_csv(with_file_headers(reduce(DataFrame.union, lots).filter(wanted)), path)
+
+
 def csv_folder(spark: SparkSession, sf_dir: str) -> str:
     """All records as a directory of ``CSV_FILES`` CSV files."""
 
     def write(path: str) -> None:
-        write_csv(with_file_headers(raw(spark, sf_dir)).repartition(CSV_FILES), path)
+        _write_files(raw(spark, sf_dir), CSV_FILES, path)
 
     return written(spark, sf_dir, "csv", write)
 
@@ -186,9 +226,9 @@ def csv_layouts(spark: SparkSession, sf_dir: str) -> str:
     fewer = ["product", "order_id", "order_date", "price_each", "quantity_ordered"]
 
     def write(path: str) -> None:
-        records, plain = raw(spark, sf_dir), F.expr(FEED_SQL) == "plain"
-        write_csv(with_file_headers(records.filter(plain)).repartition(LAYOUT_FILES), path)
-        others = with_file_headers(records.filter(~plain).select(*fewer)).repartition(LAYOUT_FILES)
+        records, plain = raw(spark, sf_dir), f"{FEED_SQL} = 'plain'"
+        _write_files(records, LAYOUT_FILES, path, plain)
+        others = with_file_headers(records.filter(f"NOT ({plain})").select(*fewer)).repartition(LAYOUT_FILES)
         write_csv(others, path, mode="append")
 
     return written(spark, sf_dir, "layouts", write)
@@ -220,16 +260,16 @@ def malformed_csv(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         word = F.when(F.expr(BAD_QUANTITY_SQL), "abc").otherwise(F.col("quantity_ordered").cast("string"))
-        write_csv(with_file_headers(raw(spark, sf_dir).withColumn("quantity_ordered", word)).repartition(CSV_FILES), path)
+        write_csv(with_file_headers(raw(spark, sf_dir).withColumn("quantity_ordered", word)), path)
 
     return written(spark, sf_dir, "malformed", write)
 
 
 def typed_texts(spark: SparkSession, sf_dir: str) -> str:
-    """Texts of many types as a CSV directory."""
+    """Texts of many types, none of them with a line break, as a CSV directory."""
 
     def write(path: str) -> None:
-        write_csv(spark.sql(TYPED_SQL, lineitem=table(spark, sf_dir, "lineitem")).repartition(LAYOUT_FILES), path)
+        write_csv(spark.sql(TYPED_SQL, lineitem=table(spark, sf_dir, "lineitem")), path)
 
     return written(spark, sf_dir, "typed-texts", write)
 

@@ -17,6 +17,7 @@ from scrubline.catalogue.fixture import (
     csv_layouts,
     dated_texts,
     fresh_path,
+    line_dialect,
     malformed_csv,
     raw,
     table,
@@ -40,6 +41,7 @@ from scrubline.plans.cleansing import (
 )
 from scrubline.plans.deliveries import merge_latest
 from scrubline.plans.incremental import update_states
+from scrubline.plans.profiling import ProfileConfig
 from scrubline.sinks import (
     partition_listing,
     write_csv,
@@ -47,6 +49,7 @@ from scrubline.sinks import (
     write_single_parquet,
 )
 from scrubline.sources import (
+    CsvDialect,
     file_inventory,
     header_consistency,
     preflight,
@@ -100,7 +103,8 @@ def rejected_rows(spark, sf_dir):
 
 def malformed_rows(spark, sf_dir):
     config = CleanseConfig(malformed_column="malformed_record")
-    records = read_csv_dir(spark, malformed_csv(spark, sf_dir), SALES_SCHEMA, malformed=config.malformed_column)
+    dialect = line_dialect(spark, sf_dir)
+    records = read_csv_dir(spark, malformed_csv(spark, sf_dir), SALES_SCHEMA, dialect, malformed=config.malformed_column)
     rejected = rules.reject(with_parsed_date(snake_columns(records), config), record_rules(config))
     return rejected.select(*RAW_COLUMNS, config.malformed_column, rules.REASON)
 
@@ -162,7 +166,7 @@ def castability(spark, sf_dir):
 
 
 def inferred_types(spark, sf_dir):
-    return profiling.inferred_types(read_csv_by_name(spark, typed_texts(spark, sf_dir)))
+    return profiling.inferred_types(read_csv_by_name(spark, typed_texts(spark, sf_dir), CsvDialect(multiline=False)))
 
 
 def date_formats(spark, sf_dir):
@@ -251,16 +255,16 @@ def union_positional(spark, sf_dir):
 
 
 def csv_round_trip(spark, sf_dir):
-    return snake_columns(read_csv_dir(spark, csv_folder(spark, sf_dir), SALES_SCHEMA))
+    return snake_columns(read_csv_dir(spark, csv_folder(spark, sf_dir), SALES_SCHEMA, line_dialect(spark, sf_dir)))
 
 
 def csv_union_by_name(spark, sf_dir):
-    path = csv_layouts(spark, sf_dir)
-    return snake_columns(read_csv_dir(spark, path, SALES_SCHEMA, on_header_mismatch="by_name"))
+    path, dialect = csv_layouts(spark, sf_dir), line_dialect(spark, sf_dir)
+    return snake_columns(read_csv_dir(spark, path, SALES_SCHEMA, dialect, on_header_mismatch="by_name"))
 
 
 def csv_inferred(spark, sf_dir):
-    return snake_columns(read_csv_inferred(spark, csv_folder(spark, sf_dir)))
+    return snake_columns(read_csv_inferred(spark, csv_folder(spark, sf_dir), line_dialect(spark, sf_dir)))
 
 
 def rows_per_feed(spark, sf_dir):
@@ -329,31 +333,32 @@ def comparable_metrics(metrics: DataFrame) -> DataFrame:
 
 
 def cleanse_metrics(spark, sf_dir):
-    source = csv_folder(spark, sf_dir)
-    return comparable_metrics(cleanse(spark, source, fresh_path(spark, sf_dir, "cleansed")).metrics)
+    source, config = csv_folder(spark, sf_dir), CleanseConfig(dialect=line_dialect(spark, sf_dir))
+    return comparable_metrics(cleanse(spark, source, fresh_path(spark, sf_dir, "cleansed"), config).metrics)
 
 
 def summary_report(spark, sf_dir):
-    config = CleanseConfig(report_to=fresh_path(spark, sf_dir, "report"))
+    config = CleanseConfig(dialect=line_dialect(spark, sf_dir), report_to=fresh_path(spark, sf_dir, "report"))
     result = cleanse(spark, csv_folder(spark, sf_dir), fresh_path(spark, sf_dir, "cleansed"), config)
     stored = spark.read.schema(result.metrics.schema).json(f"{config.report_to}/metrics")
     return comparable_metrics(stored)
 
 
 def cleanse_partitioned(spark, sf_dir):
-    result = cleanse(spark, csv_folder(spark, sf_dir), fresh_path(spark, sf_dir, "cleansed"))
+    config = CleanseConfig(dialect=line_dialect(spark, sf_dir))
+    result = cleanse(spark, csv_folder(spark, sf_dir), fresh_path(spark, sf_dir, "cleansed"), config)
     return comparable(spark.read.parquet(result.location))
 
 
 def cleanse_output(spark, sf_dir):
     source = csv_folder(spark, sf_dir)
-    config = CleanseConfig(output="single", metrics="observed")
+    config = CleanseConfig(dialect=line_dialect(spark, sf_dir), output="single", metrics="observed")
     result = cleanse(spark, source, fresh_path(spark, sf_dir, "cleansed"), config)
     return comparable(spark.read.parquet(result.location))
 
 
 def profile_report(spark, sf_dir):
-    report = profile(spark, csv_folder(spark, sf_dir))
+    report = profile(spark, csv_folder(spark, sf_dir), ProfileConfig(dialect=line_dialect(spark, sf_dir)))
     # Compression and quotes decide how large files are.
     return report.filter("item <> 'total_kb'")
 
