@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 BOOLEAN, INT, BIGINT, DECIMAL, DOUBLE, DATE, TIMESTAMP, STRING = (1 << i for i in range(8))
 NUMBERS, MOMENTS = INT | BIGINT | DECIMAL | DOUBLE, DATE | TIMESTAMP
 MOST_DIGITS = 38
+# The greatest absolute values of whole types, of positive and of negative numbers.
+INT_LIMITS = ("2147483647", "2147483648")
+BIGINT_LIMITS = ("9223372036854775807", "9223372036854775808")
 # Digits that a decimal needs to hold all integers of a type.
 INT_DIGITS, BIGINT_DIGITS = 10, 20
 
@@ -29,6 +32,8 @@ _DECIMAL_FLOAT = r"(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 _HEX_FLOAT = r"0[xX](?:[0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+"
 FLOAT = rf"^[\x00-\x20]*[+-]?(?:NaN|Infinity|(?:{_DECIMAL_FLOAT}|{_HEX_FLOAT})[dDfF]?)[\x00-\x20]*\z"
 INFINITIES = ("Inf", "-Inf")
+# What every text of a moment begins with: a cast that fails costs an exception for each value.
+MOMENT = r"^[\x00-\x20\x7f]*(?:[+-]?[0-9]{4}|[Tt]?[0-9]{1,2}:)"
 DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 
 
@@ -36,11 +41,18 @@ def _digits(text: Column) -> Column:
     return F.greatest(F.length(F.regexp_replace(text, r"^[+-]?0*|\.\z", "")), F.lit(1))
 
 
+def _fits(whole: Column, limits: tuple[str, str]) -> Column:
+    """Whether the text of a whole number is within limits, by its digits and without a cast that fails."""
+    digits = F.regexp_replace(whole, "^[+-]?0*", "")
+    limit = F.when(whole.startswith("-"), limits[1]).otherwise(limits[0])
+    return (F.length(digits) < len(limits[0])) | ((F.length(digits) == len(limits[0])) & (digits <= limit))
+
+
 def type_bit(text: Column) -> Column:
     """The bit of a value's type, 0 for none."""
     number = (
-        F.when(text.rlike(WHOLE) & text.try_cast("int").isNotNull(), INT)
-        .when(text.rlike(WHOLE) & text.try_cast("bigint").isNotNull(), BIGINT)
+        F.when(text.rlike(WHOLE) & _fits(text, INT_LIMITS), INT)
+        .when(text.rlike(WHOLE) & _fits(text, BIGINT_LIMITS), BIGINT)
         .when(text.rlike(WHOLE_WITH_POINT) & (_digits(text) <= MOST_DIGITS), DECIMAL)
         .otherwise(DOUBLE)
     )
@@ -48,7 +60,7 @@ def type_bit(text: Column) -> Column:
         F.when(text.isNull() | (text == ""), 0)
         .when(text.rlike(FLOAT) | text.isin(*INFINITIES), number)
         .when(text.rlike(DAY) & text.try_cast("date").isNotNull(), DATE)
-        .when(text.try_cast("timestamp").isNotNull(), TIMESTAMP)
+        .when(text.rlike(MOMENT) & text.try_cast("timestamp").isNotNull(), TIMESTAMP)
         .when(F.lower(text).isin("true", "false"), BOOLEAN)
         .otherwise(STRING)
     )

@@ -5,7 +5,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from scrubline.functions.inference import merged_state, type_name, type_state
+from scrubline.functions.inference import BIGINT, INT, STRING, WHOLE, merged_state, type_bit, type_name, type_state
 from scrubline.operators.profiling import inferred_types
 from scrubline.sources import read_csv_by_name
 
@@ -62,3 +62,18 @@ def test_columns_that_are_no_text_keep_their_type(spark):
     df = spark.sql("SELECT 1 AS i, CAST(NULL AS STRING) AS nothing, DATE'2020-01-01' AS d, '7' AS s")
     assert [tuple(r) for r in inferred_types(df).collect()] == [("i", "int"), ("nothing", "string"), ("d", "date"), ("s", "int")]
     assert [r.data_type for r in inferred_types(df.limit(0)).collect()] == ["int", "string", "date", "string"]
+
+
+def test_no_cast_of_whole_numbers_fails(spark):
+    edges = [f"{sign}{zeros}{n}" for sign in ("", "+", "-") for zeros in ("", "00") for n in
+             (0, 9, 2147483646, 2147483647, 2147483648, 2147483649, 9999999999, 9223372036854775807, 9223372036854775808, 9223372036854775809)]
+    moments = ["12:30", "T1:02:03", " 2019-1-2 ", "+12019-01-02", "2019-01", "2019-01-02T03:04:05Z", "4/7/19", "lamp", "20x", "-", "\x7f2019-02-03\x01"]
+    df = spark.createDataFrame([(v,) for v in edges + moments], "v string")
+    v = F.col("v")
+    bit = type_bit(v)
+    plan = df.select(bit)._jdf.queryExecution().optimizedPlan().toString()
+    assert "as int)" not in plan and "as bigint)" not in plan
+    told = F.when(v.rlike(WHOLE) & v.try_cast("int").isNotNull(), INT).when(v.rlike(WHOLE) & v.try_cast("bigint").isNotNull(), BIGINT)
+    assert df.filter(told.isNotNull() & (told != bit)).isEmpty()
+    assert df.filter(told.isNull() & v.rlike(WHOLE) & bit.isin(INT, BIGINT)).isEmpty()
+    assert df.filter((bit == STRING) & v.try_cast("timestamp").isNotNull()).isEmpty()
