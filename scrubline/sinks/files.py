@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,15 +25,24 @@ def _millisecond_timestamps(spark: SparkSession) -> Iterator[None]:
 
 
 def write_partitioned_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite", only_theirs: bool = False
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    mode: str = "overwrite",
+    only_theirs: bool = False,
+    scattered: Column | bool = True,
 ) -> None:
     """Parquet in one directory per value of ``partition_by``.
 
     Rows of a partition are brought together so that it gets few files. Adaptive
     execution splits a large partition over several tasks and merges small ones.
     ``only_theirs``: of a table that is there, only partitions that ``df`` has rows of are replaced.
+    ``scattered``: the partitions that need this, as a condition or all or none; rows of others are written where they are.
     """
-    balanced = df.hint("rebalance", *partition_by)
+    if isinstance(scattered, bool):
+        balanced = df.hint("rebalance", *partition_by) if scattered else df
+    else:
+        balanced = df.filter(~scattered).union(df.filter(scattered).hint("rebalance", *partition_by))
     replaced = "dynamic" if only_theirs else "static"
     with _millisecond_timestamps(df.sparkSession):
         balanced.write.mode(mode).option("partitionOverwriteMode", replaced).partitionBy(*partition_by).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from scrubline.operators import dedup
 from scrubline.operators.quality import Check, run_checks
 from scrubline.operators.states import RELATIVE_ERROR, checks_of_state, merge_states, partial_states, statistics
+from scrubline.plans import deliveries
 from scrubline.plans.deliveries import merge_latest
 from scrubline.plans.incremental import update_states
 
@@ -125,3 +126,48 @@ def test_an_empty_delivery_makes_no_table(spark, tmp_path, empty_first):
         assert merge_latest(spark, spark.createDataFrame([], DELIVERY), target, ["k"], ["at"], ["month"]) == []
         assert not os.path.exists(target)
     assert merge_latest(spark, spark.createDataFrame([(1, "a", 1, 1, 1)], DELIVERY), target, ["k"], ["at"], ["month"]) == [(1,)]
+
+
+@pytest.mark.parametrize("few", [0, 5, 1_000_000])
+def test_deliveries_with_any_number_of_keys_in_common(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(deliveries, "FEW_SHARED", few)
+    monkeypatch.setattr(deliveries, "MANY_FILES", 2)
+    rng = random.Random(5)
+    target, everything = str(tmp_path / "latest"), []
+    for _ in range(5):
+        # Few keys at first, then nearly all new ones.
+        keys = [None, *range(len(everything), len(everything) + 40)]
+        rows = [(rng.choice(keys), "a", at, rng.randrange(3), rng.choice([None, 1, 2])) for at in rng.choices(range(50), k=40)]
+        rows += [(old[0], old[1], old[2] + rng.choice([-1, 0, 1]), 0, 3) for old in everything[:2]]
+        everything += rows
+        merge_latest(spark, spark.createDataFrame(rows, DELIVERY), target, ["k", "name"], ["at"], ["month"])
+        whole = dedup.keep_latest(spark.createDataFrame(everything, DELIVERY), ["k", "name"], ["at"])
+        assert sorted(map(str, spark.read.schema(DELIVERY).parquet(target).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_rows_without_a_common_key_are_not_shuffled(spark, tmp_path):
+    """Held rows stay where they are; only their hashes and the delivery's rows move."""
+    target, store = str(tmp_path / "latest"), spark.sparkContext._jsc.sc().statusStore()
+    tracker = spark.sparkContext.statusTracker()
+
+    def shuffled(first, n):
+        wide = "array_join(transform(sequence(1, 16), i -> sha2(concat(id, '-', i), 256)), '') AS name"
+        rows = spark.range(first, first + n).selectExpr("id AS k", wide, "1 AS at", "1 AS v", "int(id % 3) AS month")
+        group = f"delivery-{first}-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        merge_latest(spark, rows, target, ["k"], ["at"], ["month"])
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        stages = {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+        return sum(store.lastStageAttempt(s).shuffleWriteBytes() for s in stages)
+
+    assert shuffled(0, 5_000) > 2_000_000
+    assert shuffled(5_000, 50) < 500_000
+    assert spark.read.schema(DELIVERY).parquet(target).count() == 5_050
+
+
+def test_files_of_many_deliveries_are_brought_together(spark, tmp_path):
+    target = str(tmp_path / "latest")
+    for i in range(2 * deliveries.MANY_FILES):
+        merge_latest(spark, spark.createDataFrame([(i, "a", 1, 1, 1)], DELIVERY), target, ["k"], ["at"], ["month"])
+    assert len(glob.glob(f"{target}/month=1/*.parquet")) <= deliveries.MANY_FILES + 2
+    assert spark.read.schema(DELIVERY).parquet(target).count() == 2 * deliveries.MANY_FILES
