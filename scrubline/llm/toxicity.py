@@ -9,7 +9,7 @@ directions; attention pools the states, and the text's score is that of its wors
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +25,8 @@ LETTERS, WINDOW, STEP = 16, 32, 16
 WORDS = Words(LETTERS)
 HIDDEN, WORD_DIM, CHAR_DIM, CHAR_OUT, CHARS = 8, 8, 6, 8, 320
 PAD, UNKNOWN = 0, 1
+# Words taken in at once; a long text's slices of so many start where windows do.
+LOT = 32_000
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
@@ -261,15 +263,17 @@ class _Scorer:
     def __init__(self, net: Network):
         self.net = net
         self.empty = word_inputs(net, np.array([PAD]), char_codes([""]))[0]
-        self.table = WordRows(self._compute, limit=300_000)
+        self.table = WordRows(self._compute, limit=150_000)
 
     def _compute(self, words: list[str]) -> np.ndarray:
-        ids = np.array([self.net.vocabulary.get(w, UNKNOWN) for w in words], np.int64)
-        codes = char_codes(words)
-        parts = [word_inputs(self.net, ids[a : a + 8192], codes[a : a + 8192])[0] for a in range(0, len(ids), 8192)]
+        parts = []
+        for a in range(0, len(words), 4096):
+            some = words[a : a + 4096]
+            ids = np.array([self.net.vocabulary.get(w, UNKNOWN) for w in some], np.int64)
+            parts.append(word_inputs(self.net, ids, char_codes(some))[0])
         return np.concatenate(parts)
 
-    def scores(self, n_rows: int, lots: list[tuple[np.ndarray, list[str]]]) -> np.ndarray:
+    def scores(self, n_rows: int, lots: Iterable[tuple[np.ndarray, list[str]]]) -> np.ndarray:
         worst = np.full(n_rows, -np.inf)
         for rows, words in lots:
             full = rows[rows[:, 1] > 0]
@@ -280,10 +284,10 @@ class _Scorer:
             real = at >= 0
             number = number[np.maximum(at, 0)]
             logits = np.empty(len(at), np.float32)
-            for a in range(0, len(at), 2048):
-                gates = self.table.rows[number[a : a + 2048]]
-                gates[~real[a : a + 2048]] = self.empty
-                logits[a : a + 2048] = attend(self.net, states(self.net, gates)[0], real[a : a + 2048])[0]
+            for a in range(0, len(at), 1024):
+                gates = self.table.rows[number[a : a + 1024]]
+                gates[~real[a : a + 1024]] = self.empty
+                logits[a : a + 1024] = attend(self.net, states(self.net, gates)[0], real[a : a + 1024])[0]
             np.maximum.at(worst, full[owner, 0], logits)
         return np.where(np.isneginf(worst), 0.0, _sigmoid(np.where(np.isneginf(worst), 0, worst)))
 
@@ -299,7 +303,7 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
-        for batch, lots in gathered(WORDS, batches, 2, 160_000, STEP):
+        for batch, lots in gathered(WORDS, batches, 2, LOT, STEP):
             value = scorer.scores(batch.num_rows, lots)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(value), pa.array((value >= 0.5).astype(np.int32))],
@@ -320,7 +324,7 @@ def reject_toxic(docs: DataFrame, net: Network, threshold: float = 0.5, text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
-        for batch, lots in gathered(WORDS, batches, text_at, 160_000, STEP):
+        for batch, lots in gathered(WORDS, batches, text_at, LOT, STEP):
             yield batch.filter(pa.array(scorer.scores(batch.num_rows, lots) < threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -53,7 +53,8 @@ class WordRows:
             made, n = self.compute(list(new)), len(self.index)
             self.index.update(zip(new, range(n, n + len(new))))
             if n + len(new) > len(self.rows) or not n:
-                grown = np.empty((max(2 * len(self.rows), n + len(new), 4096), made.shape[1]), made.dtype)
+                # Room for all at once: memory is taken as rows are filled, and nothing is copied as they grow.
+                grown = np.empty((max(self.limit, n + len(new)), made.shape[1]), made.dtype)
                 grown[:n] = self.rows[:n] if n else 0
                 self.rows = grown
             self.rows[n : n + len(new)] = made
@@ -62,17 +63,23 @@ class WordRows:
 
 def gathered(
     words: Words, batches: Iterator[pa.RecordBatch], text_at: int, n: int, overlap: int = 0
-) -> Iterator[tuple[pa.RecordBatch, list[tuple[np.ndarray, list[str]]]]]:
-    """Each batch with its words in lots of about ``n``: (documents' numbers of words as (row, count), words)."""
-    for batch in batches:
-        lots, rows, held = [], [], []
-        for i, text in enumerate(batch.column(text_at)):
+) -> Iterator[tuple[pa.RecordBatch, Iterator[tuple[np.ndarray, list[str]]]]]:
+    """Each batch with its words in lots of about ``n``: (documents' numbers of words as (row, count), words).
+
+    Lots are made as they are taken, so that only one is in memory.
+    """
+
+    def lots(texts: pa.Array) -> Iterator[tuple[np.ndarray, list[str]]]:
+        rows, held = [], []
+        for i, text in enumerate(texts):
             for part in words.slices(text.as_py(), n, overlap):
                 rows.append((i, len(part)))
                 held += part
                 if len(held) >= n:
-                    lots.append((np.array(rows), held))
+                    yield np.array(rows), held
                     rows, held = [], []
         if rows:
-            lots.append((np.array(rows), held))
-        yield batch, lots
+            yield np.array(rows), held
+
+    for batch in batches:
+        yield batch, lots(batch.column(text_at))

@@ -10,6 +10,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -22,6 +23,7 @@ from scrubline.llm import ann, chat, embedding_dedup, jaccard_join, language_id,
 from scrubline.llm import queries as llm  # noqa: E402
 from scrubline.llm import suffix_dedup, token_files, toxicity  # noqa: E402
 from scrubline.llm.encoding import WordEncoder  # noqa: E402
+from scrubline.llm.words import WordRows, Words, gathered  # noqa: E402
 
 BYTE, WORD = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 SENTENCE = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
@@ -597,3 +599,30 @@ def test_pipeline_equals_brute_force(spark, sf_dir):
     for parts in sequences.values():
         ends = np.cumsum([length for _, length in sorted(parts)])
         assert [offset for offset, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 4096
+
+
+def test_lots_of_words_are_made_one_at_a_time():
+    class Counting(Words):
+        texts = 0
+
+        def slices(self, *args):
+            self.texts += 1
+            return super().slices(*args)
+
+    words = Counting(None)
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b c d"] * 1_000)], ["text"])
+    for _, lots in gathered(words, iter([batch]), 0, 40):
+        rows, held = next(iter(lots))
+        assert words.texts == len(rows) == 10 and held == list("abcd") * 10
+        assert sum(len(more) for more, _ in lots) == 990
+
+
+def test_rows_of_words_are_not_copied_as_they_become_more():
+    table = WordRows(lambda words: np.array([[len(w)] for w in words], np.float32), limit=10_000)
+    table.lookup(["a"])
+    first, many = table.rows, ["x" * (i % 50) + str(i) for i in range(9_000)]
+    at = table.lookup(many)
+    assert table.rows is first and table.rows[at, 0].tolist() == [len(w) for w in many]
+    more = [f"more{i}" for i in range(12_000)]
+    at = table.lookup(more)
+    assert table.rows[at, 0].tolist() == [len(w) for w in more]
