@@ -6,6 +6,7 @@ import os
 import re
 import zlib
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -19,6 +20,18 @@ _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-^`{-~]*)(?:(\n)([A
 _BYTE_SIGNS = {ord(" "): " "} | {b: 256 + 33 + b - 127 for b in range(127, 161)} | {173: 256 + 67}
 
 
+class _Memo(dict):
+    """Ids by word; what is missing is taken from an older memo, where words used lately are, or else made."""
+
+    def __init__(self, make: Callable[[str], bytes], older: dict[str, bytes]):
+        super().__init__()
+        self.make, self.older = make, older
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.older.get(word) or self.make(word)
+        return ids
+
+
 class WordEncoder:
     """Token ids of texts, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
@@ -40,8 +53,7 @@ class WordEncoder:
         self.limit, self.slice_chars = limit, slice_chars
         # Codes of the array module and of numpy alike.
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self._memo: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
+        self._memo = _Memo(self._word, {})
         self._known_marks: dict[str, bytes] = {}
         self._special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # A word vocabulary gives the same ids with and without the space before, a byte one does not.
@@ -68,6 +80,8 @@ class WordEncoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of a word with the space before it."""
+        if word.isascii() and word.isalpha():
+            return self._letters(" " + word)
         m = _PLAIN.fullmatch(word)
         if not m:
             return self._whole(" " + word)
@@ -83,17 +97,10 @@ class WordEncoder:
         if _RUN.search(text) or any(s in text for s in self._special):
             return self._whole(text)
         head, *words = text.split(" ")
-        try:
-            body = b"".join(map(self._memo.__getitem__, words))
-        except KeyError:
-            if len(self._memo) > self.limit:
-                # What was used lately is found in the older half and comes back.
-                self._older, self._memo = self._memo, {}
-            memo, older = self._memo, self._older
-            for word in words:
-                if word not in memo:
-                    memo[word] = older.get(word) or self._word(word)
-            body = b"".join(map(memo.__getitem__, words))
+        if len(self._memo) > self.limit:
+            self._memo.older = {}
+            self._memo = _Memo(self._word, self._memo)
+        body = b"".join(map(self._memo.__getitem__, words))
         return (self._whole(head) if head else b"") + body
 
     def encode(self, text: str | None) -> bytes:

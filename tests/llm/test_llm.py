@@ -626,3 +626,17 @@ def test_rows_of_words_are_not_copied_as_they_become_more():
     more = [f"more{i}" for i in range(12_000)]
     at = table.lookup(more)
     assert table.rows[at, 0].tolist() == [len(w) for w in more]
+
+
+def test_a_new_word_is_made_once_and_found_in_the_older_memo():
+    encoder, made = WordEncoder(public_tokenizers.path("byte_bpe_50k.json"), limit=3), []
+    make = encoder._memo.make
+    encoder._memo.make = lambda word: made.append(word) or make(word)
+    texts = ["a known known word, Größe", "a known word, new"]
+    got = [encoder.encode(t) for t in texts]
+    assert made == ["known", "word,", "Größe", "new"]
+    assert got == [encoder._whole(t) for t in texts]
+    # The memo is full: what it has becomes the older one, which makes nothing anew.
+    encoder._word = made.append
+    assert encoder.encode("a new known word,") == encoder._whole("a new known word,") and len(made) == 4
+    assert set(encoder._memo) == {"new", "known", "word,"} and len(encoder._memo.older) == 4
