@@ -3,9 +3,10 @@
 A passage is a string of ``span`` bytes. Each has an anchor: the n-gram of smallest
 hash in it, so equal passages have the same anchor at the same place. Anchors that
 several documents hold are brought together with the bytes around them. There, suffixes
-are merge-sorted; two are compared by their common extension, which prefix polynomial
-hashes and binary search find in logarithmic time. Neighbours that share a passage are
-verified byte by byte, and every document but the earliest loses it.
+are merge-sorted, but for those whose hash no other has; two are compared by their common
+extension, which prefix polynomial hashes and binary search find in logarithmic time.
+Neighbours that share a passage are verified byte by byte, and every document but the
+earliest loses it.
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ from pyspark.sql import types as T
 
 from scrubline.llm.blocks import groups
 from scrubline.llm.common import bounded_batches
-from scrubline.llm.hashing import mixed, piece_hashes, prefix_hashes
+from scrubline.llm.hashing import mixed, piece_hashes, powers, prefix_hashes
 
 REACH = 32
-LOT = 1 << 20
+LOT = 1 << 17
+HELD = 1 << 20
 BUCKET_ROWS = 1_000_000
 SAMPLE_DOCS = 20_000
 CHUNK = 16_384
+KEYS = 1 << 20
 MASKS = "id long, identity long, first long, mask long"
 
 
@@ -45,42 +48,57 @@ def _lots(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
+def _smallest(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of windows of REACH hashes with the same smallest, leftmost one: first window, place of the hash."""
+    value, width = hashes, 1
+    while width < REACH:
+        value = np.minimum(value[:-width], value[width:])
+        width *= 2
+    # Another place: the smallest changes, or leaves the window.
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (hashes[: len(value) - 1] == value[:-1])
+    first = np.flatnonzero(new)
+    end = np.append(first[1:], len(value))
+    least = value[first]
+    place = end - 1
+    left = np.append(hashes[end[:-1] - 1] == least[:-1], False)
+    came = np.append(False, least[1:] < least[:-1])
+    place[came] = first[came] + REACH - 1
+    sought = np.flatnonzero(~left & ~came)
+    place[sought] = first[sought] + (hashes[first[sought, None] + np.arange(REACH)] == least[sought, None]).argmax(1)
+    return first, place
+
+
 def anchors(texts: list[bytes], span: int) -> tuple[np.ndarray, ...]:
-    """Of each text's passages the anchors: text, hash, place, first and last passage that it stands for."""
+    """Of each text's passages the anchors: text, hash, place, first and last passage that it stands for, hash of these."""
     gram = span - REACH + 1
     sizes = np.array([len(t) for t in texts])
     data = np.frombuffer(b"".join(texts), np.uint8)
     n = len(data) - span + 1
     if n <= 0:
-        return (np.empty(0, np.int64),) * 5
+        return (np.empty(0, np.int64),) * 6
     prefix = prefix_hashes(data)
-    at = np.arange(len(data) - gram + 1)
-    hashes = mixed(piece_hashes(prefix, at, at + gram))
-    # Smallest hash, leftmost, among REACH n-grams from each place, by doubling.
-    value, place, width = hashes, at.astype(np.int32), 1
-    while width < REACH:
-        right = value[width:] < value[:-width]
-        place = np.where(right, place[width:], place[:-width])
-        value = np.where(right, value[width:], value[:-width])
-        width *= 2
-    place = place[:n]
+    hashes = mixed((prefix[gram:] - prefix[:-gram]) * powers(len(prefix))[1][: len(prefix) - gram])
+    runs, places = _smallest(hashes)
     ends = np.cumsum(sizes)
-    owner = np.repeat(np.arange(len(texts)), sizes)[:n]
-    valid = np.arange(n) + span <= ends[owner]
-    start = np.flatnonzero(valid)
-    place, owner = place[start], owner[start]
-    new = np.ones(len(start), bool)
-    new[1:] = (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(start)) - 1
-    begin = (ends - sizes)[owner[first]]
-    p = place[first].astype(np.int64)
-    return owner[first], hashes[p].view(np.int64), p - begin, start[first] - begin, start[last] - begin
+    # Texts begin anew; passages over the end of a text are none.
+    start = np.sort(np.concatenate([runs, (ends - sizes)[(ends - sizes < n) & (sizes >= span)]]), kind="stable")
+    owner = np.searchsorted(ends, start, "right")
+    last = np.minimum(np.append(start[1:], n) - 1, ends[owner] - span)
+    held = last >= start
+    start, last, owner = start[held], last[held], owner[held]
+    place = places[np.searchsorted(runs, start, "right") - 1]
+    begin = (ends - sizes)[owner]
+    spans = mixed(piece_hashes(prefix, start, last + span), 3)
+    return owner, hashes[place].view(np.int64), place - begin, start - begin, last - begin, spans
 
 
 def common_extension(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, room: np.ndarray) -> np.ndarray:
     """Length of the common start of the suffixes at a and b, up to ``room``, by hashes and binary search."""
-    low, high = np.zeros(len(a), np.int64), room.astype(np.int64)
+    high = room.astype(np.int64)
+    # Most are alike all along.
+    low = np.where(piece_hashes(prefix, a, a + high) == piece_hashes(prefix, b, b + high), high, 0)
+    high = np.where(low < high, high - 1, high)
     while (open_ := np.flatnonzero(low < high)).size:
         middle = (low[open_] + high[open_] + 1) // 2
         x, y = a[open_], b[open_]
@@ -131,58 +149,93 @@ def sort_suffixes(data: np.ndarray, prefix: np.ndarray, start: np.ndarray, group
     return order
 
 
-def repeated(
-    doc: np.ndarray, group: np.ndarray, lead: np.ndarray, blobs: list[bytes], span: int
+def _matches(
+    windows: np.ndarray, doc: np.ndarray, group: np.ndarray, before: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Which passages of each row an earlier document holds: a bit per passage; and the rows others may match.
-
-    Rows stand by group, then by document. A row's bytes hold its passages, the first
-    of which begins ``lead`` bytes before the anchor.
+    """Which passages an earlier document holds, and which are the earliest of equal ones; by sorted suffixes."""
+    span = windows.shape[1]
+    data = windows.ravel()
+    prefix = prefix_hashes(data)
+    by = np.lexsort((doc, before, group))
+    lot = np.cumsum(np.append(True, (group[by][1:] != group[by][:-1]) | (before[by][1:] != before[by][:-1])))
+    order = sort_suffixes(data, prefix, by * span, lot, span)
+    by, lot = by[order], lot[order]
+    common = common_extension(prefix, by[1:] * span, by[:-1] * span, np.full(len(by) - 1, span))
+    same = (common >= span) & (lot[1:] == lot[:-1])
+    near = np.flatnonzero(same)
+    # Hashes may collide: bytes decide.
+    same[near] = (windows[by[near + 1]] == windows[by[near]]).all(1)
+    run = np.cumsum(np.append(True, ~same)) - 1
+    first = np.flatnonzero(np.append(True, ~same))
+    least = np.minimum.reduceat(doc[by], first)
+    later, earliest = np.empty(len(by), bool), np.zeros(len(by), bool)
+    later[by] = doc[by] > least[run]
+    # One of each run is enough for what comes later.
+    start = np.flatnonzero(~later[by])
+    earliest[by[start[np.unique(run[start], return_index=True)[1]]]] = True
+    return later, earliest
+
+
+def repeated(doc: np.ndarray, group: np.ndarray, lead: np.ndarray, pieces: pa.BinaryArray, span: int) -> np.ndarray:
+    """Which passages of each row an earlier document holds: a bit per passage.
+
+    Groups are whole. A row's bytes hold its passages, the first of which begins
+    ``lead`` bytes before the anchor. Equal passages of a group have equal keys: those
+    whose key no other document has need no sort. The others are sorted in lots of
+    ``CHUNK`` by key, so the work grows with the passages, however large a group is.
     """
     n = len(doc)
-    sizes = np.array([len(b) for b in blobs])
-    data = np.frombuffer(b"".join(blobs), np.uint8)
-    at = np.cumsum(sizes) - sizes
-    prefix = prefix_hashes(data)
-    count = sizes - span + 1
+    ends = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + n + 1].astype(np.int64)
+    data = np.frombuffer(pieces.buffers()[2], np.uint8)
+    at = ends[:-1]
+    count = np.maximum(np.diff(ends) - span + 1, 0)
     mask = np.zeros(n, np.int64)
-    # Rows alike in all bytes: only those of the earliest document stay open.
-    whole = piece_hashes(prefix, at, at + sizes)
-    key = mixed(whole ^ mixed(group.view(np.uint64), 1) ^ (lead.astype(np.uint64) << np.uint64(32)) ^ sizes.astype(np.uint64))
-    _, rep, back = np.unique(key, return_index=True, return_inverse=True)
-    rep = rep[back]
-    alike = np.array([blobs[r] == b for r, b in zip(rep, blobs)], bool) & (group[rep] == group) & (lead[rep] == lead)
-    gone = alike & (doc > doc[rep])
-    mask[gone] = (np.int64(1) << count[gone]) - 1
-    open_ = np.flatnonzero(~gone)
-    starts = np.flatnonzero(np.append(True, group[open_][1:] != group[open_][:-1]))
-    sizes_open = np.diff(np.append(starts, len(open_)))
-    mixed_groups = np.repeat(sizes_open > 1, sizes_open)
-    rows = open_[mixed_groups]
-    if len(rows):
-        row = np.repeat(rows, count[rows])
-        number = np.arange(len(row)) - np.repeat(np.cumsum(count[rows]) - count[rows], count[rows])
-        before = lead[row] - number
-        by = np.lexsort((doc[row], before, group[row]))
-        row, number, before = row[by], number[by], before[by]
-        lot = np.cumsum(np.append(True, (group[row][1:] != group[row][:-1]) | (before[1:] != before[:-1])))
-        start = at[row] + number
-        order = sort_suffixes(data, prefix, start, lot, span)
-        row, number, start, lot = row[order], number[order], start[order], lot[order]
-        common = common_extension(prefix, start[1:], start[:-1], np.full(len(start) - 1, span))
-        same = (common >= span) & (lot[1:] == lot[:-1])
-        near = np.flatnonzero(same)
-        # Hashes may collide: bytes decide.
-        window = np.arange(span)
-        for a in range(0, len(near), 8192):
-            part = near[a : a + 8192]
-            same[part] = (data[start[part + 1, None] + window] == data[start[part, None] + window]).all(1)
-        run = np.cumsum(np.append(True, ~same)) - 1
-        least = np.full(run[-1] + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, run, doc[row])
-        hit = doc[row] > least[run]
-        np.bitwise_or.at(mask, row[hit], np.int64(1) << number[hit])
-    return mask, open_
+    begin = np.cumsum(count) - count
+    rows = np.repeat(np.arange(n, dtype=np.int32), count)
+    keys = np.empty(len(rows), np.uint64)
+    salt = mixed(group.view(np.uint64), 1)
+    for a in range(0, n, CHUNK):
+        b = min(a + CHUNK, n)
+        own = slice(begin[a], begin[b] if b < n else len(rows))
+        row = rows[own]
+        number = np.arange(own.start, own.stop) - begin[row]
+        start = at[row] - at[a] + number
+        whole = piece_hashes(prefix_hashes(data[at[a] : ends[b]]), start, start + span)
+        keys[own] = mixed(whole + salt[row] + (lead[row] - number).astype(np.uint64), 2)
+    n_parts = -(-len(keys) // KEYS)
+    for part in range(n_parts):
+        held = np.flatnonzero(((keys >> np.uint64(44)) * np.uint64(n_parts)) >> np.uint64(20) == part)
+        held = held[np.argsort(keys[held], kind="stable")]
+        if not len(held):
+            continue
+        key = keys[held]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        docs = doc[rows[held]]
+        shared = np.minimum.reduceat(docs, first) < np.maximum.reduceat(docs, first)
+        held = held[np.repeat(shared, np.diff(np.append(first, len(held))))]
+        carried = held[:0]
+        for a in range(0, len(held), CHUNK):
+            lot = np.concatenate([carried, held[a : a + CHUNK]])
+            row = rows[lot]
+            number = lot - begin[row]
+            windows = data[(at[row] + number)[:, None] + np.arange(span)]
+            later, earliest = _matches(windows, doc[row], group[row], lead[row] - number)
+            np.bitwise_or.at(mask, row[later], np.int64(1) << number[later])
+            # Later passages of the last key may match these.
+            carried = lot[earliest & (keys[lot] == keys[lot[-1]])]
+    return mask
+
+
+def judged(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
+    """Passages of pieces, sorted by hash, that an earlier document holds: a mask for each piece that has any."""
+    for rows in groups(batches, ["hash"], CHUNK):
+        rows = rows.combine_chunks()
+        columns = (rows.column(c).to_numpy() for c in ("id", "hash", "lead"))
+        mask = repeated(*columns, rows.column("bytes").chunk(0), span)
+        hit = np.flatnonzero(mask)
+        if len(hit):
+            seen = rows.select(["id", "identity", "first"]).take(pa.array(hit)).combine_chunks().to_batches()[0]
+            yield pa.RecordBatch.from_arrays([*seen.columns, pa.array(mask[hit])], ["id", "identity", "first", "mask"])
 
 
 def _identity(text: bytes) -> int:
@@ -194,28 +247,78 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
 
 
-def _pack_rows(hashes: np.ndarray, spans: np.ndarray, owner: np.ndarray, packed: np.ndarray) -> bytes:
-    """Anchors of one bucket, by owner and place: 6 bytes of hash, 5 of the passages' bytes' hash, the rest as differences."""
-    n = len(hashes)
-    step = np.diff(packed, prepend=0)
-    rest = zlib.compress(np.diff(owner, prepend=0).astype("<u4").tobytes() + step.astype("<i8").tobytes(), 1)
-    head = np.array([n], "<u4").tobytes()
-    return b"".join(
-        [head, hashes.view(np.uint8).reshape(n, 8)[:, :6].tobytes(), spans.view(np.uint8).reshape(n, 8)[:, :5].tobytes(), rest]
-    )
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers as differences, lowest bytes of all first: number of bytes, and these."""
+    step = np.diff(values, prepend=0)
+    step = ((step << 1) ^ (step >> 63)).view(np.uint64)
+    width = (int(step.max()).bit_length() + 7) // 8
+    return bytes([width]) + step.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def _unpack_rows(blob: bytes) -> tuple[np.ndarray, ...]:
-    n = int(np.frombuffer(blob, "<u4", 1)[0])
+def _whole(data: bytes, at: int, n: int, width: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8, n * width, at).reshape(n, width)
+    return out.view("<u8").ravel()
+
 
-    def whole(at: int, width: int) -> np.ndarray:
-        out = np.zeros((n, 8), np.uint8)
-        out[:, :width] = np.frombuffer(blob, np.uint8, n * width, at).reshape(n, width)
-        return out.view(np.uint64).ravel()
+def _unplaned(data: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
+    """The numbers of ``_planes``, and where they end."""
+    width = data[at]
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8, n * width, at + 1).reshape(width, n).T
+    step = out.view("<u8").ravel()
+    step = (step >> np.uint64(1)).view(np.int64) ^ -(step & np.uint64(1)).view(np.int64)
+    return np.cumsum(step), at + 1 + n * width
 
+
+def _unpack_rows(blob: bytes) -> tuple[np.ndarray, ...]:
+    """Anchor hash, passages' bytes' hash, id and place."""
+    n = int(np.frombuffer(blob, "<u4", 1)[0])
     rest = zlib.decompress(blob[4 + 11 * n :])
-    owner = np.cumsum(np.frombuffer(rest, "<u4", n), dtype=np.int64)
-    return whole(4, 6), whole(4 + 6 * n, 5), owner, np.cumsum(np.frombuffer(rest, "<i8", n, 4 * n))
+    ids, at = _unplaned(rest, 0, n)
+    return _whole(blob, 4, n, 6), _whole(blob, 4 + 6 * n, n, 5), ids, _unplaned(rest, at, n)[0]
+
+
+def _pack_buckets(parts: list[tuple[np.ndarray, ...]], n_buckets: int) -> pa.RecordBatch:
+    """Anchors of each bucket, packed: 6 bytes of hash, 5 of the passages' bytes' hash, the rest as differences."""
+    hashes, spans, ids, packed = (np.concatenate(x) for x in zip(*parts))
+    bucket = (mixed(hashes.view(np.uint64), 7) % np.uint64(n_buckets)).astype(np.int64)
+    order = np.argsort(bucket.astype(np.uint16) if n_buckets <= 1 << 16 else bucket, kind="stable")
+    bucket, ids, packed = bucket[order], ids[order], packed[order]
+    hashes = np.ascontiguousarray(hashes[order].view(np.uint8).reshape(-1, 8)[:, :6])
+    spans = np.ascontiguousarray(spans[order].view(np.uint8).reshape(-1, 8)[:, :5])
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.empty(0, np.int64)
+    blobs = []
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)]):
+        rest = zlib.compress(_planes(ids[a:b]) + _planes(packed[a:b]), 1)
+        blobs.append(b"".join([np.array([b - a], "<u4").tobytes(), hashes[a:b].tobytes(), spans[a:b].tobytes(), rest]))
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(blobs, pa.binary())], ["bucket", "rows"])
+
+
+def bucketed(
+    batches: Iterator[pa.RecordBatch], span: int, n_buckets: int, hot: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Anchors of texts in rows of a bucket each, of about ``HELD`` anchors together, so that rows are not many."""
+    parts, held = [], 0
+    for batch in batches:
+        all_texts, all_ids = _bytes(batch.column(1)), batch.column(0).to_numpy()
+        for a, b in _lots(all_texts):
+            texts = all_texts[a:b]
+            owner, hashes, place, first, last, spans = anchors(texts, span)
+            if not len(owner):
+                continue
+            if len(hot):
+                keep = ~np.isin(hashes, hot)
+                owner, hashes, place, first, last, spans = (x[keep] for x in (owner, hashes, place, first, last, spans))
+            identity = np.array([_identity(t) for t in texts], np.int64)[owner]
+            packed = (place << 26) | (identity << 10) | ((place - first) << 5) | (place - last)
+            parts.append((hashes, spans, all_ids[a:b][owner], packed))
+            held += len(hashes)
+            if held >= HELD:
+                yield _pack_buckets(parts, n_buckets)
+                parts, held = [], 0
+    if held:
+        yield _pack_buckets(parts, n_buckets)
 
 
 def remove_repeats(
@@ -252,42 +355,13 @@ def remove_repeats(
     hot = spark.sparkContext.broadcast(_hot_anchors(named, n_docs, span, bucket_rows))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            all_texts, all_ids = _bytes(batch.column(1)), batch.column(0).to_numpy()
-            for a, b in _lots(all_texts):
-                texts, ids = all_texts[a:b], all_ids[a:b]
-                owner, hashes, place, first, last = anchors(texts, span)
-                keep = ~np.isin(hashes, hot.value)
-                owner, hashes, place, first, last = (x[keep] for x in (owner, hashes, place, first, last))
-                identity = np.array([_identity(t) for t in texts], np.int64)[owner]
-                packed = (place << 26) | (identity << 10) | ((place - first) << 5) | (place - last)
-                data = np.frombuffer(b"".join(texts), np.uint8)
-                begin = np.cumsum([0] + [len(t) for t in texts[:-1]])[owner]
-                spans = mixed(piece_hashes(prefix_hashes(data), begin + first, begin + last + span), 3)
-                bucket = (mixed(hashes.view(np.uint64), 7) % np.uint64(n_buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else []
-                blobs = []
-                for rows in np.split(order, cuts[1:]) if len(order) else []:
-                    used, back = np.unique(owner[rows], return_inverse=True)
-                    blobs.append(
-                        np.array([len(used)], "<u4").tobytes() + ids[used].astype("<i8").tobytes()
-                        + _pack_rows(hashes[rows].view(np.uint64), spans[rows], back, packed[rows])
-                    )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[order][cuts] if len(order) else [], pa.int64()), pa.array(blobs, pa.binary())],
-                    ["bucket", "rows"],
-                )
+        return bucketed(batches, span, n_buckets, hot.value)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["bucket"]):
-            parts = []
-            for blob in group.column("rows").to_pylist():
-                n = int(np.frombuffer(blob, "<u4", 1)[0])
-                hashes, spans, owner, packed = _unpack_rows(blob[4 + 8 * n :])
-                parts.append((hashes, spans, np.frombuffer(blob, "<i8", n, 4)[owner], packed))
+            parts = [_unpack_rows(blob) for blob in group.column("rows").to_pylist()]
             hashes, spans, ids, packed = (np.concatenate(x) for x in zip(*parts))
-            order = np.argsort(hashes, kind="stable")
+            order = np.argsort(hashes)
             h = hashes[order]
             first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
             low, high = np.minimum.reduceat(ids[order], first), np.maximum.reduceat(ids[order], first)
@@ -337,18 +411,7 @@ def remove_repeats(
     pieces = told.mapInArrow(around, kind).repartition("hash").sortWithinPartitions("hash", "id")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried: pa.Table | None = None
-        for chunk in _chunks(batches):
-            n_old = carried.num_rows if carried is not None else 0
-            rows = pa.concat_tables([carried, chunk]) if n_old else chunk
-            group, doc = rows.column("hash").to_numpy(), rows.column("id").to_numpy()
-            mask, open_ = repeated(doc, group, rows.column("lead").to_numpy(), rows.column("bytes").to_pylist(), span)
-            hit = np.flatnonzero(mask[n_old:]) + n_old
-            if len(hit):
-                seen = rows.select(["id", "identity", "first"]).take(pa.array(hit)).combine_chunks().to_batches()[0]
-                yield pa.RecordBatch.from_arrays([*seen.columns, pa.array(mask[hit])], ["id", "identity", "first", "mask"])
-            # Rows that later ones of the last key may match.
-            carried = rows.take(pa.array(open_[group[open_] == group[-1]]))
+        return judged(batches, span)
 
     masks = pieces.mapInArrow(judge, MASKS)
     if len(hot.value):
@@ -424,7 +487,7 @@ def _hot_masks(named: DataFrame, hot: Broadcast, span: int) -> DataFrame:
             all_texts = _bytes(batch.column(1))
             for a, b in _lots(all_texts):
                 texts = all_texts[a:b]
-                owner, hashes, _, first, last = anchors(texts, span)
+                owner, hashes, _, first, last, _ = anchors(texts, span)
                 keep = np.isin(hashes, hot.value)
                 owner, first, last = owner[keep], first[keep], last[keep]
                 each = last - first + 1
@@ -446,17 +509,3 @@ def _hot_masks(named: DataFrame, hot: Broadcast, span: int) -> DataFrame:
     least = rows.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
     later = rows.join(least, ["w1", "w2"]).filter("id > least")
     return later.select("id", "identity", "first", F.lit(1).cast("long").alias("mask"))
-
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows in tables of about ``CHUNK``."""
-    held, size = [], 0
-    for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            size += batch.num_rows
-        if size >= CHUNK:
-            yield pa.Table.from_batches(held)
-            held, size = [], 0
-    if held:
-        yield pa.Table.from_batches(held)

@@ -216,6 +216,54 @@ def test_op2_odd(odd, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_op2_short_texts(spark):
+    df = spark.createDataFrame([(i, "too short for a passage") for i in range(5)], "doc_id long, text string").coalesce(1)
+    rows = suffix_dedup.remove_repeats(df).collect()
+    assert [(r.n_bytes, r.n_removed, r.text) for r in rows] == [(23, 0, "too short for a passage")] * 5
+
+
+def test_op2_sorts_in_proportion_to_the_rows_of_an_anchor(monkeypatch):
+    rng = np.random.default_rng(3)
+    line, n = bytes(rng.integers(97, 123, 40).astype(np.uint8)), 3_000
+    texts = [bytes(rng.integers(97, 123, 20).astype(np.uint8)) + line + bytes(rng.integers(97, 123, 8).astype(np.uint8)) for _ in range(n)]
+    texts[5::7] = [a[:57] + b[57:] for a, b in zip(texts[4::7], texts[5::7])]
+    texts[1] = texts[0][:10] + texts[1][10:]
+    columns = {"hash": [7] * n, "id": range(n), "identity": [0] * n, "first": [3] * n}
+    pieces = pa.table({c: pa.array(v, pa.int64()) for c, v in columns.items()} | {"lead": pa.array([16] * n, pa.int32()), "bytes": texts})
+    sort, sorted_ = suffix_dedup.sort_suffixes, []
+    monkeypatch.setattr(suffix_dedup, "sort_suffixes", lambda *a: sorted_.append(len(a[2])) or sort(*a))
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 100)
+    monkeypatch.setattr(suffix_dedup, "KEYS", 7_000)
+    got = {}
+    for batch in suffix_dedup.judged(iter(pieces.to_batches(max_chunksize=90)), 50):
+        got |= dict(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()))
+    seen, expected = set(), {}
+    for i, text in enumerate(texts):
+        own = [(k, text[k : k + 50]) for k in range(19)]
+        if mask := sum(1 << k for k, _ in (x for x in own if x in seen)):
+            expected[i] = mask
+        seen.update(own)
+    assert got == expected and len(got) > n // 8
+    # Carried on from lot to lot: one passage of each kind at most.
+    assert sum(sorted_) < 1.1 * 19 * n / 2 and max(sorted_) <= 101
+
+
+def test_op2_packed_anchors_do_not_come_by_lot(documents):
+    texts = [t or "" for _, t in documents]
+    batches = [pa.RecordBatch.from_pydict({"id": [i], "text": [t]}) for i, t in enumerate(texts)]
+    rows = list(suffix_dedup.bucketed(iter(batches), 50, 3, np.empty(0, np.int64)))
+    assert [b.column("bucket").to_pylist() for b in rows] == [[0, 1, 2]]
+    found = [suffix_dedup._unpack_rows(blob) for blob in rows[0].column("rows").to_pylist()]
+    hashes, spans, ids, packed = (np.concatenate(x) for x in zip(*found))
+    expected = Counter()
+    for i, t in enumerate(texts):
+        for _, h, place, first, last, s in zip(*suffix_dedup.anchors([t.encode()], 50)):
+            expected[i, h & ((1 << 48) - 1), int(s) & ((1 << 40) - 1), place, first, last] += 1
+    place = packed >> 26
+    got = zip(ids, hashes, spans, place, place - ((packed >> 5) & 31), place - (packed & 31))
+    assert Counter(tuple(map(int, x)) for x in got) == Counter({tuple(map(int, k)): v for k, v in expected.items()})
+
+
 def brute_links(documents):
     """Per document its links and the smallest id they lead to."""
 
