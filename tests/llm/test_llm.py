@@ -649,6 +649,14 @@ def test_pipeline_equals_brute_force(spark, sf_dir):
         assert [offset for offset, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 4096
 
 
+def test_pipeline_cuts_nothing_from_short_texts(spark, sf_dir):
+    import corpus_pipeline as pipeline
+
+    docs = spark.createDataFrame([(i, "too short for a passage", "en", "s", 23) for i in range(5)], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = pipeline.drop_repeated_passages(spark, docs.coalesce(1), sf_dir).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, docs.collect()))
+
+
 def test_lots_of_words_are_made_one_at_a_time():
     class Counting(Words):
         texts = 0
